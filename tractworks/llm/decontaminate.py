@@ -13,7 +13,6 @@ are one item with the windows of all its rows; empty tables give no hits; other
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
