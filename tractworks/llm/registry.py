@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from tractworks.llm import decontaminate, quality_rules, simhash
+from tractworks.llm import decontaminate, quality_rules, sentencepiece_wfst, simhash, suffix_dedup
 
 QUERIES = {
     "op4_simhash": simhash.op4_simhash,
     "op5_quality_rules": quality_rules.op5_quality_rules,
     "op7_decontaminate": decontaminate.op7_decontaminate,
+    "op8_sentencepiece": sentencepiece_wfst.op8_sentencepiece,
+    "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
 }
 
 SQL = {
     "op5_quality_rules": quality_rules.SQL,
     "op7_decontaminate": decontaminate.SQL,
+    "op10_suffix_dedup": suffix_dedup.SQL,
 }
