@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tractworks.llm import decontaminate, quality_rules, sentencepiece_wfst, simhash, suffix_dedup
+from tractworks.llm import decontaminate, quality_rules, recompression, sentencepiece_wfst, simhash, suffix_dedup
 
 QUERIES = {
     "op4_simhash": simhash.op4_simhash,
     "op5_quality_rules": quality_rules.op5_quality_rules,
+    "op6_substring_dedup": recompression.op6_substring_dedup,
     "op7_decontaminate": decontaminate.op7_decontaminate,
     "op8_sentencepiece": sentencepiece_wfst.op8_sentencepiece,
     "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
@@ -14,6 +15,7 @@ QUERIES = {
 
 SQL = {
     "op5_quality_rules": quality_rules.SQL,
+    "op6_substring_dedup": recompression.SQL,
     "op7_decontaminate": decontaminate.SQL,
     "op10_suffix_dedup": suffix_dedup.SQL,
 }
