@@ -33,7 +33,7 @@ from tractworks.llm.repeats import PrefixSums, repeated_spans, text_rows
 
 
 WIDTH = 20
-ROUNDS = 3
+ROUNDS = 2
 CACHE = 400_000
 ONE = np.uint64(1)
 
@@ -97,6 +97,16 @@ def recompress(name: np.ndarray, text: np.ndarray, rounds: int) -> tuple[np.ndar
     return name, start, left, right
 
 
+def alike_windows(words: np.ndarray, width: int) -> np.ndarray:
+    """Whether the window of ``width`` words at each place equals the one before it, so that all its words are one word."""
+    same = np.zeros(len(words) + 1, np.int64)
+    same[2:] = np.cumsum(words[1:] == words[:-1])
+    n = len(words) - width + 1
+    out = np.zeros(n, bool)
+    out[1:] = same[width + 1 : width + n] - same[1:n] == width
+    return out
+
+
 def symbols(width: int, rounds: int):
     """Anchors of word texts for :func:`repeats.anchor_rows`."""
 
@@ -112,8 +122,9 @@ def symbols(width: int, rounds: int):
         name, start, left, right = recompress(words, text, rounds)
         n = total - width + 1
         p = np.arange(n)
-        lo = np.searchsorted(left, p, "left")
-        hi = np.searchsorted(right, p + width, "right")
+        # symbols' stretches are in order at both ends: count those that begin before p, and those that end by p + width
+        lo = np.cumsum(np.bincount(np.maximum(left + 1, 0), minlength=total + 2)[: n])
+        hi = np.cumsum(np.bincount(right, minlength=total + 2))[width : width + n]
         has = hi > lo
         # the smallest name of [lo, hi), leftmost on ties
         table = [(name & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(name), dtype=np.uint64)]
@@ -134,6 +145,10 @@ def symbols(width: int, rounds: int):
         valid[:] = text[:n] == text[width - 1 :]
         new = np.ones(n, bool)
         new[1:] = (owner[1:] != owner[:-1]) | (owner[1:] < 0) | ~valid[:-1]
+        # equal windows inside one long run: the first stands alone, the others follow as one row
+        steady = np.zeros(n, bool)
+        steady[1:] = alike_windows(words, width)[1:n] & valid[1:] & valid[:-1] & (owner[1:] < 0) & (owner[:-1] < 0)
+        new[2:] &= ~(steady[2:] & steady[1:-1])
         new &= valid
         first = np.flatnonzero(new)
         stop = np.append(first[1:], n)
