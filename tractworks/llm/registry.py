@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from tractworks.llm import decontaminate, quality_rules, recompression, sentencepiece_wfst, simhash, suffix_dedup
+from tractworks.llm import brown_lm, decontaminate, language_id, quality_classifier, quality_rules, recompression, sentencepiece_wfst, simhash, suffix_dedup
 
 QUERIES = {
+    "op1_quality_classifier": quality_classifier.op1_quality_classifier,
+    "op2_language_id": language_id.op2_language_id,
+    "op3_brown_lm": brown_lm.op3_brown_lm,
     "op4_simhash": simhash.op4_simhash,
     "op5_quality_rules": quality_rules.op5_quality_rules,
     "op6_substring_dedup": recompression.op6_substring_dedup,
