@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tractworks.llm import brown_lm, decontaminate, language_id, quality_classifier, quality_rules, recompression, sentencepiece_wfst, simhash, suffix_dedup
+from tractworks.llm import brown_lm, decontaminate, html_extract, language_id, quality_classifier, quality_rules, recompression, sentencepiece_wfst, simhash, suffix_dedup
 
 QUERIES = {
     "op1_quality_classifier": quality_classifier.op1_quality_classifier,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_substring_dedup": recompression.op6_substring_dedup,
     "op7_decontaminate": decontaminate.op7_decontaminate,
     "op8_sentencepiece": sentencepiece_wfst.op8_sentencepiece,
+    "op9_html_extract": html_extract.op9_html_extract,
     "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
 }
 
