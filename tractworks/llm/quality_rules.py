@@ -10,7 +10,7 @@ Words are ``[^\\x20\\x09-\\x0D]+``, lines are split at ``\\n``. A line that has
 
 A document is rejected if the base rules fail (under 20 words, or over 30 % of its words in repeated 8-word windows)
 or if failed lines hold over ``most_lost_percent`` of its word characters. Null texts count as empty and are rejected;
-an empty table gives an empty result; repeated rows are judged each on its own; other columns are kept by ``clean``.
+an empty table gives an empty result; repeated rows are judged each on its own; ``keep_good`` keeps all other columns.
 """
 
 from __future__ import annotations
@@ -156,16 +156,23 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def keep_good(docs: DataFrame, text_col: str = "text", symbols_per_10_words: int = 3, most_lost_percent: int = 50) -> DataFrame:
-    """The rows that pass, all columns as they were; rows are judged where they lie, without a shuffle."""
+    """The rows that pass, without their failed lines; other columns as they were, but ``n_chars``, where there is one, follows.
+
+    Rows are judged where they lie, without a shuffle.
+    """
     names = docs.columns
     at = names.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept = [judge(t and t.encode(), symbols_per_10_words, most_lost_percent)[0][6] for t in batch.column(at).to_pylist()]
-            yield batch.filter(pa.array(kept, pa.bool_()))
-
-    return docs.mapInArrow(run, docs.schema)
+            judged = [judge(t and t.encode(), symbols_per_10_words, most_lost_percent) for t in batch.column(at).to_pylist()]
+            texts = [b"\n".join(good).decode("utf-8", "replace") if row[6] else "" for row, good in judged]
+            cols = list(batch.columns)
+            cols[at] = pa.array(texts, pa.string())
+            yield pa.RecordBatch.from_arrays(cols, names=names).filter(pa.array([row[6] for row, _ in judged], pa.bool_()))
+
+    out = docs.mapInArrow(run, docs.schema)
+    return out.withColumn("n_chars", F.length(text_col).cast(docs.schema["n_chars"].dataType)) if "n_chars" in names else out
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
