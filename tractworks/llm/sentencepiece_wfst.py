@@ -8,14 +8,14 @@ The model file is compiled into three machines:
   and at infinite weight otherwise. A sequence of pieces is the result of byte-pair merging exactly if all its
   neighbours are accepted: a first merge across a border would also happen in the two neighbours alone.
 
-A text is composed with all three and the tropical shortest path is taken from left to right. As each prefix has one
-accepted sequence, each place of the lattice holds one state, the last piece, so a path costs the text's length times the
-longest piece. No piece crosses from a non-space into ``▁`` (checked when compiling), so lattices end before each run of
-spaces, and lattices of equal segments are solved once per worker (``CACHE`` of them are kept). For a unigram model the
-history machine accepts everything and arcs weigh minus the piece's log probability.
+A text is composed with all three and the tropical shortest path is taken. The composition is lazy: it is explored best
+first, longest piece first, and since each prefix has one accepted sequence, a place that was left without success is never
+entered again and the first complete path is the only one of finite weight. No piece crosses from a non-space into ``▁``, nor from a Latin letter into what is none (both checked when compiling),
+so lattices end there, and lattices of equal segments are solved once per worker (``CACHE`` of them are kept). For a unigram model the
+history machine accepts everything, arcs weigh minus the piece's log probability and all of the lattice is relaxed.
 
 Null texts encode to null; empty texts to an empty list; very long texts go segment by segment; repeated rows are encoded
-each on their own; an empty table gives an empty result; ``encode`` keeps all other columns and fails on clashing names.
+each on their own; an empty table gives an empty result; ``encode`` keeps all other columns, and replaces those of its own names.
 """
 
 from __future__ import annotations
@@ -35,9 +35,11 @@ from tractworks.llm.common import read
 
 MODEL = os.environ.get("TRACTWORKS_PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 SPACE = "▁"
-CACHE = 400_000
+CACHE = 700_000
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 INFINITE = float("inf")
+#: Latin letters, as a character class.
+LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
 
 
 def _fields(raw: bytes) -> Iterator[tuple[int, object]]:
@@ -101,10 +103,20 @@ class PieceTransducer:
         self.byte_id = {int(p[3:5], 16): i for i, (p, k) in enumerate(zip(self.pieces, self.kinds, strict=True)) if k == BYTE}
         self.unknown = self.kinds.index(UNKNOWN)
         self.longest = max(map(len, self.id_of))
+        #: the piece machine as a trie: for each beginning of a piece its id, or -1
+        self.trie = {p[:n]: -1 for p in self.id_of for n in range(1, len(p))} | self.id_of
         inside = re.compile(f"[^{SPACE}]{SPACE}")
-        self.cut = None if any(map(inside.search, self.id_of)) else re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+        word_ends = re.compile(f"[{LETTERS}][^{LETTERS}]")
+        if any(map(inside.search, self.id_of)):
+            self.cut = None
+        elif any(map(word_ends.search, self.id_of)):
+            self.cut = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+        else:
+            self.cut = re.compile(f"{SPACE}*[^{SPACE}{LETTERS}]*[{LETTERS}]+|{SPACE}*[^{SPACE}{LETTERS}]+|{SPACE}+")
         self.accepted: dict[tuple[str, str], bool] = {}
         self.solved: dict[str, list[int]] = {}
+        self.edges: dict[str, tuple[list, list] | None] = {}
+        self.written = [bytes([int(p[3:5], 16)]) if k == BYTE else p.encode() if k == NORMAL else " ⁇ ".encode() if k == UNKNOWN else b"" for p, k in zip(self.pieces, self.kinds, strict=True)]
 
     def normalise(self, text: str) -> str:
         if self.squeeze:
@@ -127,8 +139,41 @@ class PieceTransducer:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
+    def edge_symbols(self, piece: str) -> tuple[list, list] | None:
+        """The symbols at a piece's left and right edge while it is merged, each (symbol, from, until).
+
+        Times are costs (minus scores), never falling: a merge made possible by a dearer one happens right after it. None
+        if merging makes something else of the piece.
+        """
+        if piece in self.edges:
+            return self.edges[piece]
+        parts, now = list(piece), -INFINITE
+        left, right = [[parts[0], now, INFINITE]], [[parts[-1], now, INFINITE]]
+        while len(parts) > 1:
+            best, at = -INFINITE, -1
+            for i in range(len(parts) - 1):
+                k = self.id_of.get(parts[i] + parts[i + 1])
+                if k is not None and self.scores[k] > best:
+                    best, at = self.scores[k], i
+            if at < 0:
+                break
+            now = max(now, -best)
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            if at == 0:
+                left[-1][2] = now
+                left.append([parts[0], now, INFINITE])
+            if at == len(parts) - 1:
+                right[-1][2] = now
+                right.append([parts[-1], now, INFINITE])
+        found = self.edges[piece] = (left, right) if len(parts) == 1 else None
+        return found
+
     def accepts(self, before: str, after: str) -> bool:
-        """The history machine: whether ``after`` may follow ``before``."""
+        """The history machine: whether ``after`` may follow ``before``.
+
+        It may not if, while both are merged, a symbol at the one's right edge and one at the other's left edge stand next
+        to each other when their own merge is due. Where two merges are due at once the joined text decides.
+        """
         if not self.bpe:
             return True
         key = (before, after)
@@ -136,42 +181,104 @@ class PieceTransducer:
         if known is None:
             if len(self.accepted) >= CACHE:
                 self.accepted.clear()
-            known = self.accepted[key] = self.merged(before + after) == ([before, after] if before else [after])
+            known = self.accepted[key] = self._accepts(before, after)
         return known
 
+    def _accepts(self, before: str, after: str) -> bool:
+        theirs = self.edge_symbols(after)
+        if theirs is None or not before:
+            return theirs is not None
+        ours = self.edge_symbols(before)
+        if ours is None:
+            return False
+        a, b, i, j = ours[1], theirs[0], 0, 0
+        while i < len(a) and j < len(b):
+            x, x_from, x_until = a[i]
+            y, y_from, y_until = b[j]
+            until = min(x_until, y_until)
+            k = self.id_of.get(x + y)
+            if k is not None:
+                due = max(-self.scores[k], x_from, y_from)
+                if due < until:
+                    return False
+                if due == until:
+                    return self.merged(before + after) == [before, after]
+            if x_until == y_until and until < INFINITE:
+                return self.merged(before + after) == [before, after]
+            if x_until <= y_until:
+                i += 1
+            else:
+                j += 1
+        return True
+
+    def arcs(self, text: str, i: int) -> list[str]:
+        """Pieces that begin at a place, shortest first; a character without a piece is an arc of its own."""
+        get, out = self.trie.get, []
+        for j in range(i + 1, min(len(text), i + self.longest) + 1):
+            piece = text[i:j]
+            k = get(piece)
+            if k is None:
+                break
+            if k >= 0:
+                out.append(piece)
+        if not out or len(out[0]) > 1:
+            out.insert(0, text[i])
+        return out
+
     def shortest(self, text: str) -> list[int]:
-        """Ids on the shortest accepted path through the lattice of a normalised segment."""
-        n = len(text)
-        cost = [INFINITE] * (n + 1)
-        last: list[str] = [""] * (n + 1)
-        cost[0] = 0.0
-        get = self.id_of.get
-        for i in range(n):
-            if cost[i] == INFINITE:
-                continue
-            for j in range(i + 1, min(n, i + self.longest) + 1):
-                piece = text[i:j]
-                k = get(piece)
-                if k is None:
-                    if j > i + 1:
-                        continue
-                    weight = 1.0 if self.bpe else 1e6
-                else:
-                    weight = 1.0 if self.bpe else -self.scores[k]
-                if cost[i] + weight < cost[j] and self.accepts(last[i], piece):
-                    cost[j], last[j] = cost[i] + weight, piece
+        """Ids on the shortest path through the lattice of a normalised segment."""
+        pieces = self._best_first(text) if self.bpe else self._relaxed(text)
         path: list[int] = []
-        at = n
-        while at:
-            piece = last[at]
-            at -= len(piece)
-            k = get(piece)
+        for piece in pieces:
+            k = self.id_of.get(piece)
             if k is not None:
                 path.append(k)
             elif self.byte_id:
-                path.extend(self.byte_id[b] for b in reversed(piece.encode()))
+                path += [self.byte_id[b] for b in piece.encode()]
             else:
                 path.append(self.unknown)
+        return path
+
+    def _best_first(self, text: str) -> list[str]:
+        n, at, before = len(text), 0, ""
+        path: list[str] = []
+        left = [self.arcs(text, 0)] if n else []
+        entered = {0}
+        accepted = self.accepted.get
+        while at < n:
+            arcs = left[-1]
+            while arcs:
+                piece = arcs.pop()
+                to = at + len(piece)
+                if to in entered:
+                    continue
+                good = accepted((before, piece))
+                if good or (good is None and self.accepts(before, piece)):
+                    entered.add(to)
+                    path.append(piece)
+                    at, before = to, piece
+                    if at < n:
+                        left.append(self.arcs(text, at))
+                    break
+            else:
+                left.pop()
+                at -= len(path.pop())
+                before = path[-1] if path else ""
+        return path
+
+    def _relaxed(self, text: str) -> list[str]:
+        n = len(text)
+        cost, last = [0.0] + [INFINITE] * n, [""] * (n + 1)
+        for i in range(n):
+            for piece in self.arcs(text, i):
+                k, j = self.id_of.get(piece), i + len(piece)
+                weight = 1e6 if k is None else -self.scores[k]
+                if cost[i] + weight < cost[j]:
+                    cost[j], last[j] = cost[i] + weight, piece
+        path: list[str] = []
+        while n:
+            path.append(last[n])
+            n -= len(last[n])
         return path[::-1]
 
     def encode(self, text: str) -> list[int]:
@@ -193,16 +300,7 @@ class PieceTransducer:
 
     def decode(self, ids: list[int]) -> str:
         """The text of a sequence of ids: the same machines read from their output side."""
-        out = bytearray()
-        for i in ids:
-            kind = self.kinds[i]
-            if kind == BYTE:
-                out.append(int(self.pieces[i][3:5], 16))
-            elif kind == NORMAL:
-                out += self.pieces[i].encode()
-            elif kind == UNKNOWN:
-                out += " ⁇ ".encode()
-        text = out.decode("utf-8", "replace").replace(SPACE, " ")
+        text = b"".join(map(self.written.__getitem__, ids)).decode("utf-8", "replace").replace(SPACE, " ")
         return text[1:] if self.prefix and text.startswith(" ") else text
 
 
@@ -226,8 +324,7 @@ def encode(docs: DataFrame, text_col: str = "text", model_path: str = MODEL, wit
     ``with_decoded=False`` leaves the decoded text itself out; the round trip is judged all the same.
     """
     added = [a for a in ADDED if with_decoded or a[0] != "decoded"]
-    if clash := set(docs.columns) & {a[0] for a in added}:
-        raise ValueError(f"columns are there already: {sorted(clash)}")
+    docs = docs.drop(*(a[0] for a in added))
     names = docs.columns
     at = names.index(text_col)
 
