@@ -31,6 +31,8 @@ SPACES = b" \t\n\x0b\x0c\r"
 UPPER = bytes(range(65, 91))
 LOWER = bytes(range(97, 123))
 WINDOW = 8
+#: Rows whose texts are held at a time where texts are returned.
+SLICE = 512
 BOILERPLATE = (
     "all rights reserved|licensed under|copyright \\(c\\)|cookie policy|use of cookies|privacy policy|terms of service|"
     "terms of use|sign in|log in|subscribe to our|click here|read more|skip to content|enable javascript"
@@ -164,12 +166,14 @@ def keep_good(docs: DataFrame, text_col: str = "text", symbols_per_10_words: int
     at = names.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            judged = [judge(t and t.encode(), symbols_per_10_words, most_lost_percent) for t in batch.column(at).to_pylist()]
-            texts = [b"\n".join(good).decode("utf-8", "replace") if row[6] else "" for row, good in judged]
-            cols = list(batch.columns)
-            cols[at] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays(cols, names=names).filter(pa.array([row[6] for row, _ in judged], pa.bool_()))
+        for whole in batches:
+            for i in range(0, whole.num_rows, SLICE):
+                batch = whole.slice(i, SLICE)
+                judged = [judge(t and t.encode(), symbols_per_10_words, most_lost_percent) for t in batch.column(at).to_pylist()]
+                texts = [b"\n".join(good).decode("utf-8", "replace") if row[6] else "" for row, good in judged]
+                cols = list(batch.columns)
+                cols[at] = pa.array(texts, pa.string())
+                yield pa.RecordBatch.from_arrays(cols, names=names).filter(pa.array([row[6] for row, _ in judged], pa.bool_()))
 
     out = docs.mapInArrow(run, docs.schema)
     return out.withColumn("n_chars", F.length(text_col).cast(docs.schema["n_chars"].dataType)) if "n_chars" in names else out

@@ -11,7 +11,7 @@ The model file is compiled into three machines:
 A text is composed with all three and the tropical shortest path is taken. The composition is lazy: it is explored best
 first, longest piece first, and since each prefix has one accepted sequence, a place that was left without success is never
 entered again and the first complete path is the only one of finite weight. No piece crosses from a non-space into ``▁``, nor from a Latin letter into what is none (both checked when compiling),
-so lattices end there, and lattices of equal segments are solved once per worker (``CACHE`` of them are kept). For a unigram model the
+so lattices end there, and lattices of equal segments are solved once per task (``CACHE`` of them are kept). For a unigram model the
 history machine accepts everything, arcs weigh minus the piece's log probability and all of the lattice is relaxed.
 
 Null texts encode to null; empty texts to an empty list; very long texts go segment by segment; repeated rows are encoded
@@ -35,7 +35,7 @@ from tractworks.llm.common import read
 
 MODEL = os.environ.get("TRACTWORKS_PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 SPACE = "▁"
-CACHE = 700_000
+CACHE = 250_000
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 INFINITE = float("inf")
 #: Latin letters, as a character class.
@@ -298,6 +298,11 @@ class PieceTransducer:
             out += ids
         return out
 
+    def forget(self) -> None:
+        """Drops solved segments and neighbours: a worker lives on after its task, for other stages."""
+        self.solved.clear()
+        self.accepted.clear()
+
     def decode(self, ids: list[int]) -> str:
         """The text of a sequence of ids: the same machines read from their output side."""
         text = b"".join(map(self.written.__getitem__, ids)).decode("utf-8", "replace").replace(SPACE, " ")
@@ -337,7 +342,7 @@ def encode(docs: DataFrame, text_col: str = "text", model_path: str = MODEL, wit
                 n, n_bytes, ids, decoded, same = [], [], [], [], []
                 for t in texts[start : start + 512]:
                     path = None if t is None else np.array(machine.encode(t), np.int32)
-                    back = None if t is None else machine.decode(path.tolist())
+                    back = None if path is None else machine.decode(path.tolist())
                     ids.append(path)
                     n.append(None if t is None else len(path))
                     n_bytes.append(None if t is None else int(((path >= bytes_from) & (path <= bytes_to)).sum()))
@@ -346,6 +351,7 @@ def encode(docs: DataFrame, text_col: str = "text", model_path: str = MODEL, wit
                 values = {"n_pieces": n, "n_byte_pieces": n_bytes, "piece_ids": ids, "decoded": decoded, "round_trip": same}
                 part = batch.slice(start, 512)
                 yield pa.RecordBatch.from_arrays([*part.columns, *(pa.array(values[a], kind) for a, _, kind in added)], names=[*names, *(a[0] for a in added)])
+        machine.forget()
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *(T.StructField(a, kind) for a, kind, _ in added)]))
 
