@@ -26,7 +26,14 @@ def settle(df: DataFrame) -> DataFrame:
     sc = df.sparkSession.sparkContext
     if not sc.getConf().get("spark.checkpoint.dir") and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoints-"))
-    return df.checkpoint()
+    # shuffle files go when the copy is complete; nothing reads them again
+    conf, name = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(name, None)
+    conf.set(name, "true")
+    try:
+        return df.checkpoint()
+    finally:
+        conf.set(name, before) if before is not None else conf.unset(name)
 
 
 def fold_of(doc_id: str | Column, folds: int) -> Column:

@@ -23,34 +23,31 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tractworks.llm.common import MIX, mixed, read, union_length
-from tractworks.llm.repeats import PrefixSums, repeated_spans, text_rows
+from tractworks.llm.repeats import PrefixSums, Units, repeated_spans, text_rows
 
 
 WIDTH = 20
 ROUNDS = 2
-CACHE = 400_000
+VALUES = np.random.default_rng(12).integers(0, 2**64, 256, dtype=np.uint64)
+SPACE = np.isin(np.arange(256), (32, 9, 10, 11, 12, 13))
 ONE = np.uint64(1)
 
 
-class WordNames(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHE:
-            self.clear()
-        h = self[word] = xxhash.xxh64_intdigest(word, seed=3)
-        return h
-
-
-_names = WordNames()
-
-
-def named(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(_names.__getitem__, words), np.uint64, len(words))
+def named(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit names of the words of all texts in a row, and the number of each text's words."""
+    data = np.frombuffer(b" ".join([*texts, b""]), np.uint8)
+    inside = np.zeros(len(data) + 2, bool)
+    inside[1:-1] = ~SPACE[data]
+    turn = np.flatnonzero(inside[1:] != inside[:-1])
+    start, stop = turn[::2], turn[1::2]
+    name = mixed(PrefixSums(VALUES[data]).of(start, stop) + (stop - start).astype(np.uint64))
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    return name, np.diff(np.searchsorted(start, ends, "left"), prepend=0)
 
 
 def recompress(name: np.ndarray, text: np.ndarray, rounds: int) -> tuple[np.ndarray, ...]:
@@ -107,16 +104,25 @@ def alike_windows(words: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
-def symbols(width: int, rounds: int):
-    """Anchors of word texts for :func:`repeats.anchor_rows`."""
+class Words(Units):
+    """Word texts: anchors are symbols after some rounds of recompression."""
+
+    kind = np.uint64
+
+    def __init__(self, width: int, rounds: int):
+        self.width, self.rounds = width, rounds
 
-    def anchors(texts: list[bytes]):
-        lists = [t.split() for t in texts]
-        sizes = np.array([len(x) if len(x) >= width else 0 for x in lists], np.int64)
-        total = int(sizes.sum())
+    def values(self, text: bytes) -> np.ndarray:
+        return named([text])[0]
+
+    def anchors(self, texts: list[bytes]) -> tuple[np.ndarray, ...]:
+        width, rounds = self.width, self.rounds
+        words, sizes = named(texts)
+        long = np.repeat(sizes >= width, sizes)
+        words, sizes = words[long], np.where(sizes >= width, sizes, 0)
+        total = len(words)
         if not total:
-            return tuple(np.empty(0, k) for k in (np.int64, np.uint64, np.uint64, np.int64, np.int64))
-        words = np.concatenate([named(x) for x, k in zip(lists, sizes, strict=True) if k])
+            return tuple(np.empty(0, k) for k in (np.int64, np.uint64, np.uint64, np.int64, np.int64, np.int64, bool))
         text = np.repeat(np.arange(len(sizes)), sizes)
         sums = PrefixSums(words)
         name, start, left, right = recompress(words, text, rounds)
@@ -161,22 +167,12 @@ def symbols(width: int, rounds: int):
         place = np.where(own, 0, start[who] - a).astype(np.uint64)
         c = mixed(sums.of(a, b) ^ (place << np.uint64(8)) ^ (b - a).astype(np.uint64))
         u = mixed(sums.of(first, stop - 1 + width) ^ (owned.astype(np.uint64) << np.uint64(32)) ^ (a - first + 1024).astype(np.uint64))
-        return text[first], c, u, first - starts[text[first]], owned
-
-    return anchors
-
-
-def word_windows(width: int):
-    def window_hashes(text: bytes):
-        sums = PrefixSums(named(text.split()))
-        return lambda p: sums.of(p, p + width)
-
-    return window_hashes
+        return text[first], c, u, first - starts[text[first]], owned, a - first, steady[first]
 
 
 def repeated_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, rounds: int = ROUNDS) -> DataFrame:
     """(key, spans of words to remove) of the rows that have any; key as in :func:`repeats.text_rows`."""
-    return repeated_spans(text_rows(docs, id_col, text_col), symbols(width, rounds), word_windows(width), width, keep_first=True)
+    return repeated_spans(text_rows(docs, id_col, text_col, ordered=True), Words(width, rounds), keep_first=True)
 
 
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

@@ -23,23 +23,35 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tractworks.llm.common import mixed, read, union_length
-from tractworks.llm.repeats import PrefixSums, repeated_spans, text_rows
+from tractworks.llm.repeats import PrefixSums, Units, repeated_spans, text_rows
 
 THRESHOLD = 200
 DIGIT = 64
 VALUES = np.random.default_rng(11).integers(0, 2**64, 256, dtype=np.uint64)
 
 
-def stretches(threshold: int, digit: int):
-    """Anchors of byte texts for :func:`repeats.anchor_rows`."""
+class Bytes(Units):
+    """Byte texts: anchors are synchronising k-grams."""
 
-    def anchors(texts: list[bytes]):
+    kind = np.uint8
+
+    def __init__(self, threshold: int, digit: int):
+        self.width, self.digit = threshold, digit
+
+    def values(self, text: bytes) -> np.ndarray:
+        return np.frombuffer(text, np.uint8)
+
+    def spread(self, values: np.ndarray) -> np.ndarray:
+        return VALUES[values]
+
+    def anchors(self, texts: list[bytes]) -> tuple[np.ndarray, ...]:
+        threshold, digit = self.width, self.digit
         texts = [t if len(t) >= threshold else b"" for t in texts]
         sizes = np.array([len(t) for t in texts], np.int64)
         data = np.frombuffer(b"".join(texts), np.uint8)
         if len(data) < threshold:
-            return tuple(np.empty(0, k) for k in (np.int64, np.uint64, np.uint64, np.int64, np.int64))
-        sums = PrefixSums(VALUES[data])
+            return tuple(np.empty(0, k) for k in (np.int64, np.uint64, np.uint64, np.int64, np.int64, np.int64, bool))
+        sums = PrefixSums(self.spread(data))
         n = len(data) - threshold + 1
         h = sums.of(slice(None, len(data) - digit + 1), slice(digit, None))
         best = (h & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(h), dtype=np.uint64)
@@ -68,22 +80,12 @@ def stretches(threshold: int, digit: int):
         anchor = at[first]
         u = sums.of(first, last - 1 + threshold)
         u = mixed(u ^ (owned.astype(np.uint64) << np.uint64(32)) ^ (anchor - first).astype(np.uint64))
-        return text, h[anchor], u, first - starts[text], owned
-
-    return anchors
-
-
-def byte_windows(threshold: int):
-    def window_hashes(text: bytes):
-        sums = PrefixSums(VALUES[np.frombuffer(text, np.uint8)])
-        return lambda p: sums.of(p, p + threshold)
-
-    return window_hashes
+        return text, h[anchor], u, first - starts[text], owned, anchor - first, np.zeros(len(first), bool)
 
 
 def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD, digit: int = DIGIT) -> DataFrame:
     """(key, spans of bytes to remove) of the rows that have any; key as in :func:`repeats.text_rows`."""
-    return repeated_spans(text_rows(docs, id_col, text_col), stretches(threshold, digit), byte_windows(threshold), threshold, keep_first=False)
+    return repeated_spans(text_rows(docs, id_col, text_col, ordered=False), Bytes(threshold, digit), keep_first=False)
 
 
 def cut(text: bytes, spans: list) -> tuple[bytes, list[tuple[int, int]]]:
@@ -127,15 +129,15 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     A character that a cut would halve goes with it. Null texts stay null. ``n_chars``, where there is one, follows.
     """
     rows = with_spans(docs, id_col, text_col, **options)
-    names = rows.columns
-    at, spans = names.index(text_col), names.index("__spans")
+    names = docs.columns
+    at, spans = names.index(text_col), rows.columns.index("__spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t if t is None or not s else cut(t.encode(), s)[0].decode("utf-8", "ignore") for t, s in zip(batch.column(at).to_pylist(), batch.column(spans).to_pylist(), strict=True)]
             cols = list(batch.columns)
             cols[at] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays(cols[:spans] + cols[spans + 1 :], names=docs.columns)
+            yield pa.RecordBatch.from_arrays(cols[:spans] + cols[spans + 1 :], names=names)
 
     out = rows.mapInArrow(run, docs.schema)
     return out.withColumn("n_chars", F.length(text_col).cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
