@@ -80,7 +80,7 @@ def near_links(fps: DataFrame, most_bits: int = 2, long_list: int = LONG_LIST) -
     if not 0 <= most_bits <= 2:
         raise ValueError("the byte index guarantees its matches up to two differing bits")
     posted = settle(postings(fps))
-    sizes = posted.groupBy("key").count().where("count > 1")
+    sizes = settle(posted.groupBy("key").count().where("count > 1"))
     listed = posted.join(sizes, "key")
     lists = listed.where(F.col("count") <= long_list).groupBy("key").agg(F.sort_array(F.collect_list("fp")).alias("fps"))
     a = lists.select("fps", F.posexplode("fps").alias("at", "u"))
@@ -128,7 +128,7 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     classes = settle(rows.groupBy("fp").agg(F.min(id_col).alias("least")))
     roots = connected(near_links(classes.select("fp"), most_bits))
     rooted = classes.join(roots, classes.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    named = rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component")), "root").select("fp", "component")
+    named = settle(rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component")), "root").select("fp", "component"))
     return rows.join(named, "fp").select(id_col, "fp", "component")
 
 
