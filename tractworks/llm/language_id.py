@@ -2,8 +2,8 @@
 
 A text's letters, lower-cased, with one space for everything else, give its 1- to 3-grams, hashed to ``BUCKETS``. Document
 frequencies are counted by Spark over all training texts. Weights are fitted by follow-the-regularised-leader with L1 and
-L2 penalties, whose lazily kept sums leave most weights at zero, on at most ``PER_LANGUAGE`` texts of each language (those with
-the smallest hash of id and text), of which every fifth is kept out to choose the temperature that the final softmax
+L2 penalties, whose lazily kept sums leave most weights at zero, on at most ``PER_LANGUAGE`` texts of each language (the
+smallest hashes of id and text among a hashed share of its texts), of which every fifth is kept out to choose the temperature that the final softmax
 divides by. Every whole text is scored.
 
 Null texts and texts without a letter are ``und`` with score 0; rows without a language are never learned from; a row
@@ -146,8 +146,11 @@ def train(rows: DataFrame, per_language: int = PER_LANGUAGE, epochs: int = EPOCH
     if not total:
         return None
     idf = np.log((1 + total) / (1 + seen)) + 1
+    # a share of each language that holds the sample twice over, and of that the smallest keys
+    shares = [x for lang, n in rows.groupBy("lang").count().collect() for x in (F.lit(lang), F.lit(min(1.0, 2 * per_language / n)))]
+    few = rows.where(F.pmod("key", F.lit(1 << 30)) <= F.create_map(*shares)[F.col("lang")] * (1 << 30))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("key"))
-    some = rows.withColumn("rank", rank).where(F.col("rank") <= per_language)
+    some = few.withColumn("rank", rank).where(F.col("rank") <= per_language)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
