@@ -319,7 +319,10 @@ def train(pages: list[str], variants: int = VARIANTS, seed: int = 3) -> Labeller
 
 def main_text(pages: DataFrame, keys: list[str], html_col: str = "html", sample: int = SAMPLE) -> DataFrame:
     """``keys`` of each row with text and n_chars (code points)."""
-    chosen = pages.where(F.length(html_col) > 0).select(F.xxhash64(*keys, html_col).alias("h"), html_col).orderBy("h", html_col).limit(sample).collect()
+    # a hashed share that holds the sample four times over, so that tasks send few pages; of that the smallest hashes
+    share = min(1.0, 4 * sample / max(1, pages.count()))
+    hashed = pages.where(F.length(html_col) > 0).select(F.xxhash64(*keys, html_col).alias("h"), html_col)
+    chosen = hashed.where(F.pmod("h", F.lit(1 << 30)) <= share * (1 << 30)).orderBy("h", html_col).limit(sample).collect()
     model = train([r[1] for r in chosen])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
