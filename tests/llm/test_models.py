@@ -129,6 +129,18 @@ def test_probabilities_add_up(spark, held):
         assert row.score == pytest.approx(want)
 
 
+def test_words_outside_the_core_make_states(spark):
+    rare = [f"x{i} p" for i in range(20)] + [f"y{i} q" for i in range(20)]
+    frame = spark.createDataFrame([(t,) for t in ["r p", "s q"] * 40 + rare * 2], "t string").selectExpr("cast(t as binary) as t")
+    lex, model = brown_lm.train(frame, core=4, classes=5)
+    of = {bytes(w.word).decode(): w["class"] for w in lex.collect()}
+    assert of["r"] != of["s"]
+    assert {of[f"x{i}"] for i in range(20)} == {of["r"]} and {of[f"y{i}"] for i in range(20)} == {of["s"]}  # only what comes after tells them apart
+    docs = spark.createDataFrame([(0, "x0 p"), (1, "x0 q"), (2, "y0 q"), (3, "y0 p")], "doc_id long, text string")
+    score = {r.doc_id: r.score for r in brown_lm.score(docs, lex, model, ["doc_id"]).collect()}
+    assert score[0] > score[1] + 0.5 and score[2] > score[3] + 0.5
+
+
 def test_exchange_climbs_to_a_local_best():
     def value(table, of, k):
         one = np.zeros((len(of), k))

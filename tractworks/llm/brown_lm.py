@@ -3,9 +3,11 @@
 Training tokens (words in lower-case A-Z, then one end per text) are counted over all training texts. The ``core`` most
 frequent words are put into ``classes`` classes by exchange clustering: word after word moves to the class that raises the
 likelihood of the class bigrams most, in sweeps, until nothing moves. What is gathered for that is the core's bigram
-table (at most core x core numbers). All other words, in one exchange step that Spark runs for every word at once, go to
-the class that explains best which core classes they follow. The state h before a token is the class of the last core word
-or end before it, so that rare words do not hide what came before.
+table (at most core x core numbers). Then come exchange rounds over all texts: for each other ``held`` word Spark counts the
+classes before and after it, and it goes to the class that explains both best. From the second round on all ``held`` words have
+classes, so what is counted are the neighbours themselves; rounds end when the likelihood of the class bigrams stops rising. The
+words beyond ``held`` take one such step against the final classes. The state h before a token is the class of the last ``held``
+word or end before it: of the token next to it, unless that is unseen or beyond ``held``.
 
     P(w | h) = P(class(w) | h) P(w | class(w))
 
@@ -34,7 +36,7 @@ from pyspark.sql import types as T
 from tractworks.llm.common import fold_of, read, settle
 
 CORE, CLASSES, HELD = 2000, 64, 300_000
-SWEEPS = 8
+SWEEPS, ROUNDS = 8, 3
 FLUSH = 600_000
 END = b""
 
@@ -90,22 +92,48 @@ def count_words(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def core_bigrams(texts: DataFrame, core: dict[bytes, int]) -> np.ndarray:
-    """core x core counts of a core token and the next one, words between them left out."""
-    size = len(core)
+def encode(texts: DataFrame, index: dict[bytes, int]) -> DataFrame:
+    """(ids): blocks of texts as 32-bit places in ``index``, -1 for other words."""
+    shared = texts.sparkSession.sparkContext.broadcast(index)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        get = shared.value.get
         for batch in batches:
-            keys = []
             for words, _ in blocks(batch.column(0).to_pylist()):
-                ids = np.fromiter((core.get(w, -1) for w in words), np.int64, len(words))
-                ids = np.append(core[END], ids[ids >= 0])
-                keys.append(ids[:-1] * size + ids[1:])
-            if keys:
-                key, n = np.unique(np.concatenate(keys), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n.astype(np.int64))], names=["key", "n"])
-
-    found = texts.mapInArrow(run, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")).toArrow()
+                ids = np.fromiter((get(w, -1) for w in words), np.int32, len(words))
+                yield pa.RecordBatch.from_arrays([pa.array([ids.tobytes()], pa.binary())], names=["ids"])
+
+    return texts.mapInArrow(run, "ids binary")
+
+
+def summed(keys: Iterator[np.ndarray], most: int = 3_000_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Keys and their counts, about ``most`` at a time."""
+    held, size = [], 0
+    for key in keys:
+        held.append(key)
+        size += len(key)
+        if size >= most:
+            yield np.unique(np.concatenate(held), return_counts=True)
+            held, size = [], 0
+    if size:
+        yield np.unique(np.concatenate(held), return_counts=True)
+
+
+def core_bigrams(coded: DataFrame, places: np.ndarray, size: int) -> np.ndarray:
+    """size x size counts of a core token and the next one, words between them left out; ``places`` has -1 for other words."""
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+        for batch in batches:
+            for block in batch.column(0).to_pylist():
+                ids = np.append(places, -1)[np.frombuffer(block, np.int32)]
+                ids = np.append(size - 1, ids[ids >= 0])
+                yield ids[:-1] * size + ids[1:]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, n in summed(keys(batches)):
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n.astype(np.int64))], names=["key", "n"])
+
+    found = coded.mapInArrow(run, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")).toArrow()
     table = np.zeros(size * size)
     table[found.column("key").to_numpy()] = found.column("n").to_numpy()
     return table.reshape(size, size)
@@ -163,58 +191,179 @@ def exchange(table: np.ndarray, classes: int, sweeps: int) -> np.ndarray:
     return of
 
 
-def lexicon(texts: DataFrame, core: dict[bytes, int], of: np.ndarray, table: np.ndarray) -> DataFrame:
-    """(word, n, class, hs, ns) for every training word: its count, class and counts by state."""
-    k = int(of.max()) + 1
-    one = np.zeros((len(of), k))
-    one[np.arange(len(of)), of] = 1
-    pairs = one.T @ table @ one
+def around(ids: np.ndarray, history: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
+    """The states before the places of a block, and the classes after them; ``history`` has -1 for words that are passed over."""
+    own = history[ids]
+    return states(own, start), states(own[::-1], start)[::-1]
+
+
+def class_pairs(coded: DataFrame, of: np.ndarray, history: np.ndarray, k: int) -> np.ndarray:
+    """k x k counts of a state and the class of the next token that has one."""
+    own, history = np.append(of, -1), np.append(history, -1)
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+        for batch in batches:
+            for block in batch.column(0).to_pylist():
+                ids = np.frombuffer(block, np.int32)
+                c = own[ids]
+                yield (states(history[ids], own[-2]) * k + c)[c >= 0]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pairs = np.zeros(k * k, np.int64)
+        for key in keys(batches):
+            pairs += np.bincount(key, minlength=k * k)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(k * k)), pa.array(pairs)], names=["key", "n"])
+
+    pairs = np.zeros(k * k)
+    for key, n in coded.mapInArrow(run, "key bigint, n bigint").groupBy("key").agg(F.sum("n")).collect():  # k x k rows
+        pairs[key] = n
+    return pairs.reshape(k, k)
+
+
+def gains_of(pairs: np.ndarray, end: int) -> np.ndarray:
+    """2 k x k: what a class before (then after) a word adds to the likelihood if the word is in each class."""
+    k = len(pairs)
     share = (pairs.sum(0) + 1) / (pairs.sum() + k)
-    gains = np.log((pairs + 20 * share) / (pairs.sum(1, keepdims=True) + 20)) - np.log(pairs.sum(0) + 1)
-    gains[:, of[core[END]]] = -np.inf
-    classes = {w: int(of[i]) for w, i in core.items()}
-    start = classes[END]
+    move = np.log((pairs + 20 * share) / (pairs.sum(1, keepdims=True) + 20))
+    gains = np.concatenate([move - np.log(pairs.sum(0) + 1), move.T])
+    gains[:, end] = -np.inf
+    return gains
+
+
+def best_classes(sizes: np.ndarray, h: np.ndarray, n: np.ndarray, gains: np.ndarray) -> np.ndarray:
+    """The best class of each word; word after word has ``sizes`` entries of h (k and over: classes after it) and n."""
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    best = np.empty(len(sizes), np.int32)
+    for i in range(0, len(sizes), 20_000):
+        a, b = np.searchsorted(row, (i, i + 20_000))
+        seen = np.zeros((min(20_000, len(sizes) - i), len(gains)))
+        seen[row[a:b] - i, h[a:b]] = n[a:b]
+        value = np.zeros((len(seen), gains.shape[1]))
+        for state in range(len(gains)):
+            hit = seen[:, state] > 0
+            value[hit] += seen[hit, state, None] * gains[state]
+        best[i : i + 20_000] = np.argmax(value, axis=1)
+    return best
+
+
+def entries(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sizes, h and n of lists of structs."""
+    flat = lists.flatten()
+    return np.diff(lists.offsets.to_numpy()), flat.field("h").to_numpy(zero_copy_only=False), flat.field("n").to_numpy(zero_copy_only=False)
+
+
+def exchange_round(coded: DataFrame, of: np.ndarray, history: np.ndarray, moving: np.ndarray, gains: np.ndarray) -> np.ndarray:
+    """``of`` after one step of all ``moving`` words at once, by the classes before and after all their tokens."""
+    k = gains.shape[1]
+    moves, past, start = np.append(moving, False), np.append(history, -1), int(of[-1])
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+        for batch in batches:
+            for block in batch.column(0).to_pylist():
+                ids = np.frombuffer(block, np.int32)
+                left, right = around(ids, past, start)
+                at = np.flatnonzero(moves[ids])
+                base = ids[at].astype(np.int64) * (2 * k)
+                yield np.concatenate([base + left[at], base + k + right[at]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, n in summed(keys(batches)):
+            yield pa.RecordBatch.from_arrays([pa.array((key // (2 * k)).astype(np.int32)), pa.array((key % (2 * k)).astype(np.int32)), pa.array(n.astype(np.int64))], names=["id", "h", "n"])
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(best_classes(*entries(batch.column(1)), gains))], names=["id", "class"])
+
+    seen = coded.mapInArrow(run, "id int, h int, n bigint").repartition("id")
+    lists = seen.groupBy("id", "h").agg(F.sum("n").alias("n")).groupBy("id").agg(F.collect_list(F.struct("h", "n")).alias("states"))
+    found = settle(lists.mapInArrow(choose, "id int, class int")).toArrow()  # a row for each held word at most
+    of = of.copy()
+    of[found.column("id").to_numpy()] = found.column("class").to_numpy()
+    return of
+
+
+def likelihood(pairs: np.ndarray) -> float:
+    f = lambda x: float((x * np.log(np.maximum(x, 1e-300))).sum())
+    return f(pairs) - f(pairs.sum(0)) - f(pairs.sum(1))
+
+
+def cluster(coded: DataFrame, of: np.ndarray, held: np.ndarray, k: int, rounds: int) -> np.ndarray:
+    """Classes of all words of the table: ``of`` has the core's, -1 for others; ``held`` words become history once they have a class."""
+    moving = of < 0
+    best, value = of, -np.inf
+    for i in range(rounds):
+        history = np.where(held, of, -1)
+        pairs = class_pairs(coded, of, history, k)
+        if i:
+            now = likelihood(pairs)
+            if now <= value:
+                break
+            best, value = of, now
+        if not moving.any():
+            break
+        if i < rounds - 1 or rounds == 1:
+            of = exchange_round(coded, of, history, moving, gains_of(pairs, int(of[-1])))
+            best = of if not i else best
+    return best
+
+
+def lexicon(texts: DataFrame, words: list[bytes], index: dict[bytes, int], of: np.ndarray, history: np.ndarray, gains: np.ndarray) -> DataFrame:
+    """(word, n, class, states) for every training word: its count, class and counts by state."""
+    k = gains.shape[1]
+    shared = texts.sparkSession.sparkContext.broadcast((words, index))
+    past, start = np.append(history, -1), int(of[-1])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, index = shared.value
+        names = pa.array(words, pa.binary())
         counts: Counter = Counter()
+        keys, size = [], 0
 
         def flush():
-            words, hs = zip(*counts, strict=True)
-            return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(hs, pa.int32()), pa.array(list(counts.values()), pa.int64())], names=["word", "h", "n"])
+            found, hs = zip(*counts, strict=True)
+            return pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), pa.array(hs, pa.int32()), pa.array(list(counts.values()), pa.int64())], names=["word", "h", "n"])
+
+        def flush_keys():
+            for key, n in summed(iter(keys)):
+                yield pa.RecordBatch.from_arrays([names.take(pa.array(key // k)), pa.array((key % k).astype(np.int32)), pa.array(n.astype(np.int64))], names=["word", "h", "n"])
+            keys.clear()
 
         for batch in batches:
-            for words, _ in blocks(batch.column(0).to_pylist()):
-                h = states(np.fromiter((classes.get(w, -1) for w in words), np.int64, len(words)), start)
-                counts.update(zip(words, h.tolist(), strict=True))
+            for found, _ in blocks(batch.column(0).to_pylist()):
+                ids = np.fromiter((index.get(w, -1) for w in found), np.int32, len(found))
+                left, right = around(ids, past, start)
+                keys.append((ids.astype(np.int64) * k + left)[ids >= 0])
+                size += len(ids)
+                rare = np.flatnonzero(ids < 0)
+                some = [found[i] for i in rare.tolist()]
+                counts.update(zip(some, left[rare].tolist(), strict=True))
+                counts.update(zip(some, (right[rare] + k).tolist(), strict=True))
                 if len(counts) >= FLUSH:
                     yield flush()
                     counts.clear()
+                if size >= 3_000_000:
+                    yield from flush_keys()
+                    size = 0
         if counts:
             yield flush()
+        yield from flush_keys()
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = shared.value[1]
         for batch in batches:
-            words = batch.column(0).to_pylist()
             lists = batch.column(1)
-            sizes = np.diff(lists.offsets.to_numpy())
-            h = lists.flatten().field("h").to_numpy(zero_copy_only=False)
-            n = lists.flatten().field("n").to_numpy(zero_copy_only=False)
-            row = np.repeat(np.arange(len(words)), sizes)
-            total = np.bincount(row, n, len(words)).astype(np.int64)
-            best = np.empty(len(words), np.int32)
-            for i in range(0, len(words), 20_000):
-                a, b = np.searchsorted(row, (i, i + 20_000))
-                seen = np.zeros((min(20_000, len(words) - i), k))
-                seen[row[a:b] - i, h[a:b]] = n[a:b]
-                value = np.zeros((len(seen), k))
-                for state in range(k):
-                    hit = seen[:, state] > 0
-                    value[hit] += seen[hit, state, None] * gains[state]
-                best[i : i + 20_000] = np.argmax(value, axis=1)
-            fixed = [(i, classes[w]) for i, w in enumerate(words) if w in classes]
-            for i, c in fixed:
-                best[i] = c
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(total), pa.array(best), lists], names=["word", "n", "class", "states"])
+            sizes, h, n = entries(lists)
+            row = np.repeat(np.arange(len(sizes)), sizes)
+            before = h < k
+            total = np.bincount(row[before], n[before], len(sizes)).astype(np.int64)
+            ids = np.fromiter((index.get(w, -1) for w in batch.column(0).to_pylist()), np.int64, len(sizes))
+            best = np.where(ids >= 0, of[ids], -1).astype(np.int32)
+            rare = ids < 0
+            some = rare[row]
+            best[rare] = best_classes(sizes[rare], h[some], n[some], gains)
+            ends = np.concatenate([[0], np.cumsum(np.bincount(row[before], minlength=len(sizes)))]).astype(np.int32)
+            left = pa.ListArray.from_arrays(pa.array(ends), lists.flatten().filter(pa.array(before)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(total), pa.array(best), left], names=["word", "n", "class", "states"])
 
     seen = texts.mapInArrow(run, "word binary, h int, n bigint").repartition("word")
     lists = seen.groupBy("word", "h").agg(F.sum("n").alias("n")).groupBy("word").agg(F.collect_list(F.struct("h", "n")).alias("states"))
@@ -224,8 +373,8 @@ def lexicon(texts: DataFrame, core: dict[bytes, int], of: np.ndarray, table: np.
 class Model:
     """Log10 transition and emission tables; class ``k`` is the unseen type's."""
 
-    def __init__(self, lex: DataFrame, core: dict[bytes, int], of: np.ndarray, held: int):
-        k = self.k = int(of.max()) + 1 if len(of) else 1
+    def __init__(self, lex: DataFrame, words: list[bytes], counts: np.ndarray, of: np.ndarray, k: int, start: int):
+        self.k, self.words, self.counts, self.of, self.start = k, words, counts, of, start
         one, two, self.total, self.types = (x or 0 for x in lex.agg(F.sum((F.col("n") == 1).cast("long")), F.sum((F.col("n") == 2).cast("long")), F.sum("n"), F.count(F.lit(1))).first())
         self.discount = min(one / (one + 2 * two), 0.75) if one else 0.0
         pairs, once = np.zeros((k, k)), np.zeros(k)
@@ -244,12 +393,11 @@ class Model:
             self.move = np.log10(np.concatenate([move, unseen[:, None]], axis=1))
             self.log_size = np.log10(self.sizes - self.discount * self.kinds)
         self.base_total = self.total + 0.5 * (self.types + 1)
-        top = lex.orderBy(F.desc("n"), "word").select("word", "n", "class").limit(held).toArrow()
-        self.words = top.column("word").to_pylist()
-        self.counts = top.column("n").to_numpy()
-        self.of = top.column("class").to_numpy()
-        self.start = int(of[core[END]]) if END in core else 0
-        self.classes = {w: int(of[i]) for w, i in core.items()}
+
+    @property
+    def classes(self) -> dict[bytes, int]:
+        """The words that make states, and their classes."""
+        return dict(zip(self.words, self.of.tolist(), strict=True))
 
 
 def score(docs: DataFrame, lex: DataFrame, model: Model, keys: list[str], text_col: str = "text") -> DataFrame:
@@ -261,15 +409,14 @@ def score(docs: DataFrame, lex: DataFrame, model: Model, keys: list[str], text_c
         m = shared.value
         if not index:
             index.update({w: i for i, w in enumerate(m.words)})
-        core = np.fromiter((m.classes.get(w, -1) for w in m.words), np.int64, len(m.words))
-        core = np.append(core, -1)
+        past = np.append(m.of, -1).astype(np.int64)
         with np.errstate(divide="ignore"):
             emit = np.append(np.log10(m.counts - m.discount) - m.log_size[m.of], 0.0)
             base = np.append(np.log10((m.counts + 0.5) / m.base_total), 0.0)
-        return m, core, np.append(m.of, m.k).astype(np.int64), emit, base
+        return m, past, np.append(m.of, m.k).astype(np.int64), emit, base
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, core, of, emit, base = ready()
+        m, past, of, emit, base = ready()
         get = index.get
         last = len(m.words)
         for batch in batches:
@@ -277,7 +424,7 @@ def score(docs: DataFrame, lex: DataFrame, model: Model, keys: list[str], text_c
             done = 0
             for words, sizes in blocks(batch.column(1).to_pylist()):
                 ids = np.fromiter((get(w, last) for w in words), np.int64, len(words))
-                h = states(core[ids], m.start)
+                h = states(past[ids], m.start)
                 known = ids < last
                 value = np.where(known, m.move[h, of[ids]] + emit[ids], 0.0)
                 starts = np.cumsum(sizes) - sizes
@@ -317,14 +464,28 @@ SENT = T.StructType([
 ])
 
 
-def train(texts: DataFrame, core: int = CORE, classes: int = CLASSES, held: int = HELD, sweeps: int = SWEEPS) -> tuple[DataFrame, Model]:
+def train(texts: DataFrame, core: int = CORE, classes: int = CLASSES, held: int = HELD, sweeps: int = SWEEPS, rounds: int = ROUNDS) -> tuple[DataFrame, Model]:
     """The lexicon of a frame with one binary column, and the model's tables."""
-    words = [bytes(r[0]) for r in count_words(texts).where(F.length("word") > 0).orderBy(F.desc("n"), "word").select("word").limit(core).collect()]
-    index = {w: i for i, w in enumerate([*words, END])}
-    table = core_bigrams(texts, index)
-    of = exchange(table, classes, sweeps)
-    lex = settle(lexicon(texts, index, of, table))
-    return lex, Model(lex, index, of, held)
+    top = count_words(texts).orderBy(F.desc("n"), "word").limit(max(held, core + 1)).toArrow()
+    found, counts = top.column("word").to_pylist(), top.column("n").to_numpy()
+    kept = min(held, len(found))
+    at_core = [w for w in found if w][:core]
+    # the end is last, as start and own[-2] expect; words past both bounds are left to the lexicon
+    words = [*dict.fromkeys(w for w in [*found[:kept], *at_core] if w), END]
+    index = {w: i for i, w in enumerate(words)}
+    coded = settle(encode(texts, index))
+    places = np.full(len(words), -1)
+    places[[index[w] for w in at_core]] = np.arange(len(at_core))
+    places[-1] = len(at_core)
+    core_of = exchange(core_bigrams(coded, places, len(at_core) + 1), classes, sweeps)
+    k = int(core_of.max()) + 1
+    states_from = {*found[:kept], END}
+    past = np.array([w in states_from for w in words])
+    of = cluster(coded, np.where(places >= 0, core_of[places], -1), past, k, rounds)
+    history = np.where(past, of, -1)
+    gains = gains_of(class_pairs(coded, of, history, k), int(of[-1]))
+    lex = settle(lexicon(texts, words, index, of, history, gains))
+    return lex, Model(lex, found[:kept], counts[:kept], of[[index[w] for w in found[:kept]]] if kept else np.zeros(0, np.int64), k, int(of[-1]))
 
 
 def brown_lm(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 5, held_fold: int = 1, **options) -> DataFrame:
