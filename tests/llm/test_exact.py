@@ -86,6 +86,13 @@ def test_components_of_odd_rows(spark):
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == sorted(set(by.values())) and kept.columns == ["doc_id", "text", "kept", "spans", "score"]
 
 
+def test_kept_rows_are_told_apart_by_id_and_text(spark):
+    one, two, three = ("alpha beta gamma delta", "red green blue white black", "un deux trois quatre cinq six")
+    rows = [(1, one), (1, two), (2, one), (None, two), (None, three), (None, three), (3, two)]
+    kept = simhash.keep_one(docs_of(spark, rows))
+    assert sorted(((r.doc_id or 0), r.text) for r in kept.collect()) == sorted([(1, one), (1, two), (0, three)])
+
+
 def test_simhash_query(spark):
     rows = {r.doc_id: r.text for r in spark.read.parquet(f"{DIR}/documents.parquet").collect()}
     fps = {i: brute.fingerprint(t) for i, t in rows.items()}

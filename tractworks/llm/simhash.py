@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tractworks.llm.common import read, settle
+from tractworks.llm.common import read, row_key, settle
 
 #: The bits of an XXH64 with this seed.
 _hash = partial(xxhash.xxh64_intdigest, seed=42)
@@ -133,11 +133,12 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """One row of each component: the one whose id names it (of repeats of that id, one). Rows without an id stay."""
-    found = components(docs.where(F.col(id_col).isNotNull()), id_col, text_col, **options)
-    roots = found.where(F.col(id_col) == F.col("component")).select(F.col(id_col).alias("__root")).distinct()
-    kept = docs.join(roots, docs[id_col] == roots["__root"], "left_semi").dropDuplicates([id_col])
-    return kept.unionByName(docs.where(F.col(id_col).isNull()))
+    """One row of each component: the one of the smallest id (rows without one come last) and, of rows of that id, the smallest key."""
+    keyed = docs.withColumn("__key", row_key(id_col, text_col))
+    rank = F.struct(F.col(id_col).isNull().alias("last"), F.col(id_col).alias("id"), F.col("__key").alias("key"))
+    found = components(keyed.select(rank.alias("__rank"), F.col(text_col).alias("__text")), "__rank", "__text", **options)
+    roots = found.select(F.col("component.key").alias("__root")).distinct()
+    return keyed.join(roots, keyed["__key"] == roots["__root"], "left_semi").dropDuplicates(["__key"]).drop("__key")
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
