@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Multipliers of the rolling sums below (odd 64-bit numbers from a fixed generator).
 MIX = np.random.default_rng(20240229).integers(1, 2**63, 512, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -42,9 +44,59 @@ def fold_of(doc_id: str | Column, folds: int) -> Column:
     return F.crc32(F.coalesce(col.cast("string"), F.lit("")).cast("binary")) % folds
 
 
-def row_key(doc_id: str, text: str) -> Column:
-    """64-bit key of a row made from its id and text: rows of one key are repeats of one document."""
-    return F.xxhash64(F.lit("row"), F.col(doc_id), F.col(text))
+def row_keys(docs: DataFrame, id_col: str, text_col: str) -> tuple[Column, Column]:
+    """(key, tag): 64 and 32 bits that tell rows of different id or text apart; rows of equal id and text are repeats.
+
+    An integer id is its own key, so only rows of one id could share both; other ids are hashed. Rows without an id have a hash of the text.
+    """
+    whole = isinstance(docs.schema[id_col].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
+    own = F.col(id_col).cast("long") if whole else F.when(F.col(id_col).isNotNull(), F.xxhash64(F.lit("row"), F.col(id_col)))
+    return F.coalesce(own, F.xxhash64(F.lit("none"), F.col(text_col))), F.hash(F.col(text_col), F.col(id_col))
+
+
+#: Bytes of a batch that are worked on at a time, and bytes after which freed memory goes back to the system.
+SLICE_BYTES, TRIM_BYTES = 4 << 20, 64 << 20
+
+
+def slices(batch: pa.RecordBatch, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """A batch in parts of about ``most`` bytes or one row."""
+    if batch.num_rows < 2 or batch.nbytes <= most:
+        yield batch
+    else:
+        half = batch.num_rows // 2
+        yield from slices(batch.slice(0, half), most)
+        yield from slices(batch.slice(half), most)
+
+
+def released() -> None:
+    """Gives freed memory back: a Python worker lives on after its task and would keep it."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` for ``mapInArrow``, with batches cut to ``SLICE_BYTES`` and memory given back during and after the task."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = 0
+        for batch in batches:
+            for part in slices(batch):
+                held += part.nbytes
+                yield part
+                if held > TRIM_BYTES:
+                    released()
+                    held = 0
+
+    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(cut(batches))
+        finally:
+            released()
+
+    return over
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -56,6 +108,51 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+_BASE = 0xD1342543DE82EF95
+_BACK = pow(_BASE, -1, 2**64)
+_powers: dict[int, np.ndarray] = {}
+
+
+def powers(base: int, n: int) -> np.ndarray:
+    """base**0 .. base**(n-1) modulo 2**64."""
+    have = _powers.get(base)
+    if have is None or len(have) < n:
+        size = 1 << max(16, (n - 1).bit_length())
+        have = np.full(size, base, np.uint64)
+        have[0] = 1
+        np.multiply.accumulate(have, out=have)
+        _powers[base] = have
+    return have[:n]
+
+
+class PrefixSums:
+    """Polynomial hashes of any stretch of a sequence of 64-bit values."""
+
+    def __init__(self, values: np.ndarray):
+        self.sums = np.zeros(len(values) + 1, np.uint64)
+        np.cumsum(values * powers(_BASE, len(values)), out=self.sums[1:])
+        self.back = powers(_BACK, len(values) + 1)
+
+    def of(self, start: np.ndarray | slice, stop: np.ndarray | slice) -> np.ndarray:
+        return mixed((self.sums[stop] - self.sums[start]) * self.back[start])
+
+
+def in_blocks(batches: Iterator[pa.RecordBatch], most_bytes: int) -> Iterator[tuple[list[int], list[int], list[bytes]]]:
+    """Keys, orders (or tags) and texts of Arrow batches of three columns, about ``most_bytes`` of text at a time."""
+    keys, ords, texts, held = [], [], [], 0
+    for batch in batches:
+        for key, order, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            keys.append(key)
+            ords.append(order)
+            texts.append(text or b"")
+            held += len(texts[-1])
+            if held >= most_bytes:
+                yield keys, ords, texts
+                keys, ords, texts, held = [], [], [], 0
+    if keys:
+        yield keys, ords, texts
+
+
 def gram_hashes(ids: np.ndarray, k: int, salt: int = 0) -> np.ndarray:
     """64-bit hashes of all runs of ``k`` neighbours in a uint64 array."""
     n = len(ids) - k + 1
@@ -90,15 +187,3 @@ def union_length(spans: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
         else:
             out.append((a, b))
     return out
-
-
-def pieces_of(batches: Iterator[pa.RecordBatch], most_bytes: int = 8_000_000, text: int = 1) -> Iterator[list[tuple]]:
-    """Rows of Arrow batches as lists of tuples holding about ``most_bytes`` of column ``text``."""
-    for batch in batches:
-        cols = [c.to_pylist() for c in batch.columns]
-        start, held = 0, 0
-        for i, t in enumerate(cols[text]):
-            held += len(t or b"")
-            if held >= most_bytes or i == len(cols[text]) - 1:
-                yield list(zip(*(c[start : i + 1] for c in cols), strict=True))
-                start, held = i + 1, 0

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tractworks.llm.common import gram_hashes, read, settle, window_argmin
+from tractworks.llm.common import gram_hashes, lean, read, row_keys, settle, window_argmin
 
 SPAN, GRAM = 13, 6
 BITMAP_BITS = 1 << 23
@@ -86,7 +86,7 @@ def item_fingerprints(items: DataFrame, id_col: str, text_col: str, span: int, g
             yield pa.RecordBatch.from_arrays([pa.array(ids_out, batch.column(0).type), pa.array(out, _ARROW)], names=["item", "c"])
 
     schema = T.StructType([T.StructField("item", items.schema[id_col].dataType), T.StructField("c", CANDIDATE)])
-    return items.select(F.col(id_col), F.col(text_col).cast("binary")).mapInArrow(run, schema).select("item", "c.*")
+    return items.select(F.col(id_col), F.col(text_col).cast("binary")).mapInArrow(lean(run), schema).select("item", "c.*")
 
 
 def bitmap(found: DataFrame, bits: int) -> np.ndarray:
@@ -130,7 +130,7 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(counts, pa.int64()), pa.array(lists, pa.list_(_ARROW))], names=["row", "id", "n_words", "found"])
 
     schema = T.StructType([T.StructField("row", T.LongType()), T.StructField("id", docs.schema[id_col].dataType), T.StructField("n_words", T.LongType()), T.StructField("found", T.ArrayType(CANDIDATE))])
-    seen = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text")).mapInArrow(run, schema)
+    seen = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text")).mapInArrow(lean(run), schema)
     hits = seen.select("row", "id", "n_words", F.explode_outer("found").alias("c"))
     # rows without a candidate get keys of their own, so that they don't meet in one task
     hits = hits.select("row", "id", "n_words", F.coalesce("c.len", F.lit(0)).alias("len"), F.coalesce("c.fp", F.xxhash64("row")).alias("fp"), F.col("c.at").alias("at"), F.col("c.before").alias("before"), F.col("c.words").alias("words"))
@@ -166,7 +166,7 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
 
     out = T.StructType([*schema.fields[:3], T.StructField("start", T.IntegerType()), T.StructField("stop", T.IntegerType()), T.StructField("item", items.schema[item_id].dataType)])
     hit = F.when(F.col("start").isNotNull(), F.struct("start", "stop"))
-    return joined.mapInArrow(extend, out).groupBy("row").agg(F.first("id").alias("id"), F.first("n_words").alias("n_words"), F.collect_set(hit).alias("spans"), F.collect_set("item").alias("items"))
+    return joined.mapInArrow(lean(extend), out).groupBy("row").agg(F.first("id").alias("id"), F.first("n_words").alias("n_words"), F.collect_set(hit).alias("spans"), F.collect_set("item").alias("items"))
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_percent: int = 5, **options) -> DataFrame:
@@ -179,7 +179,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows that are not contaminated, all columns as they were; rows of one id and text go or stay together."""
-    key = F.xxhash64(F.lit("row"), F.col(id_col), F.col(text_col))
+    key = F.struct(*(c.alias(n) for c, n in zip(row_keys(docs, id_col, text_col), ("key", "tag"), strict=True)))
     keyed = docs.select(key.alias("__key"), F.col(text_col).alias("__text"))
     bad = decontaminate(keyed, items, "__key", "__text", **options).where("contaminated").select("__key").distinct()
     return docs.join(bad, key == bad["__key"], "left_anti")

@@ -24,15 +24,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tractworks.llm.common import MIX, read
+from tractworks.llm.common import MIX, lean, read
 
 SYMBOLS = b"#*$%&|<>"
 SPACES = b" \t\n\x0b\x0c\r"
 UPPER = bytes(range(65, 91))
 LOWER = bytes(range(97, 123))
 WINDOW = 8
-#: Rows whose texts are held at a time where texts are returned.
-SLICE = 512
 BOILERPLATE = (
     "all rights reserved|licensed under|copyright \\(c\\)|cookie policy|use of cookies|privacy policy|terms of service|"
     "terms of use|sign in|log in|subscribe to our|click here|read more|skip to content|enable javascript"
@@ -154,7 +152,7 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), *(T.StructField(n, kinds[k]) for n, k in FIELDS)])
     if with_text:
         schema = schema.add("clean_text", T.StringType())
-    return docs.select(F.col(id_col), F.col(text_col).cast("binary")).mapInArrow(run, schema)
+    return docs.select(F.col(id_col), F.col(text_col).cast("binary")).mapInArrow(lean(run), schema)
 
 
 def keep_good(docs: DataFrame, text_col: str = "text", symbols_per_10_words: int = 3, most_lost_percent: int = 50) -> DataFrame:
@@ -166,16 +164,18 @@ def keep_good(docs: DataFrame, text_col: str = "text", symbols_per_10_words: int
     at = names.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for i in range(0, whole.num_rows, SLICE):
-                batch = whole.slice(i, SLICE)
-                judged = [judge(t and t.encode(), symbols_per_10_words, most_lost_percent) for t in batch.column(at).to_pylist()]
-                texts = [b"\n".join(good).decode("utf-8", "replace") if row[6] else "" for row, good in judged]
-                cols = list(batch.columns)
-                cols[at] = pa.array(texts, pa.string())
-                yield pa.RecordBatch.from_arrays(cols, names=names).filter(pa.array([row[6] for row, _ in judged], pa.bool_()))
-
-    out = docs.mapInArrow(run, docs.schema)
+        for batch in batches:
+            kept, texts = [], []
+            for t in batch.column(at).to_pylist():
+                row, good = judge(t and t.encode(), symbols_per_10_words, most_lost_percent)
+                kept.append(row[6])
+                if row[6]:
+                    texts.append(b"\n".join(good).decode("utf-8", "replace"))
+            cols = batch.filter(pa.array(kept, pa.bool_())).columns
+            cols[at] = pa.array(texts, pa.string())
+            yield pa.RecordBatch.from_arrays(cols, names=names)
+
+    out = docs.mapInArrow(lean(run), docs.schema)
     return out.withColumn("n_chars", F.length(text_col).cast(docs.schema["n_chars"].dataType)) if "n_chars" in names else out
 
 

@@ -27,11 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tractworks.llm.common import mixed, settle
+from tractworks.llm.common import PrefixSums, in_blocks, mixed, settle
 
-_BASE = 0xD1342543DE82EF95
-_BACK = pow(_BASE, -1, 2**64)
-_powers: dict[int, np.ndarray] = {}
 LAST_ID = 2**63 - 1
 
 ANCHORS = T.StructType([T.StructField(n, T.LongType()) for n in ("c", "u", "key", "ord", "at")])
@@ -41,52 +38,12 @@ TOGETHER, PART = 64, 16
 STEADY, OFFSET, OWNED = 1 << 31, 20, (1 << 20) - 1
 
 
-def powers(base: int, n: int) -> np.ndarray:
-    """base**0 .. base**(n-1) modulo 2**64."""
-    have = _powers.get(base)
-    if have is None or len(have) < n:
-        size = 1 << max(16, (n - 1).bit_length())
-        have = np.full(size, base, np.uint64)
-        have[0] = 1
-        np.multiply.accumulate(have, out=have)
-        _powers[base] = have
-    return have[:n]
-
-
-class PrefixSums:
-    """Polynomial hashes of any stretch of a sequence of 64-bit values."""
-
-    def __init__(self, values: np.ndarray):
-        self.sums = np.zeros(len(values) + 1, np.uint64)
-        np.cumsum(values * powers(_BASE, len(values)), out=self.sums[1:])
-        self.back = powers(_BACK, len(values) + 1)
-
-    def of(self, start: np.ndarray | slice, stop: np.ndarray | slice) -> np.ndarray:
-        return mixed((self.sums[stop] - self.sums[start]) * self.back[start])
-
-
 def text_rows(docs: DataFrame, id_col: str, text_col: str, ordered: bool) -> DataFrame:
     """(key, ord, text as bytes); rows of equal id and text share their key. ord is the id, rows without one come last; 0 if not ``ordered``."""
     order = F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)) if ordered else F.lit(0).cast("long")
     return docs.select(F.xxhash64(F.lit("row"), F.col(id_col), F.col(text_col)).alias("key"), order.alias("ord"), F.col(text_col).cast("binary").alias("text"))
 
 
-def in_blocks(batches: Iterator[pa.RecordBatch], most_bytes: int) -> Iterator[tuple[list[int], list[int], list[bytes]]]:
-    """Keys, orders and texts of Arrow batches, about ``most_bytes`` of text at a time."""
-    keys, ords, texts, held = [], [], [], 0
-    for batch in batches:
-        for key, order, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            keys.append(key)
-            ords.append(order)
-            texts.append(text or b"")
-            held += len(texts[-1])
-            if held >= most_bytes:
-                yield keys, ords, texts
-                keys, ords, texts, held = [], [], [], 0
-    if keys:
-        yield keys, ords, texts
-
-
 class Units:
     """What the engine has to know of a kind of text: its anchors, and the values of its units.
 

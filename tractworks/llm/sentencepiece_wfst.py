@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tractworks.llm.common import read
+from tractworks.llm.common import lean, read
 
 MODEL = os.environ.get("TRACTWORKS_PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 SPACE = "▁"
@@ -353,7 +353,7 @@ def encode(docs: DataFrame, text_col: str = "text", model_path: str = MODEL, wit
                 yield pa.RecordBatch.from_arrays([*part.columns, *(pa.array(values[a], kind) for a, _, kind in added)], names=[*names, *(a[0] for a in added)])
         machine.forget()
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *(T.StructField(a, kind) for a, kind, _ in added)]))
+    return docs.mapInArrow(lean(run), T.StructType([*docs.schema.fields, *(T.StructField(a, kind) for a, kind, _ in added)]))
 
 
 def decode(rows: DataFrame, ids_col: str = "piece_ids", to: str = "decoded", model_path: str = MODEL) -> DataFrame:
@@ -366,7 +366,7 @@ def decode(rows: DataFrame, ids_col: str = "piece_ids", to: str = "decoded", mod
             texts = [None if ids is None else machine.decode(ids) for ids in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, to])
 
-    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField(to, T.StringType())]))
+    return rows.mapInArrow(lean(run), T.StructType([*rows.schema.fields, T.StructField(to, T.StringType())]))
 
 
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tractworks.llm.common import read, row_key, settle
+from tractworks.llm.common import lean, read, row_keys, settle
 
 #: The bits of an XXH64 with this seed.
 _hash = partial(xxhash.xxh64_intdigest, seed=42)
@@ -58,7 +58,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], names=[id_col, "fp"])
 
     schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("fp", T.LongType())])
-    return docs.select(F.col(id_col), F.col(text_col).cast("binary")).mapInArrow(run, schema)
+    return docs.select(F.col(id_col), F.col(text_col).cast("binary")).mapInArrow(lean(run), schema)
 
 
 def postings(fps: DataFrame) -> DataFrame:
@@ -134,7 +134,7 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """One row of each component: the one of the smallest id (rows without one come last) and, of rows of that id, the smallest key."""
-    keyed = docs.withColumn("__key", row_key(id_col, text_col))
+    keyed = docs.withColumn("__key", F.struct(*(c.alias(n) for c, n in zip(row_keys(docs, id_col, text_col), ("key", "tag"), strict=True))))
     rank = F.struct(F.col(id_col).isNull().alias("last"), F.col(id_col).alias("id"), F.col("__key").alias("key"))
     found = components(keyed.select(rank.alias("__rank"), F.col(text_col).alias("__text")), "__rank", "__text", **options)
     roots = found.select(F.col("component.key").alias("__root")).distinct()

@@ -1,11 +1,20 @@
 """Exact removal of repeated byte strings by a depth-limited radix sort of suffixes.
 
-Texts are UTF-8 bytes; a suffix matters only through its first ``threshold`` bytes (200). The most significant digit
-of a suffix is its text's synchronising k-gram: of the k-grams (``DIGIT`` bytes) that begin within the threshold the one
-with the smallest hash (leftmost on ties). Equal strings of ``threshold`` bytes have the same digit at the same offset, and
-neighbouring suffixes mostly share one, so the first pass sorts one row per stretch of suffixes. Digits that occur once are
-finished. The next pass splits what is left by all the bytes that a stretch's suffixes reach, and the last one splits the
-suffixes of stretches that differ there by their ``threshold`` bytes: its equal groups are exactly the repeated windows.
+Texts are UTF-8 bytes; a suffix matters only through its first ``threshold`` bytes (200). Suffixes are not rows of their own:
+a run of neighbouring suffixes is one row as long as all of them go into the same buckets. The passes, each a grouping in Spark:
+
+1. The first digit is a ``digit``-byte string (64) that each suffix's first 200 bytes hold: of those 137 the one with the smallest
+   hash, leftmost on ties. Equal strings of 200 bytes have it at the same distance, and neighbours mostly share one, so a run is
+   the suffixes that share a digit. Buckets (digits) with one run are finished: nothing in them is repeated.
+2. Runs of a bucket that agree on all bytes which their suffixes reach are one group: all of their suffixes are repeated. One of
+   them stands for the group in the passes that follow; a bucket with one group is finished.
+3. Each pass after that cuts what is left into runs of a fourth of the suffixes, at fixed distances from the digit. The bytes that
+   all suffixes of such a part have in common, ever more of them (166, 192, 198 and in the last pass 200), split the bucket;
+   buckets with one member are finished, parts that agree on all their bytes are groups, as before.
+
+In the last pass a run is one suffix, its bucket is the suffix's first 200 bytes, and the equal groups are exactly the repeated
+windows. From pass 3 on rows carry the bytes themselves and are grouped by them; in pass 2 whole runs are told equal by two
+64-bit hashes. A suffix's bytes are thus compared from its digit outwards and not from its first byte; the groups are the same.
 
 All bytes in a repeated window go, wherever it starts. Null texts are empty; texts under ``threshold`` bytes stay whole;
 a row without an id is a document too; repeated rows count as copies of each other; an empty table gives an empty result;
@@ -18,74 +27,155 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tractworks.llm.common import mixed, read, union_length
-from tractworks.llm.repeats import PrefixSums, Units, repeated_spans, text_rows
+from tractworks.llm.common import PrefixSums, in_blocks, lean, mixed, read, row_keys, settle, union_length
 
 THRESHOLD = 200
 DIGIT = 64
+RADIX = 4
 VALUES = np.random.default_rng(11).integers(0, 2**64, 256, dtype=np.uint64)
 
+#: A run: digit, hash of all its bytes, row, and in ``at`` the first suffix, its distance from the digit and the number of suffixes.
+RUNS = T.StructType([T.StructField("c", T.LongType()), T.StructField("u", T.LongType()), T.StructField("key", T.LongType()), T.StructField("tag", T.IntegerType()), T.StructField("at", T.LongType())])
+#: A run with its bytes; ``bucket`` is a hash of what has split it so far, ``lead`` the distance of the digit from the first suffix.
+SPELLED = T.StructType([
+    T.StructField("bucket", T.LongType()), T.StructField("lead", T.IntegerType()), T.StructField("content", T.BinaryType()),
+    T.StructField("key", T.LongType()), T.StructField("tag", T.IntegerType()), T.StructField("first", T.IntegerType()),
+])
+
+
+def runs_of(texts: list[bytes], threshold: int, digit: int) -> tuple[np.ndarray, ...]:
+    """(text, c, u, first, n, lead) of the runs of several texts: text number, digit, hash of all bytes, first suffix, suffixes, distance."""
+    texts = [t if len(t) >= threshold else b"" for t in texts]
+    sizes = np.array([len(t) for t in texts], np.int64)
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    if len(data) < threshold:
+        return tuple(np.empty(0, k) for k in (np.int64, np.uint64, np.uint64, np.int64, np.int64, np.int64))
+    sums = PrefixSums(VALUES[data])
+    n = len(data) - threshold + 1
+    h = sums.of(slice(None, len(data) - digit + 1), slice(digit, None))
+    best = (h & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(h), dtype=np.uint64)
+    size, window = 1, threshold - digit + 1
+    while 2 * size <= window:
+        best = np.minimum(best[:-size], best[size:])
+        size *= 2
+    best = np.minimum(best[:n], best[window - size : window - size + n])
+    at = (best & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    starts = np.cumsum(sizes) - sizes
+    inside = sizes > 0
+    ends = (starts + sizes - threshold + 1)[inside]
+    whole = np.zeros(n + 1, np.int32)  # suffixes that have threshold bytes
+    whole[starts[inside]] += 1
+    whole[ends] -= 1
+    new = np.ones(n, bool)
+    new[1:] = at[1:] != at[:-1]
+    new[starts[inside]] = True
+    new &= np.cumsum(whole[:-1]) > 0
+    first = np.flatnonzero(new)
+    after = np.append(first[1:], n)
+    text = np.flatnonzero(inside)[np.searchsorted(starts[inside], first, "right") - 1]
+    last = np.minimum(after, (starts + sizes - threshold + 1)[text])
+    owned, lead = last - first, at[first] - first
+    u = mixed(sums.of(first, last - 1 + threshold) ^ (owned.astype(np.uint64) << np.uint64(32)) ^ lead.astype(np.uint64))
+    return text, h[at[first]], u, first - starts[text], owned, lead
+
+
+def runs(rows: DataFrame, threshold: int, digit: int, most_bytes: int = 500_000) -> DataFrame:
+    """RUNS of all rows (key, tag, text)."""
 
-class Bytes(Units):
-    """Byte texts: anchors are synchronising k-grams."""
-
-    kind = np.uint8
-
-    def __init__(self, threshold: int, digit: int):
-        self.width, self.digit = threshold, digit
-
-    def values(self, text: bytes) -> np.ndarray:
-        return np.frombuffer(text, np.uint8)
-
-    def spread(self, values: np.ndarray) -> np.ndarray:
-        return VALUES[values]
-
-    def anchors(self, texts: list[bytes]) -> tuple[np.ndarray, ...]:
-        threshold, digit = self.width, self.digit
-        texts = [t if len(t) >= threshold else b"" for t in texts]
-        sizes = np.array([len(t) for t in texts], np.int64)
-        data = np.frombuffer(b"".join(texts), np.uint8)
-        if len(data) < threshold:
-            return tuple(np.empty(0, k) for k in (np.int64, np.uint64, np.uint64, np.int64, np.int64, np.int64, bool))
-        sums = PrefixSums(self.spread(data))
-        n = len(data) - threshold + 1
-        h = sums.of(slice(None, len(data) - digit + 1), slice(digit, None))
-        best = (h & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(h), dtype=np.uint64)
-        size, window = 1, threshold - digit + 1
-        while 2 * size <= window:
-            best = np.minimum(best[:-size], best[size:])
-            size *= 2
-        best = np.minimum(best[:n], best[window - size : window - size + n])
-        at = (best & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        starts = np.cumsum(sizes) - sizes
-        whole = np.zeros(n + 1, np.int32)  # windows inside one text
-        inside = sizes > 0
-        whole[starts[inside]] += 1
-        ends = (starts + sizes - threshold + 1)[inside]
-        whole[ends] -= 1
-        valid = np.cumsum(whole[:-1]) > 0
-        new = np.ones(n, bool)
-        new[1:] = at[1:] != at[:-1]
-        new[starts[inside]] = True
-        new &= valid
-        first = np.flatnonzero(new)
-        after = np.append(first[1:], n)
-        text = np.flatnonzero(inside)[np.searchsorted(starts[inside], first, "right") - 1]
-        last = np.minimum(after, (starts + sizes - threshold + 1)[text])
-        owned = last - first
-        anchor = at[first]
-        u = sums.of(first, last - 1 + threshold)
-        u = mixed(u ^ (owned.astype(np.uint64) << np.uint64(32)) ^ (anchor - first).astype(np.uint64))
-        return text, h[anchor], u, first - starts[text], owned, anchor - first, np.zeros(len(first), bool)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for keys, tags, texts in in_blocks(batches, most_bytes):
+            text, c, u, first, n, lead = runs_of(texts, threshold, digit)
+            cols = [c.view(np.int64), u.view(np.int64), np.array(keys, np.int64)[text], np.array(tags, np.int32)[text], (first << 32) | (lead << 16) | n]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in cols], names=RUNS.names)
+
+    return rows.mapInArrow(lean(run), RUNS)
+
+
+def batch_of(out: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int32(), pa.int32())
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=SPELLED.names)
+
+
+def spelled(rows: DataFrame, chosen: DataFrame, threshold: int) -> DataFrame:
+    """SPELLED of chosen runs (c, key, tag, at)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for key, tag, text, some in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for x in some:
+                    first, lead, n = x["at"] >> 32, (x["at"] >> 16) & 0xFFFF, x["at"] & 0xFFFF
+                    out.append((x["c"], lead, text[first : first + n - 1 + threshold], key, tag, first))
+                    if len(out) >= 8192:
+                        yield batch_of(out)
+                        out = []
+            if out:
+                yield batch_of(out)
+
+    lists = chosen.groupBy("key", "tag").agg(F.collect_list(F.struct("c", "at")).alias("some"))  # of one row, so bounded by its text
+    return rows.join(lists, ["key", "tag"]).select("key", "tag", "text", "some").mapInArrow(lean(run), SPELLED)
+
+
+def parted(level: DataFrame, size: int, threshold: int) -> DataFrame:
+    """The runs of a level cut into parts of up to ``size`` suffixes, each in the bucket of the bytes that its suffixes share."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name = xxhash.xxh64_intdigest
+        for batch in batches:
+            out = []
+            for bucket, lead, content, key, tag, first in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                n = len(content) - threshold + 1
+                for part in range((lead - n + 1) // size, lead // size + 1):
+                    a, b = max(0, lead - part * size - size + 1), min(n - 1, lead - part * size)
+                    shared = lead - part * size
+                    own = name(b"%d %d " % (bucket, part) + content[shared : shared - size + 1 + threshold])
+                    out.append((own - (1 << 64) if own >> 63 else own, lead - a, content[a : b + threshold], key, tag, first + a))
+                if len(out) >= 8192:
+                    yield batch_of(out)
+                    out = []
+            if out:
+                yield batch_of(out)
+
+    return level.select(*SPELLED.names).mapInArrow(lean(run), SPELLED)
+
+
+def passes_after(threshold: int, digit: int, radix: int = RADIX) -> list[int]:
+    """The suffixes in a part, pass by pass: fourths (rounded up) of what a digit can hold, down to one."""
+    sizes = [threshold - digit + 1]
+    while sizes[-1] > 1:
+        sizes.append(-(-sizes[-1] // radix))
+    return sizes[1:]
 
 
 def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD, digit: int = DIGIT) -> DataFrame:
-    """(key, spans of bytes to remove) of the rows that have any; key as in :func:`repeats.text_rows`."""
-    return repeated_spans(text_rows(docs, id_col, text_col, ordered=False), Bytes(threshold, digit), keep_first=False)
+    """(key, tag, spans of bytes to remove) of the rows that have any; key and tag as in :func:`row_keys`."""
+    key, tag = row_keys(docs, id_col, text_col)
+    rows = docs.select(key.alias("key"), tag.alias("tag"), F.col(text_col).cast("binary").alias("text"))
+    found = runs(rows, threshold, digit)
+    # kept copies: joins whose sides are plain exchanges can be split where a key is hot
+    often = settle(found.groupBy("c").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("c"))
+    kept = settle(found.join(often, "c", "left_semi"))
+    begin = F.shiftright("at", 32).cast("int")
+    one = [F.first(x).alias(x) for x in ("key", "tag", "at")]
+    groups = settle(kept.groupBy("c", "u").agg(F.count(F.lit(1)).alias("m"), *one))
+    spans = kept.join(groups.where("m > 1").select("c", "u"), ["c", "u"])
+    spans = spans.select("key", "tag", begin.alias("start"), (begin + F.col("at").bitwiseAND(0xFFFF).cast("int") - 1 + threshold).alias("stop"))
+    several = groups.groupBy("c").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("c")
+    level = spelled(rows, groups.join(several, "c").select("c", "key", "tag", "at"), threshold)
+    for size in passes_after(threshold, digit):
+        parts = settle(parted(level, size, threshold))
+        one = [F.first(x).alias(x) for x in ("key", "tag", "first")]
+        groups = settle(parts.groupBy("bucket", "lead", "content").agg(F.count(F.lit(1)).alias("m"), *one))
+        equal = parts.join(groups.where("m > 1").select("bucket", "lead", "content"), ["bucket", "lead", "content"])
+        spans = spans.union(equal.select("key", "tag", F.col("first").alias("start"), (F.col("first") + F.length("content")).alias("stop")))
+        several = groups.groupBy("bucket").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("bucket")
+        level = groups.join(several, "bucket").select(*SPELLED.names)
+    return settle(spans.groupBy("key", "tag").agg(F.collect_set(F.struct("start", "stop")).alias("spans")))
 
 
 def cut(text: bytes, spans: list) -> tuple[bytes, list[tuple[int, int]]]:
@@ -101,9 +191,9 @@ def cut(text: bytes, spans: list) -> tuple[bytes, list[tuple[int, int]]]:
 
 def with_spans(docs: DataFrame, id_col: str, text_col: str, **options) -> DataFrame:
     """``docs`` with a column ``__spans``."""
-    key = F.xxhash64(F.lit("row"), F.col(id_col), F.col(text_col))
-    spans = repeated_bytes(docs, id_col, text_col, **options).select(F.col("key").alias("__key"), F.col("spans").alias("__spans"))
-    return docs.join(spans, key == spans["__key"], "left").drop("__key")
+    key, tag = row_keys(docs, id_col, text_col)
+    spans = repeated_bytes(docs, id_col, text_col, **options).select(F.col("key").alias("__key"), F.col("tag").alias("__tag"), F.col("spans").alias("__spans"))
+    return docs.join(spans, (key == spans["__key"]) & (tag == spans["__tag"]), "left").drop("__key", "__tag")
 
 
 def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -113,14 +203,13 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, lists = batch.column(1).to_pylist(), batch.column(2).to_pylist()
-            for i in range(0, len(texts), 256):
-                some = [cut(t or b"", s) for t, s in zip(texts[i : i + 256], lists[i : i + 256], strict=True)]
-                size = [len(t or b"") for t in texts[i : i + 256]]
-                cols = [pa.array(size, pa.int64()), pa.array([n - len(k) for n, (k, _) in zip(size, some, strict=True)], pa.int64()), pa.array([len(r) for _, r in some], pa.int64()), pa.array([k for k, _ in some], pa.binary())]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 256), *cols], names=out.names)
+            some = [cut(t or b"", s) for t, s in zip(texts, lists, strict=True)]
+            size = [len(t or b"") for t in texts]
+            cols = [pa.array(size, pa.int64()), pa.array([n - len(k) for n, (k, _) in zip(size, some, strict=True)], pa.int64()), pa.array([len(r) for _, r in some], pa.int64()), pa.array([k for k, _ in some], pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *cols], names=out.names)
 
     out = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), *(T.StructField(n, T.LongType()) for n in ("n_bytes", "n_removed", "n_spans")), T.StructField("kept", T.BinaryType())])
-    return rows.mapInArrow(run, out)
+    return rows.mapInArrow(lean(run), out)
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -139,7 +228,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             cols[at] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(cols[:spans] + cols[spans + 1 :], names=names)
 
-    out = rows.mapInArrow(run, docs.schema)
+    out = rows.mapInArrow(lean(run), docs.schema)
     return out.withColumn("n_chars", F.length(text_col).cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 
 
