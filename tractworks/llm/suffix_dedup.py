@@ -13,8 +13,8 @@ a run of neighbouring suffixes is one row as long as all of them go into the sam
    buckets with one member are finished, parts that agree on all their bytes are groups, as before.
 
 In the last pass a run is one suffix, its bucket is the suffix's first 200 bytes, and the equal groups are exactly the repeated
-windows. From pass 3 on rows carry the bytes themselves and are grouped by them; in pass 2 whole runs are told equal by two
-64-bit hashes. A suffix's bytes are thus compared from its digit outwards and not from its first byte; the groups are the same.
+windows. Buckets and groups are told apart by two 64-bit hashes, so one of 128 bits would have to collide. A suffix's bytes are
+compared from its digit outwards and not from its first byte, so that neighbours can share rows; the groups are the same.
 
 All bytes in a repeated window go, wherever it starts. Null texts are empty; texts under ``threshold`` bytes stay whole;
 a row without an id is a document too; repeated rows count as copies of each other; an empty table gives an empty result;
@@ -41,10 +41,12 @@ VALUES = np.random.default_rng(11).integers(0, 2**64, 256, dtype=np.uint64)
 
 #: A run: digit, hash of all its bytes, row, and in ``at`` the first suffix, its distance from the digit and the number of suffixes.
 RUNS = T.StructType([T.StructField("c", T.LongType()), T.StructField("u", T.LongType()), T.StructField("key", T.LongType()), T.StructField("tag", T.IntegerType()), T.StructField("at", T.LongType())])
-#: A run with its bytes; ``bucket`` is a hash of what has split it so far, ``lead`` the distance of the digit from the first suffix.
-SPELLED = T.StructType([
-    T.StructField("bucket", T.LongType()), T.StructField("lead", T.IntegerType()), T.StructField("content", T.BinaryType()),
-    T.StructField("key", T.LongType()), T.StructField("tag", T.IntegerType()), T.StructField("first", T.IntegerType()),
+#: A run of pass 2 that is alone with its bytes in a bucket of several: its first suffix, its distance from the digit, the bytes.
+SPELLED = T.StructType([T.StructField("bucket", T.LongType()), T.StructField("key", T.LongType()), T.StructField("tag", T.IntegerType()), T.StructField("run", T.IntegerType()), T.StructField("lead", T.IntegerType()), T.StructField("content", T.BinaryType())])
+#: A part of such a run: the hash of what has split it so far, that of all its bytes, the run, and its first suffix and number of suffixes.
+PARTS = T.StructType([
+    T.StructField("bucket", T.LongType()), T.StructField("h", T.LongType()), T.StructField("key", T.LongType()), T.StructField("tag", T.IntegerType()),
+    T.StructField("run", T.IntegerType()), T.StructField("first", T.IntegerType()), T.StructField("n", T.IntegerType()),
 ])
 
 
@@ -96,9 +98,9 @@ def runs(rows: DataFrame, threshold: int, digit: int, most_bytes: int = 500_000)
     return rows.mapInArrow(lean(run), RUNS)
 
 
-def batch_of(out: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int32(), pa.int32())
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=SPELLED.names)
+def batch_of(out: list[tuple], schema: T.StructType) -> pa.RecordBatch:
+    kinds = {T.LongType(): pa.int64(), T.IntegerType(): pa.int32(), T.BinaryType(): pa.binary()}
+    return pa.RecordBatch.from_arrays([pa.array(c, kinds[f.dataType]) for c, f in zip(zip(*out, strict=True), schema, strict=True)], names=schema.names)
 
 
 def spelled(rows: DataFrame, chosen: DataFrame, threshold: int) -> DataFrame:
@@ -110,38 +112,41 @@ def spelled(rows: DataFrame, chosen: DataFrame, threshold: int) -> DataFrame:
             for key, tag, text, some in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 for x in some:
                     first, lead, n = x["at"] >> 32, (x["at"] >> 16) & 0xFFFF, x["at"] & 0xFFFF
-                    out.append((x["c"], lead, text[first : first + n - 1 + threshold], key, tag, first))
+                    out.append((x["c"], key, tag, first, lead, text[first : first + n - 1 + threshold]))
                     if len(out) >= 8192:
-                        yield batch_of(out)
+                        yield batch_of(out, SPELLED)
                         out = []
             if out:
-                yield batch_of(out)
+                yield batch_of(out, SPELLED)
 
     lists = chosen.groupBy("key", "tag").agg(F.collect_list(F.struct("c", "at")).alias("some"))  # of one row, so bounded by its text
     return rows.join(lists, ["key", "tag"]).select("key", "tag", "text", "some").mapInArrow(lean(run), SPELLED)
 
 
 def parted(level: DataFrame, size: int, threshold: int) -> DataFrame:
-    """The runs of a level cut into parts of up to ``size`` suffixes, each in the bucket of the bytes that its suffixes share."""
+    """PARTS of up to ``size`` suffixes of what is left of runs; level: key, tag, run, lead, content, some (bucket, first, n)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name = xxhash.xxh64_intdigest
         for batch in batches:
             out = []
-            for bucket, lead, content, key, tag, first in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                n = len(content) - threshold + 1
-                for part in range((lead - n + 1) // size, lead // size + 1):
-                    a, b = max(0, lead - part * size - size + 1), min(n - 1, lead - part * size)
-                    shared = lead - part * size
-                    own = name(b"%d %d " % (bucket, part) + content[shared : shared - size + 1 + threshold])
-                    out.append((own - (1 << 64) if own >> 63 else own, lead - a, content[a : b + threshold], key, tag, first + a))
+            for key, tag, start, all_lead, content, some in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for x in some:
+                    bucket, skip = x["bucket"], x["first"] - start
+                    lead, n = all_lead - skip, x["n"]
+                    for part in range((lead - n + 1) // size, lead // size + 1):
+                        a, b = max(0, lead - part * size - size + 1), min(n - 1, lead - part * size)
+                        shared = skip + lead - part * size
+                        own = name(b"%d %d " % (bucket, part) + content[shared : shared - size + 1 + threshold])
+                        h = name(content[skip + a : skip + b + threshold], seed=1)
+                        out.append((own - (own >> 63 << 64), h - (h >> 63 << 64), key, tag, start, x["first"] + a, b - a + 1))
                 if len(out) >= 8192:
-                    yield batch_of(out)
+                    yield batch_of(out, PARTS)
                     out = []
             if out:
-                yield batch_of(out)
+                yield batch_of(out, PARTS)
 
-    return level.select(*SPELLED.names).mapInArrow(lean(run), SPELLED)
+    return level.select("key", "tag", "run", "lead", "content", "some").mapInArrow(lean(run), PARTS)
 
 
 def passes_after(threshold: int, digit: int, radix: int = RADIX) -> list[int]:
@@ -166,15 +171,18 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spans = kept.join(groups.where("m > 1").select("c", "u"), ["c", "u"])
     spans = spans.select("key", "tag", begin.alias("start"), (begin + F.col("at").bitwiseAND(0xFFFF).cast("int") - 1 + threshold).alias("stop"))
     several = groups.groupBy("c").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("c")
-    level = spelled(rows, groups.join(several, "c").select("c", "key", "tag", "at"), threshold)
+    left = settle(spelled(rows, groups.join(several, "c").select("c", "key", "tag", "at"), threshold))
+    whole = F.array(F.struct("bucket", F.col("run").alias("first"), (F.length("content") - threshold + 1).alias("n")))
+    level = left.withColumn("some", whole)
     for size in passes_after(threshold, digit):
         parts = settle(parted(level, size, threshold))
-        one = [F.first(x).alias(x) for x in ("key", "tag", "first")]
-        groups = settle(parts.groupBy("bucket", "lead", "content").agg(F.count(F.lit(1)).alias("m"), *one))
-        equal = parts.join(groups.where("m > 1").select("bucket", "lead", "content"), ["bucket", "lead", "content"])
-        spans = spans.union(equal.select("key", "tag", F.col("first").alias("start"), (F.col("first") + F.length("content")).alias("stop")))
+        one = [F.first(x).alias(x) for x in ("key", "tag", "run", "first", "n")]
+        groups = settle(parts.groupBy("bucket", "h").agg(F.count(F.lit(1)).alias("m"), *one))
+        equal = parts.join(groups.where("m > 1").select("bucket", "h"), ["bucket", "h"])
+        spans = spans.union(equal.select("key", "tag", F.col("first").alias("start"), (F.col("first") + F.col("n") - 1 + threshold).alias("stop")))
         several = groups.groupBy("bucket").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("bucket")
-        level = groups.join(several, "bucket").select(*SPELLED.names)
+        some = groups.join(several, "bucket").groupBy("key", "tag", "run").agg(F.collect_list(F.struct("bucket", "first", "n")).alias("some"))  # of one run
+        level = left.join(some, ["key", "tag", "run"])
     return settle(spans.groupBy("key", "tag").agg(F.collect_set(F.struct("start", "stop")).alias("spans")))
 
 
