@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import math
 import random
+import struct
 import zlib
 from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tractworks.llm import brown_lm, html_extract, language_id, quality_classifier
 from tractworks.llm import sentencepiece_wfst as pieces
@@ -141,6 +143,29 @@ def test_words_outside_the_core_make_states(spark):
     assert score[0] > score[1] + 0.5 and score[2] > score[3] + 0.5
 
 
+def test_scores_do_not_depend_on_the_order_of_rows(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    docs = docs.union(docs.where("doc_id < 20")).union(spark.createDataFrame([(None, "a b"), (None, "c")], "doc_id long, text string"))
+
+    def rows(frame):
+        return sorted((r.doc_id if r.doc_id is not None else -1, r.n_tokens, r.n_known, round(r.base_score, 6), round(r.score, 6)) for r in brown_lm.brown_lm(frame, held=500).collect())
+
+    plain = rows(docs)
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "20k")
+    try:
+        shuffled = rows(docs.repartition(23, "doc_id", F.length("text")))
+    finally:
+        spark.conf.set(name, before)
+    assert plain == shuffled and len(plain) == docs.count()
+
+
+def test_cut_off(spark):
+    counts = spark.createDataFrame([("a", 5000), ("b", 300), ("c", 301), ("d", 7), ("e", 7), ("f", 1)], "word string, n long")
+    assert brown_lm.cut_off(counts, 1, 3, 4, 5, 6, 0) == [4992, 300, 300, 7, 1, 2**62]
+
+
 def test_exchange_climbs_to_a_local_best():
     def value(table, of, k):
         one = np.zeros((len(of), k))
@@ -181,12 +206,60 @@ def test_pieces_match_the_library():
 
 
 def test_accepted_neighbours_are_what_merging_makes():
-    machine = pieces.compiled(pieces.MODEL)
+    history = pieces.compiled(pieces.MODEL).history
     r = random.Random(6)
-    names = [p for p in machine.id_of if p.isascii() and p.isalpha() and len(p) < 6]
+    names = [p for p in history.id_of if p.isascii() and p.isalpha() and len(p) < 6]
     for _ in range(3000):
         a, b = r.choice(names), r.choice(names)
-        assert machine._accepts(a, b) == (machine.merged(a) == [a] and machine.merged(b) == [b] and machine.merged(a + b) == [a, b])
+        assert history.accepts(a, b) == (history.merged(a) == [a] and history.merged(b) == [b] and history.merged(a + b) == [a, b])
+
+
+def varint(n):
+    return bytes([n]) if n < 128 else bytes([n & 127 | 128]) + varint(n >> 7)
+
+
+def field(number, value):
+    """One field of a protocol-buffer message: a number, a 32-bit float or bytes."""
+    if isinstance(value, int):
+        return varint(number << 3) + varint(value)
+    if isinstance(value, float):
+        return varint(number << 3 | 5) + struct.pack("<f", value)
+    return varint(number << 3 | 2) + varint(len(value)) + value
+
+
+def unigram_model(vocabulary, with_bytes, squeeze):
+    """A hand-made model file: (piece, log probability) by falling probability."""
+    rows = [("<unk>", 0.0, 2), ("<s>", 0.0, 3), ("</s>", 0.0, 3), *((f"<0x{b:02X}>", 0.0, 6) for b in range(256) if with_bytes), *((p, v, 1) for p, v in vocabulary)]
+    out = b"".join(field(1, field(1, p.encode()) + field(2, v) + field(3, k)) for p, v, k in rows)
+    out += field(2, field(3, 1) + field(35, int(with_bytes)))
+    return out + field(3, field(1, b"identity") + field(3, 1) + field(4, int(squeeze)) + field(5, 1))
+
+
+@pytest.mark.parametrize(("with_bytes", "squeeze"), [(True, False), (False, False), (True, True)])
+def test_unigram_pieces_match_the_library(with_bytes, squeeze):
+    sentencepiece = pytest.importorskip("sentencepiece")
+    r = random.Random(8)
+    names = {"▁", "a", "b", "c", "é", *("".join(r.choice("▁abcé") for _ in range(r.randrange(2, 5))) for _ in range(60))}
+    model = unigram_model([(p, -1.0 - 0.0371 * i - 0.513 * r.random()) for i, p in enumerate(sorted(names))], with_bytes, squeeze)
+    machine, library = pieces.PieceTransducer(model), sentencepiece.SentencePieceProcessor(model_proto=model)
+    for _ in range(1500):
+        t = "".join(r.choice(["a", "b", "c", "é", " ", "  ", "z", "中"]) for _ in range(r.randrange(25)))
+        assert machine.encode(t) == library.encode(t), t
+
+
+def test_normaliser_paths():
+    squeeze = pieces.Normaliser(prefix=True, squeeze=True)
+    assert [squeeze.transduce(t) for t in ("", "  ", " a  b ", "a b", "a")] == ["", "", "▁a▁b", "▁a▁b", "▁a"]
+    plain = pieces.Normaliser(prefix=True, squeeze=False)
+    assert [plain.transduce(t) for t in ("", "  ", " a  b ", "a")] == ["", "▁▁▁", "▁▁a▁▁b▁", "▁a"]
+    assert pieces.Normaliser(prefix=False, squeeze=False).transduce(" a b") == "▁a▁b"
+
+
+def test_broken_utf8_is_decoded_like_one_by_one(spark):
+    machine = pieces.compiled(pieces.MODEL)
+    rows = [(0, [machine.byte_id[0xC3]]), (1, None), (2, [machine.byte_id[0xC3], machine.byte_id[0xA9]]), (3, [])]
+    got = {r.i: r.decoded for r in pieces.decode(spark.createDataFrame(rows, "i int, piece_ids array<int>")).collect()}
+    assert got == {0: "\ufffd", 1: None, 2: "é", 3: ""}
 
 
 def test_encoding_of_odd_rows(spark):
