@@ -33,11 +33,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tractworks.llm.common import fold_of, read, settle
+from tractworks.llm.common import fold_of, lean, read, row_keys, settle
 
 CORE, CLASSES, HELD = 2000, 64, 300_000
 SWEEPS, ROUNDS = 8, 3
-FLUSH = 600_000
+FLUSH = 400_000
 END = b""
 
 
@@ -89,21 +89,41 @@ def count_words(texts: DataFrame) -> DataFrame:
         if counts:
             yield flush()
 
-    return texts.mapInArrow(run, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    return texts.mapInArrow(lean(run), "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def encode(texts: DataFrame, index: dict[bytes, int]) -> DataFrame:
-    """(ids): blocks of texts as 32-bit places in ``index``, -1 for other words."""
-    shared = texts.sparkSession.sparkContext.broadcast(index)
+def cut_off(counts: DataFrame, *most: int) -> list[int]:
+    """For each bound the least count such that no more words than that have it or a larger one.
+
+    Counts from 256 on are judged by their first eight binary digits, so that a few thousand sums decide, however many words there are.
+    """
+    digits = F.expr("greatest(length(bin(n)) - 8, 0)")
+    step = counts.withColumn("e", digits).select(F.expr("shiftleft(shiftright(n, e), e)").alias("step"))
+    sums = sorted(map(tuple, step.groupBy("step").count().collect()), reverse=True)
+    out = []
+    for bound in most:
+        least, words = 2**62, 0
+        for value, n in sums:
+            words += n
+            if words > bound:
+                break
+            least = value
+        out.append(least)
+    return out
+
+
+def encode(texts: DataFrame, words: list[bytes]) -> DataFrame:
+    """(ids): blocks of texts as 32-bit places in ``words``, -1 for other words."""
+    shared = texts.sparkSession.sparkContext.broadcast(words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        get = shared.value.get
+        get = {w: i for i, w in enumerate(shared.value)}.get
         for batch in batches:
             for words, _ in blocks(batch.column(0).to_pylist()):
                 ids = np.fromiter((get(w, -1) for w in words), np.int32, len(words))
                 yield pa.RecordBatch.from_arrays([pa.array([ids.tobytes()], pa.binary())], names=["ids"])
 
-    return texts.mapInArrow(run, "ids binary")
+    return texts.mapInArrow(lean(run), "ids binary")
 
 
 def summed(keys: Iterator[np.ndarray], most: int = 3_000_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -133,7 +153,7 @@ def core_bigrams(coded: DataFrame, places: np.ndarray, size: int) -> np.ndarray:
         for key, n in summed(keys(batches)):
             yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n.astype(np.int64))], names=["key", "n"])
 
-    found = coded.mapInArrow(run, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")).toArrow()
+    found = coded.mapInArrow(lean(run), "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")).toArrow()  # size x size rows at most
     table = np.zeros(size * size)
     table[found.column("key").to_numpy()] = found.column("n").to_numpy()
     return table.reshape(size, size)
@@ -215,7 +235,7 @@ def class_pairs(coded: DataFrame, of: np.ndarray, history: np.ndarray, k: int) -
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(k * k)), pa.array(pairs)], names=["key", "n"])
 
     pairs = np.zeros(k * k)
-    for key, n in coded.mapInArrow(run, "key bigint, n bigint").groupBy("key").agg(F.sum("n")).collect():  # k x k rows
+    for key, n in coded.mapInArrow(lean(run), "key bigint, n bigint").groupBy("key").agg(F.sum("n")).collect():  # k x k rows
         pairs[key] = n
     return pairs.reshape(k, k)
 
@@ -252,6 +272,12 @@ def entries(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.diff(lists.offsets.to_numpy()), flat.field("h").to_numpy(zero_copy_only=False), flat.field("n").to_numpy(zero_copy_only=False)
 
 
+def state_lists(seen: DataFrame, key: str) -> DataFrame:
+    """(key, states): summed counts by state; a frequent word's counts are added up state by state before they meet in one row."""
+    sums = seen.groupBy(key, "h").agg(F.sum("n").alias("n"))
+    return sums.groupBy(key).agg(F.collect_list(F.struct("h", "n")).alias("states"))
+
+
 def exchange_round(coded: DataFrame, of: np.ndarray, history: np.ndarray, moving: np.ndarray, gains: np.ndarray) -> np.ndarray:
     """``of`` after one step of all ``moving`` words at once, by the classes before and after all their tokens."""
     k = gains.shape[1]
@@ -274,8 +300,7 @@ def exchange_round(coded: DataFrame, of: np.ndarray, history: np.ndarray, moving
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(best_classes(*entries(batch.column(1)), gains))], names=["id", "class"])
 
-    seen = coded.mapInArrow(run, "id int, h int, n bigint").repartition("id")
-    lists = seen.groupBy("id", "h").agg(F.sum("n").alias("n")).groupBy("id").agg(F.collect_list(F.struct("h", "n")).alias("states"))
+    lists = state_lists(coded.mapInArrow(lean(run), "id int, h int, n bigint"), "id")
     found = settle(lists.mapInArrow(choose, "id int, class int")).toArrow()  # a row for each held word at most
     of = of.copy()
     of[found.column("id").to_numpy()] = found.column("class").to_numpy()
@@ -307,33 +332,56 @@ def cluster(coded: DataFrame, of: np.ndarray, held: np.ndarray, k: int, rounds:
     return best
 
 
-def lexicon(texts: DataFrame, words: list[bytes], index: dict[bytes, int], of: np.ndarray, history: np.ndarray, gains: np.ndarray) -> DataFrame:
-    """(word, n, class, states) for every training word: its count, class and counts by state."""
+LEXICON = "word binary, n bigint, class int, states array<struct<h:int,n:bigint>>"
+
+
+def held_lexicon(coded: DataFrame, words: list[bytes], of: np.ndarray, history: np.ndarray) -> DataFrame:
+    """(word, n, class, states) of the words of the table, from the coded texts."""
+    k = int(of.max()) + 1
+    shared = coded.sparkSession.sparkContext.broadcast(words)
+    past, start = np.append(history, -1), int(of[-1])
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+        for batch in batches:
+            for block in batch.column(0).to_pylist():
+                ids = np.frombuffer(block, np.int32)
+                yield (ids.astype(np.int64) * k + states(past[ids], start))[ids >= 0]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, n in summed(keys(batches)):
+            yield pa.RecordBatch.from_arrays([pa.array((key // k).astype(np.int32)), pa.array((key % k).astype(np.int32)), pa.array(n.astype(np.int64))], names=["id", "h", "n"])
+
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = pa.array(shared.value, pa.binary())
+        for batch in batches:
+            sizes, _, n = entries(batch.column(1))
+            total = np.bincount(np.repeat(np.arange(len(sizes)), sizes), n, len(sizes)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([names.take(batch.column(0)), pa.array(total), pa.array(of[batch.column(0).to_numpy()].astype(np.int32)), batch.column(1)], names=["word", "n", "class", "states"])
+
+    return state_lists(coded.mapInArrow(lean(run), "id int, h int, n bigint"), "id").mapInArrow(lean(name), LEXICON)
+
+
+def rare_lexicon(texts: DataFrame, words: list[bytes], of: np.ndarray, history: np.ndarray, gains: np.ndarray) -> DataFrame:
+    """(word, n, class, states) of the words that are not in the table; each takes the class that its neighbours explain best.
+
+    All of these words are rarer than those of the table, so none is a hot key.
+    """
     k = gains.shape[1]
-    shared = texts.sparkSession.sparkContext.broadcast((words, index))
+    shared = texts.sparkSession.sparkContext.broadcast(words)
     past, start = np.append(history, -1), int(of[-1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, index = shared.value
-        names = pa.array(words, pa.binary())
+        get = {w: i for i, w in enumerate(shared.value)}.get
         counts: Counter = Counter()
-        keys, size = [], 0
 
         def flush():
             found, hs = zip(*counts, strict=True)
             return pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), pa.array(hs, pa.int32()), pa.array(list(counts.values()), pa.int64())], names=["word", "h", "n"])
 
-        def flush_keys():
-            for key, n in summed(iter(keys)):
-                yield pa.RecordBatch.from_arrays([names.take(pa.array(key // k)), pa.array((key % k).astype(np.int32)), pa.array(n.astype(np.int64))], names=["word", "h", "n"])
-            keys.clear()
-
         for batch in batches:
             for found, _ in blocks(batch.column(0).to_pylist()):
-                ids = np.fromiter((index.get(w, -1) for w in found), np.int32, len(found))
+                ids = np.fromiter((get(w, -1) for w in found), np.int32, len(found))
                 left, right = around(ids, past, start)
-                keys.append((ids.astype(np.int64) * k + left)[ids >= 0])
-                size += len(ids)
                 rare = np.flatnonzero(ids < 0)
                 some = [found[i] for i in rare.tolist()]
                 counts.update(zip(some, left[rare].tolist(), strict=True))
@@ -341,33 +389,23 @@ def lexicon(texts: DataFrame, words: list[bytes], index: dict[bytes, int], of: n
                 if len(counts) >= FLUSH:
                     yield flush()
                     counts.clear()
-                if size >= 3_000_000:
-                    yield from flush_keys()
-                    size = 0
         if counts:
             yield flush()
-        yield from flush_keys()
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = shared.value[1]
         for batch in batches:
             lists = batch.column(1)
             sizes, h, n = entries(lists)
             row = np.repeat(np.arange(len(sizes)), sizes)
             before = h < k
             total = np.bincount(row[before], n[before], len(sizes)).astype(np.int64)
-            ids = np.fromiter((index.get(w, -1) for w in batch.column(0).to_pylist()), np.int64, len(sizes))
-            best = np.where(ids >= 0, of[ids], -1).astype(np.int32)
-            rare = ids < 0
-            some = rare[row]
-            best[rare] = best_classes(sizes[rare], h[some], n[some], gains)
             ends = np.concatenate([[0], np.cumsum(np.bincount(row[before], minlength=len(sizes)))]).astype(np.int32)
             left = pa.ListArray.from_arrays(pa.array(ends), lists.flatten().filter(pa.array(before)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(total), pa.array(best), left], names=["word", "n", "class", "states"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(total), pa.array(best_classes(sizes, h, n, gains)), left], names=["word", "n", "class", "states"])
 
-    seen = texts.mapInArrow(run, "word binary, h int, n bigint").repartition("word")
+    seen = texts.mapInArrow(lean(run), "word binary, h int, n bigint").repartition("word")
     lists = seen.groupBy("word", "h").agg(F.sum("n").alias("n")).groupBy("word").agg(F.collect_list(F.struct("h", "n")).alias("states"))
-    return lists.mapInArrow(choose, "word binary, n bigint, class int, states array<struct<h:int,n:bigint>>")
+    return lists.mapInArrow(lean(choose), LEXICON)
 
 
 class Model:
@@ -401,9 +439,15 @@ class Model:
 
 
 def score(docs: DataFrame, lex: DataFrame, model: Model, keys: list[str], text_col: str = "text") -> DataFrame:
-    """``keys`` of each row with n_tokens, n_known, base_score and score."""
+    """``keys`` (the row's id first) of each row with n_tokens, n_known, base_score and score.
+
+    The keys travel with a text's own sums, and a row is known by a hash of id and text, so nothing depends on the order of rows
+    or on a second reading of them. Repeated rows meet, and each gets the sums of one.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     index: dict[bytes, int] = {}
+    carried = [T.StructField(f"__{i}", docs.schema[k].dataType) for i, k in enumerate(keys)]
+    sent_schema = T.StructType([*SENT.fields, *carried])
 
     def ready() -> tuple:
         m = shared.value
@@ -420,28 +464,32 @@ def score(docs: DataFrame, lex: DataFrame, model: Model, keys: list[str], text_c
         get = index.get
         last = len(m.words)
         for batch in batches:
-            row = batch.column(0).to_pylist()
+            key, tag = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             done = 0
-            for words, sizes in blocks(batch.column(1).to_pylist()):
+            for words, sizes in blocks(batch.column(2).to_pylist()):
+                here = slice(done, done + len(sizes))
                 ids = np.fromiter((get(w, last) for w in words), np.int64, len(words))
                 h = states(past[ids], m.start)
                 known = ids < last
                 value = np.where(known, m.move[h, of[ids]] + emit[ids], 0.0)
                 starts = np.cumsum(sizes) - sizes
-                out = [np.array(row[done : done + len(sizes)], np.int64), np.array(sizes, np.int64), np.add.reduceat(known.astype(np.int64), starts), np.add.reduceat(base[ids], starts), np.add.reduceat(value, starts)]
-                own = pa.StructArray.from_arrays([pa.array(x) for x in out[1:]], names=["n_tokens", "n_known", "base", "score"])
-                yield pa.RecordBatch.from_arrays([pa.array(out[0]), pa.array([b" %d" % r for r in out[0].tolist()], pa.binary()), pa.nulls(len(sizes), pa.int32()), pa.nulls(len(sizes), pa.int32()), own], names=SENT.names)
+                out = [np.array(sizes, np.int64), np.add.reduceat(known.astype(np.int64), starts), np.add.reduceat(base[ids], starts), np.add.reduceat(value, starts)]
+                own = pa.StructArray.from_arrays([pa.array(x) for x in out], names=["n_tokens", "n_known", "base", "score"])
+                # a text's own row has a word of its own, which no text can hold, so that these rows don't meet in one task
+                names = [b" %d %d" % x for x in zip(key[here].tolist(), tag[here].tolist(), strict=True)]
+                given = [c.slice(done, len(sizes)) for c in batch.columns[3:]]
+                yield pa.RecordBatch.from_arrays([pa.array(key[here]), pa.array(tag[here]), pa.array(names, pa.binary()), pa.nulls(len(sizes), pa.int32()), pa.nulls(len(sizes), pa.int32()), own, *given], names=sent_schema.names)
                 rare = np.flatnonzero(~known)
-                if len(rare):
-                    doc = np.searchsorted(starts, rare, "right") - 1
-                    for i in range(0, len(rare), 200_000):
-                        some = Counter(zip(out[0][doc[i : i + 200_000]].tolist(), map(words.__getitem__, rare[i : i + 200_000].tolist()), h[rare[i : i + 200_000]].tolist(), strict=True))
-                        r, w, s = zip(*some, strict=True)
-                        yield pa.RecordBatch.from_arrays([pa.array(r, pa.int64()), pa.array(w, pa.binary()), pa.array(s, pa.int32()), pa.array(list(some.values()), pa.int32()), pa.nulls(len(r), own.type)], names=SENT.names)
+                doc = np.searchsorted(starts, rare, "right") - 1
+                for i in range(0, len(rare), 200_000):
+                    some = Counter(zip((doc[i : i + 200_000] + done).tolist(), map(words.__getitem__, rare[i : i + 200_000].tolist()), h[rare[i : i + 200_000]].tolist(), strict=True))
+                    r, w, s = zip(*some, strict=True)
+                    row = np.array(r, np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(key[row]), pa.array(tag[row]), pa.array(w, pa.binary()), pa.array(s, pa.int32()), pa.array(list(some.values()), pa.int32()), pa.nulls(len(r), own.type), *(pa.nulls(len(r), c.type) for c in given)], names=sent_schema.names)
                 done += len(sizes)
 
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), *keys, F.col(text_col).cast("binary").alias("__text"))
-    sent = rows.select("row", "__text").mapInArrow(run, SENT)
+    key, tag = row_keys(docs, keys[0], text_col)
+    sent = docs.select(key.alias("key"), tag.alias("tag"), F.col(text_col).cast("binary").alias("text"), *(F.col(k).alias(f"__{i}") for i, k in enumerate(keys))).mapInArrow(lean(run), sent_schema)
     spark = docs.sparkSession
     moves = spark.createDataFrame([(h, c, float(model.move[h, c])) for h in range(model.k) for c in range(model.k + 1)], "h int, class int, move double")
     sizes = spark.createDataFrame([(c, float(model.log_size[c])) for c in range(model.k)], "class int, log_size double")
@@ -449,31 +497,40 @@ def score(docs: DataFrame, lex: DataFrame, model: Model, keys: list[str], text_c
     found = sent.join(words, "word", "left").withColumn("class", F.coalesce("class", F.lit(model.k)))
     found = found.join(F.broadcast(moves), ["h", "class"], "left")  # at most classes x (classes + 1) rows
     log_word = F.when(F.col("c").isNull(), F.lit(0.0)).otherwise(F.log10(F.col("c") - model.discount) - F.col("log_size"))
-    sums = found.groupBy("row").agg(
+    copies = F.count("own")
+    of_rare = lambda x: F.coalesce(F.sum(x), F.lit(0)) / copies
+    sums = found.groupBy("key", "tag").agg(
+        *(F.first(c.name, ignorenulls=True).alias(c.name) for c in carried),
+        copies.alias("copies"),
         F.max("own.n_tokens").alias("n_tokens"),
-        (F.max("own.n_known") + F.coalesce(F.sum(F.when(F.col("c").isNotNull(), F.col("n"))), F.lit(0))).alias("n_known"),
-        (F.max("own.base") + F.coalesce(F.sum(F.col("n") * F.log10((F.coalesce("c", F.lit(0)) + 0.5) / model.base_total)), F.lit(0.0))).alias("base_score"),
-        (F.max("own.score") + F.coalesce(F.sum(F.col("n") * (F.col("move") + log_word)), F.lit(0.0))).alias("score"),
+        (F.max("own.n_known") + of_rare(F.when(F.col("c").isNotNull(), F.col("n"))).cast("bigint")).alias("n_known"),
+        (F.max("own.base") + of_rare(F.col("n") * F.log10((F.coalesce("c", F.lit(0)) + 0.5) / model.base_total))).alias("base_score"),
+        (F.max("own.score") + of_rare(F.col("n") * (F.col("move") + log_word))).alias("score"),
     )
-    return rows.drop("__text").join(sums, "row").drop("row")
+    rows = sums.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    return rows.select(*(F.col(c.name).alias(k) for c, k in zip(carried, keys, strict=True)), "n_tokens", "n_known", "base_score", "score")
 
 
 SENT = T.StructType([
-    T.StructField("row", T.LongType()), T.StructField("word", T.BinaryType()), T.StructField("h", T.IntegerType()), T.StructField("n", T.IntegerType()),
+    T.StructField("key", T.LongType()), T.StructField("tag", T.IntegerType()), T.StructField("word", T.BinaryType()), T.StructField("h", T.IntegerType()), T.StructField("n", T.IntegerType()),
     T.StructField("own", T.StructType([T.StructField("n_tokens", T.LongType()), T.StructField("n_known", T.LongType()), T.StructField("base", T.DoubleType()), T.StructField("score", T.DoubleType())])),
 ])
 
 
 def train(texts: DataFrame, core: int = CORE, classes: int = CLASSES, held: int = HELD, sweeps: int = SWEEPS, rounds: int = ROUNDS) -> tuple[DataFrame, Model]:
     """The lexicon of a frame with one binary column, and the model's tables."""
-    top = count_words(texts).orderBy(F.desc("n"), "word").limit(max(held, core + 1)).toArrow()
+    every = settle(count_words(texts))
+    least, least_core = cut_off(every, held, core + 1)
+    top = every.where(F.col("n") >= min(least, least_core)).toArrow()  # max(held, core + 1) rows at most
     found, counts = top.column("word").to_pylist(), top.column("n").to_numpy()
-    kept = min(held, len(found))
-    at_core = [w for w in found if w][:core]
+    order = sorted(range(len(found)), key=lambda i: (-counts[i], found[i]))
+    found, counts = [found[i] for i in order], counts[order]
+    kept = int((counts >= least).sum())
+    at_core = [w for w, n in zip(found, counts.tolist(), strict=True) if w and n >= least_core]
     # the end is last, as start and own[-2] expect; words past both bounds are left to the lexicon
     words = [*dict.fromkeys(w for w in [*found[:kept], *at_core] if w), END]
     index = {w: i for i, w in enumerate(words)}
-    coded = settle(encode(texts, index))
+    coded = settle(encode(texts, words))
     places = np.full(len(words), -1)
     places[[index[w] for w in at_core]] = np.arange(len(at_core))
     places[-1] = len(at_core)
@@ -484,7 +541,7 @@ def train(texts: DataFrame, core: int = CORE, classes: int = CLASSES, held: int
     of = cluster(coded, np.where(places >= 0, core_of[places], -1), past, k, rounds)
     history = np.where(past, of, -1)
     gains = gains_of(class_pairs(coded, of, history, k), int(of[-1]))
-    lex = settle(lexicon(texts, words, index, of, history, gains))
+    lex = settle(held_lexicon(coded, words, of, history).union(rare_lexicon(texts, words, of, history, gains)))
     return lex, Model(lex, found[:kept], counts[:kept], of[[index[w] for w in found[:kept]]] if kept else np.zeros(0, np.int64), k, int(of[-1]))
 
 
