@@ -101,12 +101,66 @@ def test_chart_order(spark):
     assert got == {("a", "0 a 4 anos"): 0, ("a", "95 a 99 anos"): 19, ("b", "70 anos ou mais"): 10, ("b", "30 a 39 anos"): 6, ("c", "7 anos"): 7, ("c", "x"): 99999}
 
 
-def test_comparator_contains_its_place(spark):
-    long = spark.createDataFrame([(m, b, s, v) for m, v in (("1", 2), ("2", 4), ("3", 6)) for b in BANDS[:2] for s in ("Masculino", "Feminino")], "CD_MUN string, idade_grupo string, sexo string, valor long")
-    keys = spark.createDataFrame([("1", "RM — a"), ("2", "RM — a"), ("3", "Estado")], "CD_MUN string, comparador string")
-    bands = {(r.comparador, r.idade_grupo): r.total for r in compare.comparator_bands(long, keys).collect()}
-    assert bands["RM — a", BANDS[0]] == 12 and bands["Estado", BANDS[0]] == 24
-    assert compare.band_table_with_delta(long, keys).where("idade_grupo <> 'TOTAL'").agg(F.max(F.abs("delta_pp"))).first()[0] == 0
+def places(spark, rows):
+    """rows: (municipality, RM, AU, immediate region, people of each cell)."""
+    df = wide(spark, [(str(i), m, dict.fromkeys([f"Sexo {s}, {b}" for s in ("masculino", "feminino") for b in BANDS], str(v))) for i, (m, _, _, _, v) in enumerate(rows)])
+    names = spark.createDataFrame([(str(i), rm, au, rgi) for i, (_, rm, au, rgi, _) in enumerate(rows)], "CD_SETOR string, RM_NOME string, AU_NOME string, NM_RGI string")
+    return df.join(names, "CD_SETOR")
+
+
+def test_comparator_holds_all_of_its_region(spark):
+    rows = [("1", "A", "B", "I", 1), ("2", None, "B", "I", 10), ("3", None, None, "I", 100), ("4", None, None, None, 1000), ("5", "A", None, None, 5)]
+    found = compare.municipal(places(spark, rows))
+    assert {r.CD_MUN: r.comparador for r in found.collect()} == {"1": "RM — A", "2": "AU — B", "3": "Região Imediata — I", "4": WHOLE_STATE, "5": "RM — A"}
+    bands = {(r.comparador, r.idade_grupo): r.total for r in compare.comparator_bands(found).collect()}
+    # the immediate region holds municipalities of the RM and the AU; a municipality of an RM is not part of an AU
+    assert [bands[c, BANDS[0]] for c in ("RM — A", "AU — B", "Região Imediata — I", WHOLE_STATE)] == [12, 20, 222, 2232]
+    table = compare.band_table_with_delta(found)
+    assert table.count() == 5 * 12 and table.where("idade_grupo <> 'TOTAL'").agg(F.max(F.abs("delta_pp"))).first()[0] == 0
+    assert table.where("idade_grupo = 'TOTAL' and delta_pp is not null").count() == 0
+
+
+def test_places_and_comparators_read_the_tracts_once(spark):
+    from tractworks.plans import queries
+
+    for name, scans in (("band_table_delta", 1), ("indicator_change", 1)):
+        df = queries.QUERIES[name](spark, "/root/testdata/sf0.001")
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert plan.count("lineitem.parquet") == scans, name
+
+
+def test_widening(spark):
+    rows = [("1", "7", "RM", "A", "I"), ("2", "7", "rm", "A", None), ("3", "8", "AU", "B", "I"), ("4", None, None, None, "I")]
+    df = spark.createDataFrame(rows, "CD_SETOR string, CD_MUN string, TIPO_RM_AU string, NOME_RM_AU string, NM_RGI string")
+    got = lambda scope: sorted(r.CD_SETOR for r in filters.widened(df, scope).collect())
+    null = lambda frame, *names: frame.withColumns({n: F.lit(None).cast("string") for n in names})
+    assert got(df.where("CD_SETOR = '1'")) == ["1"]
+    assert got(df.where("CD_SETOR in ('1', '3')")) == ["1", "2", "3"]
+    assert got(null(df.where("CD_SETOR = '2'"), "CD_SETOR", "CD_MUN")) == ["1", "2"]
+    assert got(null(df.where("CD_SETOR = '4'"), "CD_SETOR")) == ["1", "3", "4"]
+    assert got(null(df, *df.columns)) == ["1", "2", "3", "4"] == got(df.where("false"))
+    assert filters.widened(df, df.drop(*df.columns[:5])).count() == 4
+
+
+def test_labels_are_cleaned_on_load(spark):
+    df = spark.createDataFrame([(" A ", "undefined", "nan", "x")], "`Nome do Município` string, RM string, NM_RGI string, other string")
+    assert tuple(normalize.normalized(df).first()) == ("A", None, None, "x")
+
+
+def test_profile_attributes(spark):
+    df = spark.createDataFrame([("1", 2.0, None, "5"), ("x", float("nan"), 0, None)], "COD_TIPO_SETOR string, AREA double, v0005 int, CD_MUN string")
+    got = {r.column: r for r in quality.described_profile(df).collect()}
+    assert [(got[c].non_null, got[c].numeric, got[c].non_zero) for c in df.columns] == [(2, 1, 1), (2, 1, 1), (1, 1, 0), (1, 1, 1)]
+    tipo, v = got["COD_TIPO_SETOR"], got["v0005"]
+    assert (tipo.app_equivalent, tipo.app_type) == ("CD_TIPO", "categorical/int") and json.loads(tipo.code_map)["6"] == "Unidade prisional"
+    assert (v.app_equivalent, v.app_type, v.human_alias[:5]) == ("V0005", "float64", "Média") and got["AREA"].app_equivalent is None and got["CD_MUN"].human_alias is None
+
+
+def test_bar_series(spark):
+    df = spark.createDataFrame([("m", 3, 1, 3)], "k string, a int, b int, c int")
+    rows = household.bar_series(household.category_totals(df, ["k"], (("g", "G", "bar", ("a", "b", "c")),)), ["k"]).orderBy("posicao").collect()
+    assert [r.column_name for r in rows] == ["b", "a", "c"]
 
 
 def test_filters(spark):
@@ -167,8 +221,8 @@ def test_statistics_and_pyramid_sources(spark, tmp_path):
     assert [tuple(r) for r in p.select("idade_grupo", "valor", "cod").collect()] == [("0-4", 3, None), ("5-9", None, None)]
     with pytest.raises(ValueError):
         readers.pyramid_columns(spark.createDataFrame([(1,)], "a int"))
-    m = spark.createDataFrame([("a", "A"), ("b", " "), ("c", "c"), (None, "x")], "parquet_column string, app_equivalent string")
-    assert readers.column_map(m) == {"a": "A"}
+    m = spark.createDataFrame([("a", "A"), ("b", " "), ("c", "c"), (None, "x"), ("d", "D")], "parquet_column string, app_equivalent string")
+    assert readers.column_map(m, ["a", "b", "c"]) == {"a": "A"}
 
 
 def test_state_filter_and_sinks(spark, tmp_path):
@@ -190,14 +244,17 @@ def test_state_filter_reaches_the_scan(spark, tmp_path):
     assert "PushedFilters: [IsNotNull(CD_UF), EqualTo(CD_UF,35)]" in plan and "y:int" not in plan
 
 
-def test_nearest(spark):
-    v = spark.createDataFrame([(0, [0.0, 1.0]), (1, [1.0, 0.0]), (2, [2.0, 0.0]), (3, [0.0, 0.0])], "vec_id long, embedding array<float>")
+def test_nearest(spark, monkeypatch):
+    v = spark.createDataFrame([(0, [0.0, 1.0]), (1, [1.0, 0.0]), (2, [2.0, 0.0]), (3, [0.0, 0.0]), (4, None)], "vec_id long, embedding array<float>")
     q = spark.createDataFrame([(9, [3.0, 0.0])], "qid long, qvec array<float>")
     l2 = [(r.vec_id, r["rank"]) for r in search.nearest(v, q, 2).orderBy("rank").collect()]
     assert l2 == [(2, 1), (1, 2)]
     assert [r.vec_id for r in search.nearest(v, q, 2, "cosine").orderBy("rank").collect()] == [1, 2]
+    assert search.nearest(v, q, 9).count() == 4 and search.nearest(v.limit(0), q).count() == 0 and search.nearest(v, q.limit(0)).count() == 0
     with pytest.raises(ValueError):
         search.nearest(v, q, 2, "dot")
+    same = spark.createDataFrame([(i, [1.0, float(i % 3 == 0)]) for i in range(50)], "vec_id long, embedding array<float>")
+    assert [r.vec_id for r in search.nearest(same, q, 4).orderBy("rank").collect()] == [1, 2, 4, 5]
 
 
 def test_listing_and_titles(spark):
@@ -207,12 +264,13 @@ def test_listing_and_titles(spark):
 
 
 def test_running_pyramid(spark, tmp_path):
-    wide(spark, [("a", "m", {}), ("b", "n", {})]).write.parquet(str(tmp_path / "in"))
+    def run():
+        stream = live.tract_stream(spark, str(tmp_path / "in"), schema)
+        live.start(live.running_pyramid(stream, ["CD_MUN"]), str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination(60)
+        return {(r.CD_MUN, r.m_0) for r in live.current(spark, str(tmp_path / "out"), ["CD_MUN"]).collect()}
+
+    wide(spark, [("a", "m", {}), ("b", "n", {}), ("d", None, {})]).write.parquet(str(tmp_path / "in"))
     schema = spark.read.parquet(str(tmp_path / "in")).schema
-    q = live.start(live.running_pyramid(live.tract_stream(spark, str(tmp_path / "in"), schema), ["CD_MUN"]), "live_pyramid", str(tmp_path / "state"))
-    q.awaitTermination(60)
-    assert spark.table("live_pyramid").count() == 2
+    assert run() == {("m", 1), ("n", 1), (None, 1)}
     wide(spark, [("c", "m", {})]).write.mode("append").parquet(str(tmp_path / "in"))
-    q = live.start(live.running_pyramid(live.tract_stream(spark, str(tmp_path / "in"), schema), ["CD_MUN"]), "live_pyramid", str(tmp_path / "state"))
-    q.awaitTermination(60)
-    assert {(r.CD_MUN, r.m_0) for r in spark.table("live_pyramid").collect()} == {("m", 2), ("n", 1)}
+    assert run() == {("m", 2), ("n", 1), (None, 1)} == run()

@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 
 from tractworks.vocabulary import MISSING_LABELS, SITUATIONS, TRACT_TYPES, URBAN_CODES, VARIABLES, WHOLE_STATE
 
-_ACCENTED = "ÁÀÂÃÄÉÈÊËÍÌÎÏÓÒÔÕÖÚÙÛÜÇÑáàâãäéèêëíìîïóòôõöúùûüçñ"
-_PLAIN = "AAAAAEEEEIIIIOOOOOUUUUCNaaaaaeeeeiiiiooooouuuucn"
-
 
 def col(c: str | Column) -> Column:
     return F.col(f"`{c}`") if isinstance(c, str) else c
@@ -24,10 +21,6 @@ def normal_name(name: str) -> str:
     return re.sub(r"[^A-Za-z0-9]+", "_", plain).strip("_").upper()
 
 
-def without_accents(c: str | Column) -> Column:
-    return F.translate(col(c), _ACCENTED, _PLAIN)
-
-
 def number(c: str | Column) -> Column:
     """A double; what is no number, and NaN, is null."""
     d = col(c).try_cast("double")

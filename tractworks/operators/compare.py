@@ -1,43 +1,76 @@
-"""Places compared with the region they belong to."""
+"""Places compared with the region they belong to.
+
+A municipality's comparator is its metropolitan region, else its urban agglomeration, else its immediate region, else the whole
+state; it holds all municipalities of that region, whatever their own comparators are. Everything comes from one row of sums
+per municipality, so the tracts are read once.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tractworks.operators.pyramid import band_table, share, with_share, with_total
+from tractworks.operators.pyramid import age_columns, cell, share
+from tractworks.vocabulary import BANDS, SEXES, WHOLE_STATE
+
+
+def comparator(rm: Column, au: Column, immediate: Column) -> Column:
+    return F.coalesce(*regions(rm, au, immediate))
 
 
-def comparator_keys(df: DataFrame) -> DataFrame:
-    """CD_MUN, comparador: the first of region pair, RM, AU, immediate region that a municipality has, else the whole state.
+def regions(rm: Column, au: Column, immediate: Column) -> list[Column]:
+    """The regions of which a municipality is a part: RM or else AU, immediate region, state; null where it has none."""
+    return [F.coalesce(F.concat(F.lit("RM — "), rm), F.concat(F.lit("AU — "), au)), F.concat(F.lit("Região Imediata — "), immediate), F.lit(WHOLE_STATE)]
+
+
+def municipal(wide: DataFrame) -> DataFrame:
+    """CD_MUN, comparador, regioes, masculino, feminino: per municipality its regions and its people by band, in band order.
 
     Names are the smallest of the municipality's rows.
     """
-    pick = lambda c: F.min(c) if c in df.columns else F.lit(None).cast("string")
-    sums = df.groupBy("CD_MUN").agg(pick("RM_NOME").alias("rm"), pick("AU_NOME").alias("au"), pick("NM_RGI").alias("rgi"))
-    return sums.select("CD_MUN", comparator(F.col("rm"), F.col("au"), F.col("rgi")).alias("comparador"))
+    columns = {(sex, k): name for name, sex, _, k in age_columns(wide.columns)}
+    sums = {(s, k): F.sum(cell(columns[s, k])).alias(f"__{s[0]}{k}") for s in SEXES for k in range(len(BANDS)) if (s, k) in columns}
+    pick = lambda c: F.min(c) if c in wide.columns else F.lit(None).cast("string")
+    one = wide.groupBy("CD_MUN").agg(*sums.values(), pick("RM_NOME").alias("__rm"), pick("AU_NOME").alias("__au"), pick("NM_RGI").alias("__rgi"))
+    names = (F.col("__rm"), F.col("__au"), F.col("__rgi"))
+    bands = lambda s: F.array(*(F.col(f"__{s[0]}{k}") if (s, k) in sums else F.lit(0).cast("bigint") for k in range(len(BANDS)))).alias(s.lower())
+    return one.select("CD_MUN", comparator(*names).alias("comparador"), F.array_compact(F.array(*regions(*names))).alias("regioes"), *map(bands, SEXES))
 
 
-def comparator(rm: Column, au: Column, immediate: Column) -> Column:
-    return F.coalesce(F.concat(F.lit("RM — "), rm), F.concat(F.lit("AU — "), au), F.concat(F.lit("RGI — "), immediate), F.lit("Estado"))
+def comparator_keys(wide: DataFrame) -> DataFrame:
+    return municipal(wide).select("CD_MUN", "comparador")
 
 
-def comparator_bands(by_municipality: DataFrame, keys: DataFrame) -> DataFrame:
-    """comparador, idade_grupo, total, pct: bands of every comparator, from sums by municipality.
+def region_sums(places: DataFrame) -> DataFrame:
+    """comparador, totals: people by band of every region that a row of :func:`municipal` names."""
+    total = F.zip_with("masculino", "feminino", lambda m, f: m + f)
+    rows = places.select(F.explode("regioes").alias("comparador"), total.alias("t"))
+    sums = rows.groupBy("comparador").agg(*(F.sum(F.col("t")[k]).alias(f"__{k}") for k in range(len(BANDS))))
+    return sums.select("comparador", F.array(*(F.col(f"__{k}") for k in range(len(BANDS)))).alias("totals"))
+
+
+def _all(counts: str | Column) -> Column:
+    return F.aggregate(counts, F.lit(0).cast("bigint"), lambda a, x: a + x)
 
-    The whole state holds all municipalities; the other comparators those that name them.
-    """
-    totals = by_municipality.groupBy("CD_MUN", "idade_grupo").agg(F.sum("valor").alias("valor")).join(keys, "CD_MUN")
-    own = totals.where("comparador <> 'Estado'").groupBy("comparador", "idade_grupo").agg(F.sum("valor").cast("bigint").alias("total"))
-    state = totals.groupBy("idade_grupo").agg(F.sum("valor").cast("bigint").alias("total")).select(F.lit("Estado").alias("comparador"), "idade_grupo", "total")
-    used = state.join(keys.where("comparador = 'Estado'").select("comparador").distinct(), "comparador", "left_semi")
-    both = own.unionByName(used)
-    sums = both.groupBy("comparador").agg(F.sum("total").alias("__all"))
-    return both.join(sums, "comparador").select("comparador", "idade_grupo", "total", share(F.col("total"), F.col("__all"), None).alias("pct"))
 
+def comparator_bands(places: DataFrame) -> DataFrame:
+    """comparador, idade_grupo, total, pct: bands of the regions that are some municipality's comparator."""
+    used = region_sums(places).join(places.select("comparador").distinct(), "comparador", "left_semi")
+    row = lambda k: F.struct(F.lit(BANDS[k]).alias("idade_grupo"), F.col("totals")[k].alias("total"), share(F.col("totals")[k], _all("totals"), None).alias("pct"))
+    return used.select("comparador", F.inline(F.array(*map(row, range(len(BANDS))))))
 
-def band_table_with_delta(by_municipality: DataFrame, keys: DataFrame) -> DataFrame:
+
+def band_table_with_delta(places: DataFrame) -> DataFrame:
     """The band table of every municipality with shares and their difference, in points, to the comparator's."""
-    table = with_share(with_total(band_table(by_municipality, ["CD_MUN"]), ["CD_MUN"]), ["CD_MUN"]).join(keys, "CD_MUN")
-    theirs = comparator_bands(by_municipality, keys).select("comparador", "idade_grupo", F.bround("pct", 1).alias("pct_comparador"))
-    return table.join(theirs, ["comparador", "idade_grupo"], "left").withColumn("delta_pp", F.col("pct_do_total") - F.col("pct_comparador"))
+    theirs = region_sums(places)
+    m, f, people = F.col("masculino"), F.col("feminino"), F.zip_with("masculino", "feminino", lambda a, b: a + b)
+
+    def row(band: str, order: int, men: Column, women: Column, of_total: Column, theirs: Column) -> Column:
+        both = men + women
+        delta = of_total - theirs
+        return F.struct(F.lit(band).alias("idade_grupo"), men.alias("masculino"), women.alias("feminino"), both.alias("total"), share(men, both).alias("pct_masculino"), share(women, both).alias("pct_feminino"), F.lit(order).alias("ordem"), of_total.alias("pct_do_total"), theirs.alias("pct_comparador"), delta.alias("delta_pp"))
+
+    rows = [row(b, k, m[k], f[k], share(m[k] + f[k], _all(people)), F.bround(share(F.col("totals")[k], _all("totals"), None), 1)) for k, b in enumerate(BANDS)]
+    rows.append(row("TOTAL", 100000, _all(m), _all(f), F.lit(100.0), F.lit(None).cast("double")))
+    # the left side's rows are municipalities, the right side's regions: Spark broadcasts by measured size
+    return places.where("CD_MUN is not null").join(theirs, "comparador", "left").select("CD_MUN", "comparador", F.inline(F.array(*rows)))

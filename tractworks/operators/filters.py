@@ -67,16 +67,35 @@ def canonical_bands(df: DataFrame, band: str = "idade_grupo") -> DataFrame:
     return df.where(F.col(band).isin(*BANDS))
 
 
+#: What widening goes by, in this order; regions by type and name.
+WIDENING = (("CD_SETOR",), ("CD_MUN",), ("TIPO_RM_AU", "NOME_RM_AU"), ("RM_NOME",), ("AU_NOME",), ("NM_RGI",), ("NM_RGINT",))
+
+
 def widened(df: DataFrame, scope: DataFrame) -> DataFrame:
-    """The full data of the places that a filtered scope touches, by the first key both have with values.
+    """The full data of the places that a filtered scope touches, by the first key for which the scope holds values.
 
-    Municipalities come first, then region pairs, single region names, immediate and intermediate regions; without any,
-    all rows. ``scope`` and ``df`` share columns; the keys go through a semi join, not through the driver.
+    A scope of one single tract widens to that tract; then come municipalities, region pairs, single region names, immediate and
+    intermediate regions; a scope without any gives all rows. The scope's distinct keys are joined in Spark, none go through the driver.
     """
-    for keys in (["CD_MUN"], ["TIPO_RM_AU", "REGIAO_RM_AU"], ["RM_NOME"], ["AU_NOME"], ["NM_RGI"], ["NM_RGINT"]):
-        if all(k in df.columns and k in scope.columns for k in keys):
-            return df.join(scope.select(keys).dropna().distinct(), keys, "left_semi")
-    return df
+    keys = [k for k in WIDENING if all(c in df.columns and c in scope.columns for c in k)]
+    if not keys:
+        return df
+
+    def key(columns: tuple[str, ...]) -> Column:
+        parts = [F.upper(c) if c == "TIPO_RM_AU" else F.col(c).cast("string") for c in columns]
+        return F.when(F.lit(True) if len(parts) == 1 else parts[0].isNotNull() & parts[1].isNotNull(), F.concat_ws("\x1f", *parts) if len(parts) > 1 else parts[0])
+
+    slots = [F.struct(F.lit(WIDENING.index(k)).alias("slot"), key(k).alias("key")) for k in keys]
+    have = scope.select(F.inline(F.array(*slots))).where("key is not null").distinct()
+    valid = have.groupBy("slot").agg(F.count(F.lit(1)).alias("n")).where("slot <> 0 or n = 1")
+    chosen = valid.agg(F.coalesce(F.min("slot"), F.lit(-1)).alias("slot"))  # one row
+    places = have.join(F.broadcast(chosen), "slot").select(F.col("key").alias("__key")).unionByName(chosen.where("slot = -1").select(F.lit("").alias("__key")))
+    one = F.broadcast(chosen.select(F.lit(1).alias("__one"), F.col("slot").alias("__slot")))
+    own = F.when(F.col("__slot") == -1, F.lit(""))
+    for k in keys:
+        own = own.when(F.col("__slot") == WIDENING.index(k), key(k))
+    rows = df.withColumn("__one", F.lit(1)).join(one, "__one").withColumn("__key", own)
+    return rows.join(places, "__key", "left_semi").select(*(F.col(f"`{c}`") for c in df.columns))
 
 
 def included_excluded(scope: DataFrame, chosen: DataFrame, value: str, place: str = "CD_MUN") -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tractworks.functions.codes import number
 from tractworks.household_groups import HOUSEHOLD_GROUPS
+from tractworks.operators.pyramid import ranked
 
 
 def group_table(spark: SparkSession, groups: Sequence[tuple] = HOUSEHOLD_GROUPS) -> DataFrame:
@@ -34,6 +35,11 @@ def with_group_share(totals: DataFrame, keys: Sequence[str]) -> DataFrame:
     return totals.withColumn("share", F.col("valor") / F.sum("valor").over(Window.partitionBy(*keys, "group_id")))
 
 
+def bar_series(totals: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Categories with their place in a bar chart (``posicao``): ascending by value, equal values by column name."""
+    return ranked(totals, [*keys, "group_id"], ["valor", "column_name"])
+
+
 def state_and_places(df: DataFrame, key: str, groups: Sequence[tuple] = HOUSEHOLD_GROUPS) -> DataFrame:
     """Totals of every place with the whole table's beside them."""
     places = category_totals(df, [key], groups)

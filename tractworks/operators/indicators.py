@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,19 +18,34 @@ RATIOS = {
 }
 
 
+def group_sums(age: Column, pop: Column, within: Column | None = None, suffix: str = "") -> list[Column]:
+    """Sums of the population by age group, on request only of rows ``within``; ages that are no number count only in the total."""
+
+    def total(name: str, when: Column | None = None) -> Column:
+        conditions = [c for c in (when, within) if c is not None]
+        value = pop if not conditions else F.when(reduce(Column.__and__, conditions), pop)
+        return F.coalesce(F.sum(value), F.lit(0.0)).alias(name + suffix)
+
+    return [
+        total("pop_0_14", age.between(0, 14)), total("pop_15_64", age.between(15, 64)), total("pop_20_64", age.between(20, 64)), total("pop_60p", age >= 60),
+        total("pop_65p", age >= 65), total("pop_80p", age >= 80), total("pop_total"), total("pop_idade0", age == 0),
+    ]
+
+
 def age_groups(df: DataFrame, keys: Sequence[str], age: str = "idade", pop: str = "pop") -> DataFrame:
-    """Population of the age groups per place, in one pass; ages that are no number count only in the total."""
-    a, p = number(age), number(pop)
-    total = lambda when=None: F.coalesce(F.sum(p if when is None else F.when(when, p)), F.lit(0.0))
-    return df.groupBy(*keys).agg(
-        total(a.between(0, 14)).alias("pop_0_14"), total(a.between(15, 64)).alias("pop_15_64"), total(a.between(20, 64)).alias("pop_20_64"), total(a >= 60).alias("pop_60p"),
-        total(a >= 65).alias("pop_65p"), total(a >= 80).alias("pop_80p"), total().alias("pop_total"), total(a == 0).alias("pop_idade0"),
-    )
+    """Population of the age groups per place, in one pass."""
+    return df.groupBy(*keys).agg(*group_sums(number(age), number(pop)))
+
+
+def ratio(name: str, suffix: str = "") -> Column:
+    """An indicator from group sums; null where the denominator is zero."""
+    a, b, k = RATIOS[name]
+    return F.try_divide(F.expr(re.sub(r"pop_\w+", lambda m: m[0] + suffix, a)), F.col(b + suffix)) * F.lit(float(k))
 
 
 def with_indicators(groups: DataFrame) -> DataFrame:
     """The ratios; null where a denominator is zero."""
-    return groups.withColumns({n: F.try_divide(F.expr(a), F.col(b)) * F.lit(float(k)) for n, (a, b, k) in RATIOS.items()})
+    return groups.withColumns({n: ratio(n) for n in RATIOS})
 
 
 def with_flags(groups: DataFrame, least: float = 500) -> DataFrame:
@@ -60,9 +77,11 @@ def profile() -> Column:
     return F.when(young, "Jovem").when(old, "Envelhecido").otherwise("Intermediário")
 
 
-def change(df: DataFrame, keys: Sequence[str], year: str, before: int, after: int, names: Sequence[str] = ("RDT", "IE_65p")) -> DataFrame:
-    """Indicators of two years side by side and their difference."""
-    both = indicators(df.where(F.col(year).isin(before, after)), [*keys, year])
-    a = both.where(F.col(year) == before).select(*keys, *(F.col(n).alias(f"{n}_antes") for n in names))
-    b = both.where(F.col(year) == after).select(*keys, *(F.col(n).alias(f"{n}_depois") for n in names))
-    return a.join(b, list(keys)).select("*", *((F.col(f"{n}_depois") - F.col(f"{n}_antes")).alias(f"{n}_dif") for n in names))
+def change(df: DataFrame, keys: Sequence[str], year: str, before: int, after: int, names: Sequence[str] = ("RDT", "IE_65p"), age: str = "idade", pop: str = "pop") -> DataFrame:
+    """Indicators of two years side by side and their difference, of places that have rows of both years; one pass over the data."""
+    rows = df.dropna(subset=list(keys)).where(F.col(year).isin(before, after))
+    years = {"_antes": F.col(year) == before, "_depois": F.col(year) == after}
+    sums = [c for suffix, within in years.items() for c in (*group_sums(number(age), number(pop), within, suffix), F.count(F.when(within, 1)).alias(f"__n{suffix}"))]
+    both = rows.groupBy(*keys).agg(*sums).where("__n_antes > 0 and __n_depois > 0")
+    both = both.select(*keys, *(ratio(n, suffix).alias(n + suffix) for suffix in years for n in names))
+    return both.select("*", *((F.col(f"{n}_depois") - F.col(f"{n}_antes")).alias(f"{n}_dif") for n in names))

@@ -3,36 +3,40 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tractworks.functions import codes
-from tractworks.vocabulary import ALIASES
+from tractworks.vocabulary import ALIASES, LABELS
 
 _VARIABLE = re.compile(r"v000([1-7])", re.I)
 
 
-def canonical_names(df: DataFrame, extra: dict[str, str] | None = None) -> DataFrame:
-    """Columns renamed by an external map, then by alias (canonical name first, then listed order), then v0001..v0007 to upper case.
+def canonical_renames(columns: Sequence[str], extra: dict[str, str] | None = None) -> dict[str, str]:
+    """New names by an external map, then by alias (canonical name first, then listed order), then v0001..v0007 in upper case.
 
-    Only names change; a column is renamed if nothing has the canonical name yet.
+    A column is renamed if nothing has the canonical name yet; columns that keep their name are left out.
     """
-    if extra:
-        df = df.withColumnsRenamed({k: v for k, v in extra.items() if k in df.columns and v not in df.columns})
-    names = {}
-    for c in df.columns:
-        names.setdefault(codes.normal_name(c), c)
-    renames = {}
+    first = {k: v for k, v in (extra or {}).items() if k in columns and v not in columns}
+    now = {c: first.get(c, c) for c in columns}
+    taken = set(now.values())
+    names: dict[str, str] = {}
+    for old, new in now.items():
+        names.setdefault(codes.normal_name(new), old)
     for canonical, aliases in ALIASES.items():
         found = next((names[a] for a in (canonical, *aliases) if a in names), None)
-        if found is not None and found != canonical and canonical not in df.columns:
-            renames[found] = canonical
-    taken = set(df.columns)
-    for c in df.columns:
-        if (m := _VARIABLE.fullmatch(c.strip())) and f"V000{m[1]}" not in taken:
-            renames[c] = f"V000{m[1]}"
-    return df.withColumnsRenamed(renames)
+        if found is not None and now[found] != canonical and canonical not in taken:
+            now[found] = canonical
+    for old, new in now.items():
+        if (m := _VARIABLE.fullmatch(new.strip())) and f"V000{m[1]}" not in taken:
+            now[old] = f"V000{m[1]}"
+    return {old: new for old, new in now.items() if old != new}
+
+
+def canonical_names(df: DataFrame, extra: dict[str, str] | None = None) -> DataFrame:
+    """Columns renamed by :func:`canonical_renames`; only names change."""
+    return df.withColumnsRenamed(canonical_renames(df.columns, extra))
 
 
 def normal_codes(df: DataFrame) -> DataFrame:
@@ -64,10 +68,11 @@ def numeric_variables(df: DataFrame) -> DataFrame:
     return df.withColumns({c: codes.number(c) if c in ("V0005", "V0006") else codes.number(c).cast("bigint") for c in df.columns if re.fullmatch(r"V000[1-7]", c)})
 
 
-def clean_labels(df: DataFrame, columns: list[str]) -> DataFrame:
+def clean_labels(df: DataFrame, columns: Sequence[str] = LABELS) -> DataFrame:
+    """Label columns trimmed, with the spellings of a missing value as null."""
     return df.withColumns({c: codes.clean_label(c) for c in columns if c in df.columns})
 
 
 def normalized(df: DataFrame, extra: dict[str, str] | None = None) -> DataFrame:
     """All of the above in order."""
-    return numeric_variables(with_urban_rural(decoded(normal_codes(canonical_names(df, extra)))))
+    return clean_labels(numeric_variables(with_urban_rural(decoded(normal_codes(canonical_names(df, extra))))))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tractworks.functions import codes
 from tractworks.vocabulary import BANDS, FIVE_YEAR_BANDS, SEXES
 
+# The columns that a tract's rows keep.
 CONTEXT = (
     "CD_SETOR", "CD_MUN", "NM_MUN", "CD_UF", "NM_UF", "CD_SITUACAO", "SITUACAO", "SITUACAO_DET_TXT", "CD_TIPO", "TP_SETOR_TXT", "RM_NOME", "AU_NOME",
     "NM_RGINT", "NM_RGI", "REGIAO_RM_AU", "TIPO_RM_AU", "NOME_RM_AU", "AREA_KM2", "V0001",
@@ -66,10 +67,6 @@ def sum_by_sex_and_band(long: DataFrame, keys: Sequence[str], drop_null: bool =
     return (long.dropna(subset=by) if drop_null else long).groupBy(*by).agg(F.sum("valor").cast("bigint").alias("valor"))
 
 
-def band_order(spark) -> DataFrame:
-    return spark.createDataFrame([(b, k) for k, b in enumerate(BANDS)], "idade_grupo string, ord int")
-
-
 def padded(long: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Every place with all canonical bands and both sexes, zero where there is no row; other bands go.
 
@@ -103,6 +100,12 @@ def chart_order(long: DataFrame, keys: Sequence[str]) -> DataFrame:
     return labels.withColumn("ordem", order)
 
 
+def ranked(rows: DataFrame, keys: Sequence[str], by: Sequence[str | Column], name: str = "posicao") -> DataFrame:
+    """``rows`` with each one's position at its place in the order of ``by``, nulls last."""
+    order = [F.asc_nulls_last(c) if isinstance(c, str) else c for c in by]
+    return rows.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+
+
 def share(part: Column, total: Column, decimals: int | None = 1) -> Column:
     """Percent, zero where the total is; rounded half to even."""
     value = F.when(total > 0, part / total * 100).otherwise(F.lit(0.0))

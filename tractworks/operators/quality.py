@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tractworks.functions.codes import number
+from tractworks.operators.normalize import canonical_renames
 from tractworks.operators.pyramid import age_columns, cell
+from tractworks.vocabulary import APP_TYPES, MEANINGS, SITUATIONS, TRACT_TYPES, VARIABLES
 
 
 def reconcile(wide: DataFrame, keys: Sequence[str], declared: str = "V0001") -> DataFrame:
@@ -34,16 +38,47 @@ def missing_coverage(wide: DataFrame, keys: Sequence[str], tract: str = "CD_SETO
 
 
 def column_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """column, type, non_null, numeric, non_zero of each column, from one pass over the data."""
-    columns = list(columns or df.columns)
-    types = dict(df.dtypes)
+    """column, type, non_null, numeric, non_zero of each column, from one pass over the data.
+
+    Numbers are counted as they are and texts if they can be read as numbers; columns of other types hold none.
+    """
+    kinds = {f.name: f.dataType for f in df.schema}
     parts = []
-    for c in columns:
-        v = number(F.col(f"`{c}`").cast("string"))
-        parts.append(F.struct(F.lit(c).alias("column"), F.lit(types[c]).alias("type"), F.count(F.col(f"`{c}`")).alias("non_null"), F.count(v).alias("numeric"), F.count(F.when(v != 0, v)).alias("non_zero")))
+    for c in columns or df.columns:
+        value, kind = F.col(f"`{c}`"), kinds[c]
+        if isinstance(kind, (T.FloatType, T.DoubleType)):
+            v = F.when(~F.isnan(value), value)
+        elif isinstance(kind, T.NumericType):
+            v = value
+        else:
+            v = number(value) if isinstance(kind, T.StringType) else None
+        counts = (F.lit(0).cast("bigint"), F.lit(0).cast("bigint")) if v is None else (F.count(v), F.count(F.when(v != 0, 1)))
+        parts.append(F.struct(F.lit(c).alias("column"), F.lit(kind.simpleString()).alias("type"), F.count(value).alias("non_null"), counts[0].alias("numeric"), counts[1].alias("non_zero")))
     return df.agg(F.array(*parts).alias("p")).select(F.inline("p"))
 
 
+def column_attributes(spark: SparkSession, columns: Sequence[str], extra: dict[str, str] | None = None) -> DataFrame:
+    """column, app_equivalent, human_alias, app_type, code_map of header names: one row each.
+
+    The equivalent is the canonical name, null where the name stays as it is; the other attributes are the equivalent's.
+    """
+
+    def attributes(name: str | None) -> tuple:
+        if name is None:
+            return None, None, None
+        variable = VARIABLES.get(name)
+        table = SITUATIONS if name == "CD_SITUACAO" else TRACT_TYPES if name == "CD_TIPO" else {name: variable} if variable else None
+        return variable or MEANINGS.get(name), APP_TYPES.get(name, "numeric" if variable else None), table and json.dumps(table, ensure_ascii=False)
+
+    names = canonical_renames(columns, extra)
+    return spark.createDataFrame([(c, names.get(c), *attributes(names.get(c))) for c in columns], "column string, app_equivalent string, human_alias string, app_type string, code_map string")
+
+
+def described_profile(df: DataFrame, columns: Sequence[str] | None = None, extra: dict[str, str] | None = None) -> DataFrame:
+    """:func:`column_profile` with :func:`column_attributes`."""
+    return column_profile(df, columns).join(column_attributes(df.sparkSession, list(columns or df.columns), extra), "column")
+
+
 def type_summary(profile: DataFrame) -> DataFrame:
     return profile.groupBy("type").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "type")
 

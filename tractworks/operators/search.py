@@ -1,34 +1,92 @@
-"""Nearest vectors."""
+"""Nearest vectors: exact search of many queries over all vectors, block against block."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+#: Vectors and queries in a block: a pair of blocks makes a matrix of this size in a task.
+VECTORS, QUERIES = 4096, 512
+
+
+def packed(rows: DataFrame, id_col: str, vector_col: str, size: int) -> DataFrame:
+    """(ids, n, data): the rows of each partition in blocks of up to ``size``, vectors as bytes of doubles; null vectors go."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            batch = batch.filter(batch.column(1).is_valid())
+            for i in range(0, batch.num_rows, size):
+                part = batch.slice(i, size)
+                lists = part.column(1)
+                data = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+                yield pa.RecordBatch.from_arrays([pa.array([part.column(0).to_pylist()], pa.list_(part.column(0).type)), pa.array([part.num_rows], pa.int32()), pa.array([data.tobytes()], pa.binary())], names=["ids", "n", "data"])
+
+    schema = T.StructType([T.StructField("ids", T.ArrayType(rows.schema[id_col].dataType)), T.StructField("n", T.IntegerType()), T.StructField("data", T.BinaryType())])
+    return rows.select(id_col, vector_col).mapInArrow(run, schema)
 
 
-def unit(v: str) -> Column:
-    """A vector at length one (zero vectors stay)."""
-    size = F.sqrt(F.aggregate(F.col(v), F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
-    return F.transform(v, lambda x: F.when(size > 0, x.cast("double") / size).otherwise(x.cast("double")))
+def distances(v: np.ndarray, q: np.ndarray, metric: str) -> np.ndarray:
+    """Distances of all pairs by one matrix product; good to rounding errors."""
+    if metric == "cosine":
+        return 1 - q @ v.T
+    return np.sqrt(np.maximum((q * q).sum(1)[:, None] + (v * v).sum(1)[None] - 2 * q @ v.T, 0))
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, metric: str = "l2", normalise: bool = False, id_col: str = "vec_id", vector_col: str = "embedding", query_id: str = "qid", query_vector: str = "qvec", block: int = 256) -> DataFrame:
+def exact(v: np.ndarray, q: np.ndarray, metric: str) -> np.ndarray:
+    """Distances row by row, summed in the order of the dimensions."""
+    parts = v * q if metric == "cosine" else (v - q) ** 2
+    total = np.cumsum(parts, axis=1)[:, -1] if parts.shape[1] else np.zeros(len(parts))
+    return 1 - total if metric == "cosine" else np.sqrt(total)
+
+
+def at_length_one(x: np.ndarray) -> np.ndarray:
+    size = np.sqrt(np.cumsum(x * x, axis=1)[:, -1:]) if x.shape[1] else np.zeros((len(x), 1))
+    return np.where(size > 0, x / np.where(size > 0, size, 1), x)
+
+
+def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, metric: str = "l2", normalise: bool = False, id_col: str = "vec_id", vector_col: str = "embedding", query_id: str = "qid", query_vector: str = "qvec") -> DataFrame:
     """Per query the ``k`` nearest vectors, ties by id: query id, id, distance, rank.
 
-    Queries are dealt into blocks of at most about ``block``; each block's queries travel as one array, so the vectors are read
-    once per block, and each task keeps its own ``k`` best of a query before anything is shuffled.
+    Both sides are packed into blocks, and each block of vectors meets each block of queries: that is the whole search, a matrix
+    product per pair, of which a task keeps the ``k`` best of each query (found with a margin for rounding, within which distances
+    are computed again exactly). Spark broadcasts a side only if it has measured it as small.
     """
     if metric not in ("l2", "cosine"):
         raise ValueError("metric is l2 or cosine")
-    unit_length = normalise or metric == "cosine"
-    v = vectors.select(id_col, (unit(vector_col) if unit_length else F.transform(vector_col, lambda x: x.cast("double"))).alias("__v"))
-    q = queries.select(query_id, (unit(query_vector) if unit_length else F.transform(query_vector, lambda x: x.cast("double"))).alias("__q"))
-    blocks = q.groupBy(F.abs(F.xxhash64(query_id) % F.lit(max(1, -(-queries.count() // block)))).alias("__block")).agg(F.collect_list(F.struct(query_id, "__q")).alias("__queries"))
-    pairs = v.join(blocks).select(id_col, "__v", F.explode("__queries").alias("__one")).select(id_col, "__v", f"__one.{query_id}", "__one.__q")
-    if metric == "l2":
-        far = F.aggregate(F.zip_with("__v", "__q", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x, lambda s: F.sqrt(s))
-    else:
-        far = F.lit(1.0) - F.aggregate(F.zip_with("__v", "__q", lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
-    best = pairs.select(query_id, F.struct(far.alias("distance"), F.col(id_col)).alias("hit"))
-    rank = F.row_number().over(Window.partitionBy(query_id).orderBy("hit"))
-    return best.withColumn("rank", rank).where(F.col("rank") <= k).select(query_id, f"hit.{id_col}", "hit.distance", "rank")
+    unit = normalise or metric == "cosine"
+    pairs = packed(vectors, id_col, vector_col, VECTORS).toDF("ids", "n", "data").join(packed(queries, query_id, query_vector, QUERIES).toDF("qids", "qn", "qdata"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                one = batch.slice(i, 1)
+                n, qn = one.column(1)[0].as_py(), one.column(4)[0].as_py()
+                v = np.frombuffer(one.column(2)[0].as_py()).reshape(n, -1)
+                q = np.frombuffer(one.column(5)[0].as_py()).reshape(qn, -1)
+                if v.shape[1] != q.shape[1]:
+                    raise ValueError("vectors and queries differ in length")
+                v, q = (at_length_one(v), at_length_one(q)) if unit else (v, q)
+                far = distances(v, q, metric)
+                most = np.partition(far, min(k, n) - 1, axis=1)[:, min(k, n) - 1]
+                scale = np.sqrt((v * v).sum(1).max(initial=0)) + np.sqrt((q * q).sum(1)) + 1
+                row, at = np.nonzero(far <= (most + 1e-6 * scale)[:, None])
+                out = exact(v[at], q[row], metric)
+                ids, qids = one.column(0).flatten(), one.column(3).flatten()
+                place = np.empty(n, np.int64)
+                place[pc.sort_indices(ids).to_numpy()] = np.arange(n)
+                by = np.lexsort((place[at], out, row))
+                row, at, out = row[by], at[by], out[by]
+                nth = np.arange(len(row)) - np.searchsorted(row, row)
+                row, at, out = row[nth < k], at[nth < k], out[nth < k]
+                yield pa.RecordBatch.from_arrays([qids.take(pa.array(row)), ids.take(pa.array(at)), pa.array(out)], names=[query_id, id_col, "distance"])
+
+    schema = T.StructType([T.StructField(query_id, queries.schema[query_id].dataType), T.StructField(id_col, vectors.schema[id_col].dataType), T.StructField("distance", T.DoubleType())])
+    best = pairs.mapInArrow(run, schema)
+    rank = F.row_number().over(Window.partitionBy(query_id).orderBy("distance", id_col))
+    return best.withColumn("rank", rank).where(F.col("rank") <= k).select(query_id, id_col, "distance", "rank")

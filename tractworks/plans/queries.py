@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tractworks import api
 from tractworks.functions import codes, text
+from tractworks.household_groups import HOUSEHOLD_GROUPS
 from tractworks.operators import catalog, compare, filters, household, indicators, normalize, pyramid, quality, regions, search
-from tractworks.plans.views import GROUPS, PRIORITIES, SQL_PEOPLE, SQL_TRACTS, STATUSES, households, people, raw_tracts, table, tracts
-from tractworks.sources.readers import of_state, pyramid_columns, region_composition, reshape_statistics
+from tractworks.plans.views import GROUPS, HOUSEHOLD_COLUMNS, PRIORITIES, SQL_PEOPLE, SQL_TRACTS, STATUSES, households, people, raw_tracts, scratch, table, tracts, wide_households
+from tractworks.sources.readers import column_map, of_state, pyramid_columns, region_composition, reshape_statistics
+from tractworks.sources.writers import export_profile, save_table
+from tractworks.streaming import live
 from tractworks.vocabulary import BANDS, SITUATIONS, TRACT_TYPES, VARIABLES, WHOLE_STATE
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -120,19 +125,22 @@ def pyramid_csv_columns(spark, d):
 
 
 @query(
-    "SELECT CASE WHEN n_nationkey % 2 = 0 THEN 'Homens' ELSE 'Total' END AS sexo, CASE WHEN n_nationkey % 2 = 0 THEN '0 a 4 anos' ELSE 'Homens' END AS idade_grupo, CASE WHEN n_nationkey % 3 <> 0 THEN n_nationkey::DOUBLE END AS valor, n_nationkey::VARCHAR AS cod, n_name AS nome FROM nation"
+    "SELECT CASE WHEN c_custkey % 2 = 0 THEN 'Homens' ELSE 'Total' END AS sexo, CASE WHEN c_custkey % 2 = 0 THEN '0 a 4 anos' ELSE 'Homens' END AS idade_grupo, CASE WHEN c_custkey % 3 <> 0 THEN c_custkey::DOUBLE END AS valor, c_custkey::VARCHAR AS cod, c_name AS nome FROM customer"
 )
 def statistics_reshape(spark, d):
-    item = F.struct(F.col("n_nationkey").cast("string").alias("D1C"), F.col("n_name").alias("D1N"), F.lit("Homens").alias("D2N"), F.when(F.col("n_nationkey") % 2 == 0, "0 a 4 anos").alias("D3N"), F.when(F.col("n_nationkey") % 3 == 0, "...").otherwise(F.col("n_nationkey").cast("string")).alias("V"))
+    """Responses of up to a thousand customers, each a header and an item a customer."""
+    key = F.col("c_custkey")
+    item = F.struct(key.cast("string").alias("D1C"), F.col("c_name").alias("D1N"), F.lit("Homens").alias("D2N"), F.when(key % 2 == 0, "0 a 4 anos").alias("D3N"), F.when(key % 3 == 0, "...").otherwise(key.cast("string")).alias("V"))
     header = F.struct(F.lit("Cod").alias("D1C"), F.lit("Nome").alias("D1N"), F.lit("Sexo").alias("D2N"), F.lit("Idade").alias("D3N"), F.lit("Valor").alias("V"))
-    return reshape_statistics(table(spark, d, "nation").select(F.to_json(F.array(header, item)).alias("value")))
+    responses = table(spark, d, "customer").groupBy(F.floor(key / 1000).alias("response")).agg(F.collect_list(item).alias("items"))
+    return reshape_statistics(responses.select(F.to_json(F.concat(F.array(header), "items")).alias("value")))
 
 
 # --- regions -----------------------------------------------------------------------------------------------------------
 
 
 def _compositions(spark, d):
-    n = table(spark, d, "nation")
+    n = table(spark, d, "supplier").join(table(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))  # a row per tract: names repeat
     key, region = F.col("n_nationkey").cast("string"), F.col("n_regionkey")
     state = F.when(F.col("n_nationkey") == 7, "RJ").otherwise("SP").alias("Sigla UF")
     rm = n.where(region.isin(2, 3)).select(key.alias("Cod Mun"), F.when(region == 2, "RM Asia").otherwise("RM Europa").alias("NOME_CATMETROPOL"), state)
@@ -140,7 +148,7 @@ def _compositions(spark, d):
     return region_composition(rm, "RM"), region_composition(au, "AU")
 
 
-_MAPS = """WITH n AS (SELECT lpad(n_nationkey::VARCHAR, 7, '0') AS cd, n_name, n_regionkey AS rk, n_nationkey AS nk FROM nation),
+_MAPS = """WITH n AS (SELECT lpad(n_nationkey::VARCHAR, 7, '0') AS cd, n_name, n_regionkey AS rk, n_nationkey AS nk FROM nation WHERE n_nationkey IN (SELECT s_nationkey FROM supplier)),
 rm AS (SELECT cd, CASE rk WHEN 2 THEN 'RM Asia' ELSE 'RM Europa' END AS nome FROM n WHERE rk IN (2, 3) AND nk <> 7),
 au AS (SELECT cd, CASE rk WHEN 0 THEN 'AU Africa' ELSE 'AU Europa' END AS nome FROM n WHERE (rk = 0 OR (rk = 3 AND nk % 2 = 0)) AND nk <> 7) """
 
@@ -248,9 +256,10 @@ def sex_summary(spark, d):
 
 # --- comparison --------------------------------------------------------------------------------------------------------
 
-_KEYS = ", ck AS (SELECT cd_mun, coalesce('RM — ' || min(rm), 'AU — ' || min(au), 'RGI — ' || min(rgi), 'Estado') AS comparador FROM t GROUP BY 1) "
-_COMP = _KEYS + """, cb AS (SELECT comparador, band AS idade_grupo, sum(valor)::BIGINT AS total FROM l JOIN ck USING (cd_mun) WHERE comparador <> 'Estado' GROUP BY ALL
-UNION ALL SELECT 'Estado', band, sum(valor)::BIGINT FROM l WHERE EXISTS (SELECT 1 FROM ck WHERE comparador = 'Estado') GROUP BY ALL),
+# a comparator holds all tracts of its region, whatever the comparators of their municipalities are
+_KEYS = ", ck AS (SELECT cd_mun, coalesce('RM — ' || min(rm), 'AU — ' || min(au), 'Região Imediata — ' || min(rgi), 'Estado de São Paulo') AS comparador FROM t GROUP BY 1) "
+_COMP = _KEYS + """, ms AS (SELECT treg || ' — ' || reg AS comparador, sup FROM t WHERE reg IS NOT NULL UNION ALL SELECT 'Região Imediata — ' || rgi, sup FROM t WHERE rgi IS NOT NULL UNION ALL SELECT 'Estado de São Paulo', sup FROM t),
+cb AS (SELECT comparador, band AS idade_grupo, sum(valor)::BIGINT AS total FROM l JOIN ms USING (sup) WHERE comparador IN (SELECT comparador FROM ck) GROUP BY ALL),
 cp AS (SELECT *, CASE WHEN sum(total) OVER (PARTITION BY comparador) > 0 THEN total::DOUBLE / sum(total) OVER (PARTITION BY comparador) * 100 ELSE 0 END AS pct FROM cb) """
 
 
@@ -258,7 +267,7 @@ def _by_municipality(spark, d, situations=None):
     wide = tracts(spark, d)
     if situations is not None:
         wide = filters.by_situation(wide, situations)
-    return pyramid.pyramid(wide, ["CD_MUN"]), compare.comparator_keys(wide)
+    return compare.municipal(wide)
 
 
 @query(T + _KEYS + 'SELECT cd_mun AS "CD_MUN", comparador FROM ck')
@@ -268,7 +277,7 @@ def comparator_key(spark, d):
 
 @query(T + _COMP + "SELECT comparador, idade_grupo, total, pct FROM cp")
 def comparator_pct(spark, d):
-    return compare.comparator_bands(*_by_municipality(spark, d))
+    return compare.comparator_bands(_by_municipality(spark, d))
 
 
 _DELTA = "SELECT place AS \"CD_MUN\", comparador, s.idade_grupo, masculino, feminino, s.total, pct_masculino, pct_feminino, ordem, pct_do_total, round_even(pct, 1) AS pct_comparador, pct_do_total - round_even(pct, 1) AS delta_pp FROM s JOIN ck ON ck.cd_mun = place LEFT JOIN cp USING (comparador, idade_grupo)"
@@ -276,12 +285,12 @@ _DELTA = "SELECT place AS \"CD_MUN\", comparador, s.idade_grupo, masculino, femi
 
 @query(_BAND_MUN + _COMP + _DELTA)
 def band_table_delta(spark, d):
-    return compare.band_table_with_delta(*_by_municipality(spark, d))
+    return compare.band_table_with_delta(_by_municipality(spark, d))
 
 
 @query((T + _BAND.format(k="cd_mun", w="") + _COMP + _DELTA).replace("l AS (SELECT t.*", "l AS (SELECT t.*").replace("FROM t CROSS JOIN bands b", "FROM (SELECT * FROM t WHERE situacao = 'Urbana') t CROSS JOIN bands b").replace("FROM t GROUP BY 1)", "FROM t WHERE situacao = 'Urbana' GROUP BY 1)"))
 def band_table_delta_urban(spark, d):
-    return compare.band_table_with_delta(*_by_municipality(spark, d, ["Urbana"]))
+    return compare.band_table_with_delta(_by_municipality(spark, d, ["Urbana"]))
 
 
 # --- filters -----------------------------------------------------------------------------------------------------------
@@ -304,6 +313,38 @@ def scope_widening(spark, d):
     return filters.widened(wide, filters.by_tract_type(wide, [3])).groupBy("CD_MUN").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(T + "SELECT cd_mun AS \"CD_MUN\", count(*)::BIGINT AS n FROM t WHERE cd_setor = (SELECT cd_setor FROM t ORDER BY sup LIMIT 1) GROUP BY 1")
+def scope_widening_tract(spark, d):
+    """A scope of one tract stays that tract."""
+    wide = tracts(spark, d)
+    first = wide.agg(F.min(F.col("CD_SETOR").cast("bigint")).cast("string").alias("CD_SETOR"))
+    return filters.widened(wide, wide.join(first, "CD_SETOR", "left_semi")).groupBy("CD_MUN").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(T + "SELECT treg AS \"TIPO_RM_AU\", reg AS \"NOME_RM_AU\", count(*)::BIGINT AS n FROM t WHERE (treg, reg) IN (SELECT treg, reg FROM t WHERE tipo IN (0, 3) AND reg IS NOT NULL) GROUP BY 1, 2")
+def scope_widening_region(spark, d):
+    """A scope without municipality codes widens by its region pairs."""
+    wide = tracts(spark, d)
+    scope = filters.by_tract_type(wide, [0, 3]).withColumn("CD_MUN", F.lit(None).cast("string"))
+    return filters.widened(wide, scope).groupBy("TIPO_RM_AU", "NOME_RM_AU").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(T + "SELECT rgi AS \"NM_RGI\", count(*)::BIGINT AS n FROM t GROUP BY 1")
+def scope_widening_none(spark, d):
+    """A scope whose keys are all null gives all rows."""
+    wide = tracts(spark, d)
+    scope = wide.withColumns({c: F.lit(None).cast("string") for k in filters.WIDENING for c in k})
+    return filters.widened(wide, scope).groupBy("NM_RGI").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(P + "SELECT cd_mun AS \"CD_MUN\", idade_grupo, sum(pop)::BIGINT AS valor FROM (SELECT *, (idade // 5 * 5) || ' a ' || (idade // 5 * 5 + 4) || ' anos' AS idade_grupo FROM people) WHERE idade < 30 GROUP BY 1, 2")
+def canonical_bands_only(spark, d):
+    """Of five-year labels only those that are canonical bands stay."""
+    low = F.floor(F.col("idade") / 5) * 5
+    rows = people(spark, d).select("CD_MUN", F.concat(low.cast("string"), F.lit(" a "), (low + 4).cast("string"), F.lit(" anos")).alias("idade_grupo"), "pop")
+    return filters.canonical_bands(rows).groupBy("CD_MUN", "idade_grupo").agg(F.sum("pop").cast("bigint").alias("valor"))
+
+
 @query(T + f"""SELECT cd_mun AS "CD_MUN", coalesce(list_sort(list(DISTINCT x) FILTER (k)), []::VARCHAR[]) AS included, coalesce(list_sort(list(DISTINCT x) FILTER (NOT k)), []::VARCHAR[]) AS excluded, bool_or(NOT k) AS is_subset
 FROM (SELECT cd_mun, x, bool_or(tipo < 5) OVER (PARTITION BY cd_mun, x) AS k FROM (SELECT cd_mun, {TYPE} AS x, tipo FROM t) WHERE x IS NOT NULL) GROUP BY 1""")
 def included_excluded(spark, d):
@@ -390,16 +431,21 @@ def missing_coverage(spark, d):
     return quality.missing_coverage(tracts(spark, d), ["CD_MUN"])
 
 
-_PROFILE_COLUMNS = {"l_orderkey": "bigint", "l_quantity": "double", "l_discount": "double", "l_returnflag": "string", "l_linenumber": "int"}
-_PROFILE = " UNION ALL ".join(
-    f"SELECT '{c}' AS \"column\", '{t}' AS type, count({c})::BIGINT AS non_null, count(try_cast({c} AS DOUBLE))::BIGINT AS numeric, count(*) FILTER (try_cast({c} AS DOUBLE) <> 0)::BIGINT AS non_zero FROM lineitem"
-    for c, t in _PROFILE_COLUMNS.items()
-)
+def _profile_sql(columns, source):
+    """SQL of a profile; columns: name -> (type, expression, numeric expression or None)."""
+    return " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", '{kind}' AS type, count({x})::BIGINT AS non_null, " + (f"count({v})::BIGINT AS numeric, count(*) FILTER ({v} <> 0)::BIGINT AS non_zero" if v else "0::BIGINT AS numeric, 0::BIGINT AS non_zero") + f" FROM {source}"
+        for c, (kind, x, v) in columns.items()
+    )
+
+
+_LINEITEM = {"l_orderkey": "bigint", "l_partkey": "bigint", "l_suppkey": "bigint", "l_linenumber": "int", "l_quantity": "double", "l_extendedprice": "double", "l_discount": "double", "l_tax": "double", "l_returnflag": "string", "l_linestatus": "string", "l_shipdate": "timestamp_ntz"}
+_PROFILE = _profile_sql({c: (k, c, None if k.startswith("timestamp") else f"try_cast({c} AS DOUBLE)" if k == "string" else c) for c, k in _LINEITEM.items()}, "lineitem")
 
 
 @query(_PROFILE)
 def column_profile(spark, d):
-    return quality.column_profile(table(spark, d, "lineitem"), list(_PROFILE_COLUMNS))
+    return quality.column_profile(table(spark, d, "lineitem"))
 
 
 @query(f"SELECT type, count(*)::BIGINT AS n FROM ({_PROFILE}) GROUP BY 1")
@@ -410,14 +456,119 @@ def type_summary(spark, d):
 _MAPPING = [("l_orderkey", "PEDIDO"), ("l_quantity", "l_quantity"), ("l_discount", " ")]
 
 
+def _mapping(spark):
+    return spark.createDataFrame(_MAPPING, "parquet_column string, app_equivalent string")
+
+
 @query(f"SELECT \"column\", type, non_null, numeric, non_zero FROM ({_PROFILE}) WHERE \"column\" NOT IN ('l_orderkey', 'l_quantity')")
 def unmapped_columns(spark, d):
-    return quality.unmapped_columns(column_profile(spark, d), spark.createDataFrame(_MAPPING, "parquet_column string, app_equivalent string"))
+    return quality.unmapped_columns(column_profile(spark, d), _mapping(spark))
+
+
+_COVERAGE = f"SELECT count(*)::BIGINT AS total, 2::BIGINT AS mapped, {len(_LINEITEM) - 2}::BIGINT AS unmapped, 1::BIGINT AS unchanged, (sum(non_null) FILTER (\"column\" IN ('l_orderkey', 'l_quantity')))::BIGINT AS mapped_cells, sum(non_null)::BIGINT AS cells FROM ({_PROFILE})"
 
 
-@query(f"SELECT count(*)::BIGINT AS total, 2::BIGINT AS mapped, 3::BIGINT AS unmapped, 1::BIGINT AS unchanged, (sum(non_null) FILTER (\"column\" IN ('l_orderkey', 'l_quantity')))::BIGINT AS mapped_cells, sum(non_null)::BIGINT AS cells FROM ({_PROFILE})")
+@query(_COVERAGE)
 def mapping_coverage(spark, d):
-    return quality.mapping_coverage(column_profile(spark, d), spark.createDataFrame(_MAPPING, "parquet_column string, app_equivalent string"))
+    return quality.mapping_coverage(column_profile(spark, d), _mapping(spark))
+
+
+_HEADERS = {
+    "GEOCODIGO_SETOR_CENSITARIO": ("string", "cd_setor", None, "CD_SETOR", "CD_SETOR", "categorical/int", None),
+    "COD_MUN": ("string", "cd_mun", "try_cast(cd_mun AS DOUBLE)", "CD_MUN", "CD_MUN", "categorical/int", None),
+    "Nome do Município": ("string", "nm_mun", None, "NM_MUN", "NM_MUN", None, None),
+    "UF_CODIGO": ("string", "uf", "try_cast(uf AS DOUBLE)", "CD_UF", "CD_UF", "categorical/int", None),
+    "COD_SITUACAO_DETALHADA": ("string", "sit", "sit", "CD_SITUACAO", "Código da Situação detalhada do Setor Censitário", "categorical/int", json.dumps(SITUATIONS, ensure_ascii=False)),
+    "COD_TIPO_SETOR": ("double", "tipo", "tipo", "CD_TIPO", "Código do Tipo do Setor Censitário", "categorical/int", json.dumps(TRACT_TYPES, ensure_ascii=False)),
+    "AREA_KM2": ("double", "area", "area", None, None, None, None),
+    "v0001": ("bigint", "v0001", "v0001", "V0001", VARIABLES["V0001"], "numeric", json.dumps({"V0001": VARIABLES["V0001"]}, ensure_ascii=False)),
+}
+_HEADER_VALUES = ", ".join("(" + ", ".join("NULL" if x is None else "'" + x.replace("'", "''") + "'" for x in (c, *v[3:])) + ")" for c, v in _HEADERS.items())
+
+
+@query(T + f'SELECT p.*, app_equivalent, human_alias, app_type, code_map FROM ({_profile_sql({c: v[:3] for c, v in _HEADERS.items()}, "t")}) p JOIN (VALUES {_HEADER_VALUES}) a("column", app_equivalent, human_alias, app_type, code_map) USING ("column")')
+def described_profile(spark, d):
+    """Headers as files have them, with what they mean."""
+    return quality.described_profile(raw_tracts(spark, d), list(_HEADERS))
+
+
+@query(
+    f"SELECT 'columns_map' AS output, \"column\" AS name, non_null AS n FROM ({_PROFILE}) UNION ALL SELECT 'columns_map_unmapped', \"column\", NULL FROM ({_PROFILE}) WHERE \"column\" NOT IN ('l_orderkey', 'l_quantity') "
+    f"UNION ALL SELECT 'columns_types_summary', type, count(*)::BIGINT FROM ({_PROFILE}) GROUP BY type UNION ALL SELECT 'mapping_coverage', 'mapped_cells', mapped_cells FROM ({_COVERAGE})"
+)
+def profile_outputs(spark, d):
+    """The profile's CSV files, written and read back."""
+    paths = export_profile(column_profile(spark, d), _mapping(spark), scratch(spark))
+    back = {name: spark.read.csv(path, header=True) for name, path in paths.items()}
+    whole = back["columns_map"].toDF("name", "type", "n", "numeric", "non_zero").select("name", "n")
+    unmapped = back["columns_map_unmapped"].toDF("name", "type").select("name", F.lit(None).alias("n"))
+    coverage = back["mapping_coverage"].select(F.lit("mapped_cells").alias("name"), F.col("mapped_cells").alias("n"))
+    parts = {"columns_map": whole, "columns_map_unmapped": unmapped, "columns_types_summary": back["columns_types_summary"].toDF("name", "n"), "mapping_coverage": coverage}
+    rows = [t.select(F.lit(name).alias("output"), "name", F.col("n").cast("bigint").alias("n")) for name, t in parts.items()]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2]).unionByName(rows[3])
+
+
+# --- written and read back ---------------------------------------------------------------------------------------------
+
+
+@query("SELECT c_custkey AS codigo, c_name AS nome, c_nationkey AS c_nationkey FROM customer")
+def external_column_map(spark, d):
+    """A mapping table renames columns: entries that are blank, unchanged or of other files have no effect."""
+    customers = table(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey")
+    rows = [(" c_custkey ", "codigo"), ("c_name", "nome "), ("c_name", " "), ("c_nationkey", "c_nationkey"), ("other", "x")]
+    renames = column_map(spark.createDataFrame(rows, "parquet_column string, app_equivalent string"), customers.columns)
+    return customers.withColumnsRenamed(renames)
+
+
+@query(T + "SELECT uf AS \"CD_UF\", cd_mun AS \"CD_MUN\", count(*)::BIGINT AS setores FROM t WHERE uf = '33' GROUP BY 1, 2")
+def saved_table(spark, d):
+    """The tract table saved by state in the catalog; one state's partition read back."""
+    save_table(tracts(spark, d).select("CD_SETOR", "CD_MUN", "CD_UF", "V0001"), "tractworks_saved_tracts", path=scratch(spark))
+    rows = spark.table("tractworks_saved_tracts").where("CD_UF = '33'")
+    return rows.groupBy(F.col("CD_UF").cast("string").alias("CD_UF"), "CD_MUN").agg(F.count(F.lit(1)).alias("setores"))
+
+
+@query(_BAND_MUN + 'SELECT place AS "CD_MUN", idade_grupo, masculino, feminino, total, pct_masculino, pct_feminino, ordem FROM s')
+def table_export(spark, d):
+    """The band tables as a CSV export, read back."""
+    rows = band_table_total(spark, d)
+    path = api.export_table(rows, scratch(spark), "Estado de São Paulo")
+    return spark.read.schema(rows.schema).csv(path, header=True, enforceSchema=True)
+
+
+@query(_MAPS + 'SELECT coalesce(rm.cd, au.cd) AS "CD_MUN", n_name AS "NM_MUN", rm.nome AS "RM_NOME", au.nome AS "AU_NOME" FROM rm FULL JOIN au ON rm.cd = au.cd LEFT JOIN (SELECT DISTINCT cd, n_name FROM n JOIN supplier ON s_nationkey = nk JOIN lineitem ON l_suppkey = s_suppkey) n ON n.cd = coalesce(rm.cd, au.cd)')
+def municipality_lookup_export(spark, d):
+    """The municipality lookup as a CSV export, read back."""
+    path = scratch(spark)
+    n = table(spark, d, "supplier").join(table(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    region = F.col("n_regionkey")
+    code, state = F.col("n_nationkey").cast("string").alias("COD_MUN"), F.when(F.col("n_nationkey") == 7, "RJ").otherwise("SP").alias("SIGLA_UF")
+    rm = n.where(region.isin(2, 3)).select(code, F.when(region == 2, "RM Asia").otherwise("RM Europa").alias("NOME_CATMETROPOL"), state)
+    au = n.where((region == 0) | ((region == 3) & (F.col("n_nationkey") % 2 == 0))).select(code, F.when(region == 0, "AU Africa").otherwise("AU Europa").alias("NOME_CATMETROPOL"), state)
+    api.municipality_lookup_csv(tracts(spark, d), rm, au, path)
+    return spark.read.csv(path, header=True, schema="CD_MUN string, NM_MUN string, RM_NOME string, AU_NOME string")
+
+
+@query(T + 'SELECT cd_mun AS "CD_MUN", ' + ", ".join(f"sum(CASE WHEN sexo = '{s}' AND ord = {k} THEN valor ELSE 0 END)::BIGINT AS {s[0].lower()}_{k}" for s in ("Masculino", "Feminino") for k in range(len(BANDS))) + " FROM l GROUP BY 1")
+def streamed_pyramid(spark, d):
+    """Tract files read as a stream; the sums after the last file are those of the whole table."""
+    top = scratch(spark)
+    tracts(spark, d).write.parquet(f"{top}/tracts")
+    stream = live.tract_stream(spark, f"{top}/tracts", spark.read.parquet(f"{top}/tracts").schema)
+    live.start(live.running_pyramid(stream, ["CD_MUN"]), f"{top}/pyramid", f"{top}/state").awaitTermination()
+    return live.current(spark, f"{top}/pyramid", ["CD_MUN"])
+
+
+@query(T + 'SELECT cd_mun AS "CD_MUN", band AS idade_grupo, sexo, sum(valor)::BIGINT AS valor, row_number() OVER (PARTITION BY cd_mun ORDER BY ord, sexo)::INTEGER AS posicao FROM l GROUP BY cd_mun, band, sexo, ord')
+def pyramid_order(spark, d):
+    """Aggregated pyramids in the order of bands and sexes."""
+    return pyramid.ranked(pyramid.pyramid(tracts(spark, d), ["CD_MUN"]), ["CD_MUN"], ["ord", "sexo"]).drop("ord")
+
+
+@query(_BAND_MUN + 'SELECT place AS "CD_MUN", idade_grupo, total, row_number() OVER (PARTITION BY place ORDER BY ordem, idade_grupo)::INTEGER AS posicao FROM s')
+def band_table_order(spark, d):
+    """Band tables in their order, the total last."""
+    return pyramid.ranked(band_table_total(spark, d), ["CD_MUN"], ["ordem", "idade_grupo"]).select("CD_MUN", "idade_grupo", "total", "posicao")
 
 
 # --- households --------------------------------------------------------------------------------------------------------
@@ -443,6 +594,23 @@ def household_state_vs_place(spark, d):
     return household.state_and_places(households(spark, d), "CD_MUN", GROUPS)
 
 
+@query(_CATEGORY + 'SELECT *, row_number() OVER (PARTITION BY "CD_MUN", group_id ORDER BY valor, column_name)::INTEGER AS posicao FROM k')
+def household_series(spark, d):
+    return household.bar_series(household.category_totals(households(spark, d), ["CD_MUN"], GROUPS), ["CD_MUN"])
+
+
+_WIDE_GROUPS = ", ".join(f"('{g}', '{t}', '{k}', '{c}', {HOUSEHOLD_COLUMNS.index(c)})" for g, t, k, columns in HOUSEHOLD_GROUPS for c in columns)
+_WIDE_CATEGORY = f"""WITH g(group_id, title, chart, column_name, n) AS (VALUES {_WIDE_GROUPS}),
+o AS (SELECT lpad(c_nationkey::VARCHAR, 7, '0') AS cd, o_orderkey % {len(HOUSEHOLD_COLUMNS)} AS n FROM orders JOIN customer ON o_custkey = c_custkey),
+k AS (SELECT cd AS "CD_MUN", group_id, title, chart, column_name, count(*)::DOUBLE AS valor FROM o JOIN g USING (n) GROUP BY ALL) """
+
+
+@query(_WIDE_CATEGORY + 'SELECT *, valor / sum(valor) OVER (PARTITION BY "CD_MUN", group_id) AS share FROM k')
+def household_all_groups(spark, d):
+    """All household columns in all their groups."""
+    return household.with_group_share(household.category_totals(wide_households(spark, d), ["CD_MUN"]), ["CD_MUN"])
+
+
 # --- lists and texts ---------------------------------------------------------------------------------------------------
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -87,7 +88,10 @@ def region_composition(table: DataFrame, kind: str, state: str | None = "SP") ->
     return out.groupBy("CD_MUN").agg(F.max("nome").alias("nome"))
 
 
-def column_map(table: DataFrame, old: str = "parquet_column", new: str = "app_equivalent") -> dict[str, str]:
-    """Renames from a mapping table: both names there and different. The table has a row per column of a file (about 1,500)."""
-    rows = table.select(F.trim(old), F.trim(new)).where(f"trim({old}) <> '' and trim({new}) <> '' and trim({old}) <> trim({new})").limit(100_000).collect()
-    return dict(sorted(map(tuple, rows)))
+def column_map(table: DataFrame, columns: Sequence[str], old: str = "parquet_column", new: str = "app_equivalent") -> dict[str, str]:
+    """Renames of a file's columns from a mapping table: both names there and different; of several new names the greatest.
+
+    At most one row for each of ``columns`` comes to the driver, however long the mapping is.
+    """
+    rows = table.select(F.trim(old).alias("old"), F.trim(new).alias("new")).where(F.col("old").isin(*columns)).where("old <> '' and new <> '' and old <> new")
+    return {r.old: r.new for r in rows.groupBy("old").agg(F.max("new").alias("new")).orderBy("old").collect()}

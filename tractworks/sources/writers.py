@@ -1,14 +1,17 @@
-"""Sinks: catalog tables, CSV exports and lookups."""
+"""Sinks: catalog tables, CSV exports, lookups and profiles."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tractworks.operators import quality
 
-def save_table(df: DataFrame, name: str, partition: str = "CD_UF") -> None:
-    """Creates or replaces a table partitioned by state, so that later scans prune it."""
-    df.write.mode("overwrite").partitionBy(partition).saveAsTable(name)
+
+def save_table(df: DataFrame, name: str, partition: str = "CD_UF", path: str | None = None) -> None:
+    """Creates or replaces a table partitioned by state, so that later scans prune it; in the warehouse, or at ``path``."""
+    out = df.write.mode("overwrite").partitionBy(partition)
+    (out if path is None else out.option("path", path)).saveAsTable(name)
 
 
 def state_count(spark: SparkSession, name: str, state: str, partition: str = "CD_UF") -> DataFrame:
@@ -18,5 +21,18 @@ def state_count(spark: SparkSession, name: str, state: str, partition: str = "CD
 def export_csv(df: DataFrame, path: str, mark: bool = True) -> None:
     """CSV files with a header; ``mark`` puts a byte-order mark before the first column's name."""
     if mark and df.columns:
-        df = df.withColumnRenamed(df.columns[0], "﻿" + df.columns[0])
+        df = df.withColumnRenamed(df.columns[0], "\ufeff" + df.columns[0])
     df.write.mode("overwrite").option("header", True).csv(path)
+
+
+def export_profile(profile: DataFrame, mapping: DataFrame, folder: str) -> dict[str, str]:
+    """A column profile as CSV: the columns, those that a (parquet_column, app_equivalent) map leaves out, types, coverage. Returns the paths."""
+    outputs = {
+        "columns_map": profile,
+        "columns_map_unmapped": quality.unmapped_columns(profile, mapping).select("column", "type"),
+        "columns_types_summary": quality.type_summary(profile),
+        "mapping_coverage": quality.mapping_coverage(profile, mapping),
+    }
+    for name, table in outputs.items():
+        export_csv(table, f"{folder}/{name}")
+    return {name: f"{folder}/{name}" for name in outputs}

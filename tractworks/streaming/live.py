@@ -24,6 +24,21 @@ def running_pyramid(tracts: DataFrame, keys: Sequence[str]) -> DataFrame:
     return tracts.groupBy(*keys).agg(*(F.sum(cell(n)).alias(f"{sex[0].lower()}_{k}") for n, sex, _, k in age_columns(tracts.columns)))
 
 
-def start(pyramid: DataFrame, name: str, checkpoint: str, mode: str = "complete") -> StreamingQuery:
-    """Runs until all files that are there are read; the table ``name`` then holds the sums."""
-    return pyramid.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def start(pyramid: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Runs until all files that are there are read. Each batch's changed places are written to ``path``, a folder per batch.
+
+    Folders are overwritten when a batch is done again, so each batch counts once; nothing goes through the driver.
+    """
+
+    def put(rows: DataFrame, batch: int) -> None:
+        rows.withColumn("__batch", F.lit(batch).cast("bigint")).write.mode("overwrite").parquet(f"{path}/part={batch}")
+
+    return pyramid.writeStream.outputMode("update").foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def current(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
+    """The sums as of the last batch: of each place the row that was written last."""
+    rows = spark.read.parquet(path).drop("part")
+    sums = [c for c in rows.columns if c not in (*keys, "__batch")]
+    last = rows.groupBy(*keys).agg(F.max_by(F.struct(*sums), "__batch").alias("__last"))
+    return last.select(*keys, "__last.*")

@@ -53,6 +53,18 @@ VARIABLES = {
 # Texts that stand for a missing label.
 MISSING_LABELS = ("", "nan", "none", "undefined", "null", "-", "—")
 WHOLE_STATE = "Estado de São Paulo"
+# Columns whose labels are cleaned when a table is loaded.
+LABELS = ("NOME_RM_AU", "TIPO_RM_AU", "RM_NOME", "AU_NOME", "NM_MUN", "NM_RGI", "NM_RGINT", "faixa_etaria")
+# What canonical columns mean, and the type they get.
+MEANINGS = {
+    "SITUACAO": "Situação do Setor Censitário (macro: Urbana/Rural)",
+    "CD_SITUACAO": "Código da Situação detalhada do Setor Censitário",
+    "SITUACAO_DET_TXT": "Situação detalhada do Setor Censitário",
+    "CD_TIPO": "Código do Tipo do Setor Censitário",
+    "TP_SETOR_TXT": "Tipo do Setor Censitário",
+    **{c: c for c in ("CD_SETOR", "CD_MUN", "NM_MUN", "CD_UF", "NM_UF", "RM_NOME", "AU_NOME", "NM_RGINT", "NM_RGI")},
+}
+APP_TYPES = {"V0005": "float64", "V0006": "float64", **{c: "categorical/int" for c in ("CD_SETOR", "CD_MUN", "CD_UF", "CD_SITUACAO", "CD_TIPO")}}
 
 # Places from the widest to the narrowest level, and the column that names each.
 LEVELS = {"state": None, "region": "REGIAO_RM_AU", "intermediate": "NM_RGINT", "immediate": "NM_RGI", "municipality": "CD_MUN", "tract": "CD_SETOR"}
