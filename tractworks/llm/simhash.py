@@ -4,9 +4,8 @@ A fingerprint has eight positional bytes. Two that differ in ``most_bits`` <= 2
 four byte pairs at least two are equal: each fingerprint is posted under its six choices of two byte pairs. For the
 pairs of a posting list the shared positional bytes are tallied, pairs below the guaranteed minimum of six go, and the
 rest are verified bit by bit. Equal fingerprints are one entry of the index, so exact copies make no pairs. Lists of over
-``long_list`` entries make no pairs either: their members go, once each, under all 65 values at distance 0 or 1.
-Members of one such value (65 at most) are at most two bits apart, and any two that are so near share one: exactly the
-same links, from a number of rows in proportion to the members.
+``long_list`` entries are split by further positions, two more bytes and then one more byte or two half bytes, so that in the end
+a list has eight free bits and cannot hold more than 256 entries: the same index and the same tally at any density.
 
 Null texts are empty (fingerprint zero); a null id keeps its row and is passed over as a component id; repeated rows share
 a fingerprint and stay as rows; an empty table gives an empty result; other columns are not read.
@@ -16,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import partial
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -61,44 +61,64 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return docs.select(F.col(id_col), F.col(text_col).cast("binary")).mapInArrow(lean(run), schema)
 
 
-def postings(fps: DataFrame) -> DataFrame:
-    """(key, fp): each fingerprint under its six choices of two byte pairs."""
-    part = [F.shiftrightunsigned("fp", 16 * i).bitwiseAND(0xFFFF) for i in range(4)]
-    keys = [
-        F.shiftleft(F.lit(n).cast("long"), 32).bitwiseOR(F.shiftleft(part[i], 16)).bitwiseOR(part[j])
-        for n, (i, j) in enumerate((i, j) for i in range(4) for j in range(i + 1, 4))
-    ]
-    return fps.select("fp", F.explode(F.array(*keys)).alias("key"))
+def signed(x: int) -> int:
+    return x - (x >> 63 << 64)
 
 
-def near_links(fps: DataFrame, most_bits: int = 2, long_list: int = LONG_LIST) -> DataFrame:
-    """(u, v), u < v: links between distinct fingerprints, enough of them that nothing linked falls apart.
+def split_positions() -> list[dict[int, list[int]]]:
+    """The positions under which fingerprints are posted: for each step, the masks that follow a mask of the step before.
 
-    In short lists these are all pairs within ``most_bits``; in long ones each member is linked to the smallest
-    fingerprint of each value it was posted under.
+    Two bits differ at most. So of four byte pairs two agree; of the four bytes outside them two agree as well; and of the two bytes
+    left one agrees, or each has an equal half.
     """
-    if not 0 <= most_bits <= 2:
-        raise ValueError("the byte index guarantees its matches up to two differing bits")
-    posted = settle(postings(fps))
-    sizes = settle(posted.groupBy("key").count().where("count > 1"))
-    listed = posted.join(sizes, "key")
-    lists = listed.where(F.col("count") <= long_list).groupBy("key").agg(F.sort_array(F.collect_list("fp")).alias("fps"))
+    byte = [0xFF << 8 * i for i in range(8)]
+    first = {0: [sum(byte[2 * i] | byte[2 * i + 1] for i in pairs) for pairs in combinations(range(4), 2)]}
+    rest = lambda mask: [i for i in range(8) if not mask & byte[i]]
+    second = {m: [m | byte[i] | byte[j] for i, j in combinations(rest(m), 2)] for m in first[0]}
+    halves = (0x0F, 0xF0)
+    third = {m: [m | byte[i] for i in rest(m)] + [m | a << 8 * rest(m)[0] | b << 8 * rest(m)[1] for a in halves for b in halves] for ms in second.values() for m in ms}
+    return [{signed(m): list(map(signed, ms)) for m, ms in step.items()} for step in (first, second, third)]
+
+
+def posted(rows: DataFrame, step: dict[int, list[int]]) -> DataFrame:
+    """(mask, value, fp): each (fp, mask) under all positions that follow its mask, once."""
+    masks = F.create_map(*(x for m, ms in step.items() for x in (F.lit(m).cast("long"), F.array(*(F.lit(y).cast("long") for y in ms)))))
+    finer = rows.select("fp", F.explode(masks[F.col("mask")]).alias("mask"))
+    return finer.distinct().select("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("value"), "fp")
+
+
+def tallied(lists: DataFrame, most_bits: int) -> DataFrame:
+    """(u, v): pairs of the posting lists that share the guaranteed number of positional bytes and are verified bit by bit."""
     a = lists.select("fps", F.posexplode("fps").alias("at", "u"))
     pairs = a.select("u", F.explode(F.expr("slice(fps, at + 2, size(fps))")).alias("v"))
     x = F.col("u").bitwiseXOR(F.col("v"))
     shared = sum((F.when(F.shiftrightunsigned(x, 8 * i).bitwiseAND(0xFF) == 0, 1).otherwise(0) for i in range(8)), F.lit(0))
-    pairs = pairs.where(shared >= MIN_SHARED_BYTES).where(F.bit_count(x) <= most_bits)
-    crowded = listed.where(F.col("count") > long_list).select("fp").distinct()
-    near = crowded.select("fp", F.explode(F.concat(F.array("fp"), F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: F.col("fp").bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), i))))).alias("value"))
-    if most_bits == 2:
-        groups = near.groupBy("value").agg(F.collect_list("fp").alias("fps")).where(F.size("fps") > 1)
-        stars = groups.select(F.array_min("fps").alias("u"), F.explode("fps").alias("v")).where("u < v")
-    else:
-        others = crowded.select(F.col("fp").alias("value"))
-        stars = near.join(others, "value").select(F.least("fp", "value").alias("u"), F.greatest("fp", "value").alias("v")).where("u < v")
-        if most_bits == 0:
-            stars = stars.where("false")
-    return pairs.select("u", "v").union(stars).distinct()
+    return pairs.where(shared >= MIN_SHARED_BYTES).where(F.bit_count(x) <= most_bits).select("u", "v")
+
+
+def near_links(fps: DataFrame, most_bits: int = 2, long_list: int = LONG_LIST) -> DataFrame:
+    """(u, v), u < v: all pairs of distinct fingerprints within ``most_bits``.
+
+    A list of up to ``long_list`` entries is paired; a longer one is split by further positions, where its near pairs meet again. The
+    last split leaves eight free bits at most, so its lists hold 256 entries at most and are all paired.
+    """
+    if not 0 <= most_bits <= 2:
+        raise ValueError("the byte index guarantees its matches up to two differing bits")
+    steps = split_positions()
+    rows = fps.select("fp", F.lit(0).cast("long").alias("mask"))
+    found = None
+    for i, step in enumerate(steps):
+        entries = settle(posted(rows, step))
+        sizes = settle(entries.groupBy("mask", "value").count().where("count > 1"))
+        listed = entries.join(sizes, ["mask", "value"])
+        last = i == len(steps) - 1
+        short = listed if last else listed.where(F.col("count") <= long_list)
+        pairs = tallied(short.groupBy("mask", "value").agg(F.sort_array(F.collect_list("fp")).alias("fps")), most_bits)
+        found = pairs if found is None else found.union(pairs)
+        if last or sizes.where(F.col("count") > long_list).isEmpty():
+            break
+        rows = listed.where(F.col("count") > long_list).select("fp", "mask")
+    return found.distinct()
 
 
 def connected(links: DataFrame, most_rounds: int = 60) -> DataFrame:
