@@ -134,8 +134,10 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
     hits = seen.select("row", "id", "n_words", F.explode_outer("found").alias("c"))
     # rows without a candidate get keys of their own, so that they don't meet in one task
     hits = hits.select("row", "id", "n_words", F.coalesce("c.len", F.lit(0)).alias("len"), F.coalesce("c.fp", F.xxhash64("row")).alias("fp"), F.col("c.at").alias("at"), F.col("c.before").alias("before"), F.col("c.words").alias("words"))
-    theirs = marks.select("fp", "len", "item", F.col("before").alias("item_before"), F.col("words").alias("item_words"))
-    joined = hits.join(theirs, ["fp", "len"], "left").select("row", "id", "n_words", "len", "at", "before", "words", "item", "item_before", "item_words")
+    # a passage that many items share is one context: documents meet it once, its items come in after the hits are verified
+    context = F.xxhash64("fp", "len", "before", "words")
+    theirs = marks.select("fp", "len", context.alias("context"), F.col("before").alias("item_before"), F.col("words").alias("item_words")).distinct()
+    joined = hits.join(theirs, ["fp", "len"], "left").select("row", "id", "n_words", "len", "at", "before", "words", "context", "item_before", "item_words")
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -162,11 +164,13 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
                 starts.append(start)
                 stops.append(stop)
                 item.append(who)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(starts, pa.int32()), pa.array(stops, pa.int32()), pa.array(item, batch.column(7).type)], names=["row", "id", "n_words", "start", "stop", "item"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(starts, pa.int32()), pa.array(stops, pa.int32()), pa.array(item, pa.int64())], names=["row", "id", "n_words", "start", "stop", "context"])
 
-    out = T.StructType([*schema.fields[:3], T.StructField("start", T.IntegerType()), T.StructField("stop", T.IntegerType()), T.StructField("item", items.schema[item_id].dataType)])
+    out = T.StructType([*schema.fields[:3], T.StructField("start", T.IntegerType()), T.StructField("stop", T.IntegerType()), T.StructField("context", T.LongType())])
     hit = F.when(F.col("start").isNotNull(), F.struct("start", "stop"))
-    return joined.mapInArrow(lean(extend), out).groupBy("row").agg(F.first("id").alias("id"), F.first("n_words").alias("n_words"), F.collect_set(hit).alias("spans"), F.collect_set("item").alias("items"))
+    found = joined.mapInArrow(lean(extend), out).withColumn("context", F.coalesce("context", F.xxhash64(F.lit("none"), F.col("row"))))
+    whose = marks.select(context.alias("context"), "item").distinct()
+    return found.join(whose, "context", "left").groupBy("row").agg(F.first("id").alias("id"), F.first("n_words").alias("n_words"), F.collect_set(hit).alias("spans"), F.collect_set("item").alias("items"))
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_percent: int = 5, **options) -> DataFrame:
