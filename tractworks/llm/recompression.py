@@ -14,7 +14,7 @@ Shared ones are verified by :func:`repeats.repeated_spans` on all words of the w
 A word goes if a window over it also starts earlier: in a smaller id, or before in the same text; windows are judged on
 the input. Null texts have no words; texts under ``width`` words stay whole; rows without an id come after all others;
 repeated rows (equal id and text) are one document and get equal results; rows of one id with other texts count as one
-document's parts in order of their key; an empty table gives an empty result; other columns are not read.
+document's parts in order of a hash of id and text; ids must be integers, as they order the documents; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -27,9 +27,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tractworks.llm.common import MIX, mixed, read, union_length
-from tractworks.llm.repeats import PrefixSums, Units, repeated_spans, text_rows
-
+from tractworks.llm.common import MIX, PrefixSums, lean, mixed, read, union_length
+from tractworks.llm.repeats import Units, repeated_spans, text_keys, text_rows
 
 WIDTH = 20
 ROUNDS = 2
@@ -171,34 +170,33 @@ class Words(Units):
 
 
 def repeated_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, rounds: int = ROUNDS) -> DataFrame:
-    """(key, spans of words to remove) of the rows that have any; key as in :func:`repeats.text_rows`."""
-    return repeated_spans(text_rows(docs, id_col, text_col, ordered=True), Words(width, rounds), keep_first=True)
+    """(key, ord, spans of words to remove) of the rows that have any; key and ord as in :func:`repeats.text_rows`."""
+    return repeated_spans(text_rows(docs, id_col, text_col), Words(width, rounds))
 
 
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """Per row: id, n_words, n_removed, kept (the remaining words joined by one space)."""
-    key = F.xxhash64(F.lit("row"), F.col(id_col), F.col(text_col))
-    spans = repeated_words(docs, id_col, text_col, **options).select(F.col("key").alias("__key"), "spans")
-    rows = docs.select(id_col, text_col).join(spans, key == spans["__key"], "left").select(F.col(id_col), F.col(text_col).cast("binary"), "spans")
+    key, order = text_keys(docs, id_col, text_col)
+    spans = repeated_words(docs, id_col, text_col, **options).select(F.col("key").alias("__key"), F.col("ord").alias("__ord"), F.col("spans").alias("__spans"))
+    rows = docs.select(id_col, text_col).join(spans, (key == spans["__key"]) & (order == spans["__ord"]), "left").select(F.col(id_col), F.col(text_col).cast("binary"), "__spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, lists = batch.column(1).to_pylist(), batch.column(2).to_pylist()
-            for i in range(0, len(texts), 256):
-                n, removed, kept = [], [], []
-                for t, s in zip(texts[i : i + 256], lists[i : i + 256], strict=True):
-                    words = (t or b"").split()
-                    runs = union_length((x["start"], x["stop"]) for x in s or ())
-                    n.append(len(words))
-                    removed.append(sum(b - a for a, b in runs))
-                    for a, b in reversed(runs):
-                        del words[a:b]
-                    kept.append(b" ".join(words))
-                cols = [pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 256), *cols], names=out.names)
+            n, removed, kept = [], [], []
+            for t, s in zip(texts, lists, strict=True):
+                words = (t or b"").split()
+                runs = union_length((x["start"], x["stop"]) for x in s or ())
+                n.append(len(words))
+                removed.append(sum(b - a for a, b in runs))
+                for a, b in reversed(runs):
+                    del words[a:b]
+                kept.append(b" ".join(words))
+            cols = [pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *cols], names=out.names)
 
     out = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept", T.StringType())])
-    return rows.mapInArrow(run, out)
+    return rows.mapInArrow(lean(run), out)
 
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -207,12 +205,13 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL = r"""
-WITH d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+WITH every AS (SELECT doc_id, dense_rank() OVER (ORDER BY doc_id, text) AS r, coalesce(text, '') AS text FROM documents), -- repeated rows are one document
+d AS (SELECT DISTINCT doc_id, r, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM every),
 w AS (SELECT doc_id, r, i, md5(array_to_string(ws[i : i + 19], ' ')) AS s FROM (SELECT doc_id, r, ws, unnest(range(1, greatest(len(ws) - 18, 1))) AS i FROM d)),
 later AS (SELECT r, i FROM (SELECT r, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS nth FROM w) WHERE nth > 1),
 gone AS (SELECT DISTINCT r, p FROM (SELECT r, unnest(range(i, i + 20)) AS p FROM later)),
 g AS (SELECT r, count(*) AS n FROM gone GROUP BY r),
 kept AS (SELECT r, string_agg(x, ' ' ORDER BY p) AS k FROM (SELECT r, unnest(ws) AS x, generate_subscripts(ws, 1) AS p FROM d) ANTI JOIN gone USING (r, p) GROUP BY r)
-SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(g.n, 0)::BIGINT AS n_removed, sha256(coalesce(k, '')) AS kept_sha256
-FROM d LEFT JOIN g USING (r) LEFT JOIN kept USING (r)
+SELECT every.doc_id, len(ws)::BIGINT AS n_words, coalesce(g.n, 0)::BIGINT AS n_removed, sha256(coalesce(k, '')) AS kept_sha256
+FROM every JOIN d USING (r) LEFT JOIN g USING (r) LEFT JOIN kept USING (r)
 """

@@ -1,9 +1,9 @@
-"""Repeated windows of long texts: what the two exact substring operators share.
+"""Repeated windows of long texts, judged by where they start first.
 
-A window is a fixed number of neighbouring units (bytes, words). Each window of a text belongs to one anchor, chosen by
+A window is a fixed number of neighbouring units (words). Each window of a text belongs to one anchor, chosen by
 the window's content alone, so equal windows belong to anchors at the same offset with the same content around. An anchor
 row has c (hash of the anchor's own content), u (hash of all content of the windows that it owns, and where they lie),
-the text's key and order, the first window it owns and how many.
+the text's key and order (its id), the first window it owns and how many. A text is known by id and hash together.
 
 1. Anchors whose c occurs once own no repeated window and go.
 2. Rows of equal (c, u) are a class: all their windows are the same. One row, the first, stands for the class.
@@ -23,11 +23,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tractworks.llm.common import PrefixSums, in_blocks, mixed, settle
+from tractworks.llm.common import PrefixSums, in_blocks, lean, mixed, settle
 
 LAST_ID = 2**63 - 1
 
@@ -38,10 +38,17 @@ TOGETHER, PART = 64, 16
 STEADY, OFFSET, OWNED = 1 << 31, 20, (1 << 20) - 1
 
 
-def text_rows(docs: DataFrame, id_col: str, text_col: str, ordered: bool) -> DataFrame:
-    """(key, ord, text as bytes); rows of equal id and text share their key. ord is the id, rows without one come last; 0 if not ``ordered``."""
-    order = F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)) if ordered else F.lit(0).cast("long")
-    return docs.select(F.xxhash64(F.lit("row"), F.col(id_col), F.col(text_col)).alias("key"), order.alias("ord"), F.col(text_col).cast("binary").alias("text"))
+def text_keys(docs: DataFrame, id_col: str, text_col: str) -> tuple[Column, Column]:
+    """(key, ord): a hash of id and text, and the id, by which documents are ordered; rows without one come last."""
+    if not isinstance(docs.schema[id_col].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        raise ValueError("documents are ordered by their ids, which must be integers")
+    return F.xxhash64(F.lit("row"), F.col(id_col), F.col(text_col)), F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID))
+
+
+def text_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(key, ord, text as bytes); rows of equal id and text share both."""
+    key, order = text_keys(docs, id_col, text_col)
+    return docs.select(key.alias("key"), order.alias("ord"), F.col(text_col).cast("binary").alias("text"))
 
 
 class Units:
@@ -75,7 +82,7 @@ def anchor_rows(rows: DataFrame, units: Units, most_bytes: int = 500_000) -> Dat
             cols = [c.view(np.int64), u.view(np.int64), np.array(keys, np.int64)[text], np.array(ords, np.int64)[text], at]
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in cols], names=ANCHORS.names)
 
-    return rows.mapInArrow(run, ANCHORS)
+    return rows.mapInArrow(lean(run), ANCHORS)
 
 
 def window_places(first: np.ndarray, owned: np.ndarray) -> np.ndarray:
@@ -124,8 +131,8 @@ def compared(rows: DataFrame, firsts: DataFrame, units: Units) -> DataFrame:
                     parts = [values[x >> 32 : (x >> 32) + (x & OWNED) - 1 + units.width].tobytes() for x in at.tolist()]
                     yield pa.RecordBatch.from_arrays([pa.array(c), pa.array(h), pa.array(np.full(len(c), key)), pa.array(np.full(len(c), order)), pa.array(at), pa.array(parts, pa.binary())], names=LISTED.names)
 
-    joined = rows.join(firsts, "key").select("key", "ord", "text", "few", "many")
-    return joined.mapInArrow(run, LISTED)
+    joined = rows.join(firsts, ["key", "ord"]).select("key", "ord", "text", "few", "many")
+    return joined.mapInArrow(lean(run), LISTED)
 
 
 def single_windows(classes: DataFrame, units: Units) -> DataFrame:
@@ -145,11 +152,11 @@ def single_windows(classes: DataFrame, units: Units) -> DataFrame:
                 row = np.repeat(np.arange(len(one)), owned) + i
                 yield pa.RecordBatch.from_arrays([pa.array(c[row]), pa.array(h.view(np.int64)), pa.array(key[row]), pa.array(order[row]), pa.array(window_places(one >> 32, owned) << 32 | 1)], names=LISTED.names[:5])
 
-    return classes.select("c", "key", "ord", "at", "content").mapInArrow(run, T.StructType(LISTED.fields[:5]))
+    return classes.select("c", "key", "ord", "at", "content").mapInArrow(lean(run), T.StructType(LISTED.fields[:5]))
 
 
-def met(groups: DataFrame, units: Units, keep_first: bool) -> DataFrame:
-    """(key, start, stop) of the windows that occur twice in a group's contents."""
+def met(groups: DataFrame, units: Units) -> DataFrame:
+    """(key, ord, start, stop) of the windows that have occurred before in a group's contents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -162,7 +169,7 @@ def met(groups: DataFrame, units: Units, keep_first: bool) -> DataFrame:
             same = np.zeros(len(by), bool)
             same[1:] = (group[by][1:] == group[by][:-1]) & (key[by][1:] == key[by][:-1]) & (at[by][1:] == at[by][:-1])
             by = by[~same]
-            group, key, at = group[by], key[by], at[by]
+            group, key, order, at = group[by], key[by], order[by], at[by]
             contents = [contents[i] for i in by]
             values = np.frombuffer(b"".join(contents), units.kind)
             sizes = np.array([len(x) for x in contents], np.int64) // np.dtype(units.kind).itemsize
@@ -176,44 +183,33 @@ def met(groups: DataFrame, units: Units, keep_first: bool) -> DataFrame:
             hs, gs = h[order_of], g[order_of]
             new = np.ones(len(hs), bool)
             new[1:] = (hs[1:] != hs[:-1]) | (gs[1:] != gs[:-1])
-            if keep_first:
-                hit = order_of[~new]
-            else:
-                last = np.append(new[1:], True)
-                hit = order_of[~(new & last)]
-            hit = np.sort(hit)
-            k, w = key[row[hit]], where[hit]
-            by = np.lexsort((w, k))
-            k, w = k[by], w[by]
+            hit = order_of[~new]
+            k, o, w = key[row[hit]], order[row[hit]], where[hit]
+            by = np.lexsort((w, o, k))
+            k, o, w = k[by], o[by], w[by]
             first = np.ones(len(w), bool)
-            first[1:] = (k[1:] != k[:-1]) | (w[1:] > w[:-1] + 1)
+            first[1:] = (k[1:] != k[:-1]) | (o[1:] != o[:-1]) | (w[1:] > w[:-1] + 1)
             end = np.append(first[1:], True) if len(w) else first
-            yield pa.RecordBatch.from_arrays([pa.array(k[first]), pa.array(w[first].astype(np.int32)), pa.array((w[end] + units.width).astype(np.int32))], names=["key", "start", "stop"])
+            yield pa.RecordBatch.from_arrays([pa.array(k[first]), pa.array(o[first]), pa.array(w[first].astype(np.int32)), pa.array((w[end] + units.width).astype(np.int32))], names=["key", "ord", "start", "stop"])
 
-    return groups.mapInArrow(run, "key bigint, start int, stop int")
+    return groups.mapInArrow(lean(run), "key bigint, ord bigint, start int, stop int")
 
 
-def repeated_spans(rows: DataFrame, units: Units, keep_first: bool, together: int = TOGETHER) -> DataFrame:
-    """(key, spans): covered stretches (start, stop), in units, of the texts of :func:`text_rows`.
-
-    Covered are all windows that occur elsewhere, or with ``keep_first`` those that also start earlier (by ord and place).
-    """
+def repeated_spans(rows: DataFrame, units: Units, together: int = TOGETHER) -> DataFrame:
+    """(key, ord, spans): stretches (start, stop), in units, of the texts of :func:`text_rows`, covered by windows that also start earlier."""
     found = anchor_rows(rows, units)
     # a kept copy: joins whose sides are plain exchanges can be split where a key is hot
     often = settle(found.groupBy("c").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("c"))
     kept = settle(found.join(often, "c", "left_semi"))
     begin = F.shiftright("at", 32).cast("int")
     steady = F.col("at").bitwiseAND(STEADY) != 0
-    following = kept.where(steady).select("key", begin.alias("start"), (begin + F.col("at").bitwiseAND(STEADY - 1).cast("int") - 1 + units.width).alias("stop"))
+    following = kept.where(steady).select("key", "ord", begin.alias("start"), (begin + F.col("at").bitwiseAND(STEADY - 1).cast("int") - 1 + units.width).alias("stop"))
     stop = begin + F.col("at").bitwiseAND(OWNED).cast("int") - 1 + units.width
     place = F.struct("ord", "key", "at")
 
     def later(members: DataFrame, classes: DataFrame, by: list[str]) -> DataFrame:
-        """Spans of the members of classes that have several; with ``keep_first`` without the first."""
-        out = members.join(classes, by)
-        if keep_first:
-            out = out.where(place != F.col("first"))
-        return out.select("key", begin.alias("start"), stop.alias("stop"))
+        """Spans of the members of classes that have several, without the first."""
+        return members.join(classes, by).where(place != F.col("first")).select("key", "ord", begin.alias("start"), stop.alias("stop"))
 
     shared = kept.where(~steady)
     classes = settle(shared.groupBy("c", "u").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")))
@@ -221,7 +217,7 @@ def repeated_spans(rows: DataFrame, units: Units, keep_first: bool, together: in
 
     several = classes.groupBy("c").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
     a = F.struct("c", "first.at")
-    firsts = classes.join(several, "c").groupBy("first.key").agg(F.collect_list(F.when(F.col("k") <= together, a)).alias("few"), F.collect_list(F.when(F.col("k") > together, a)).alias("many"))
+    firsts = classes.join(several, "c").groupBy("first.key", "first.ord").agg(F.collect_list(F.when(F.col("k") <= together, a)).alias("few"), F.collect_list(F.when(F.col("k") > together, a)).alias("many"))
     listed = settle(compared(rows, firsts, units))
     one = F.struct("key", "ord", "at", "content")
     few = listed.where("h = 0").groupBy("c").agg(F.collect_list(one).alias("list")).select("list")
@@ -235,5 +231,5 @@ def repeated_spans(rows: DataFrame, units: Units, keep_first: bool, together: in
     equal = settle(windows.groupBy("c", "h").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last").select("c", "h", "first"))
     single = later(windows, equal, ["c", "h"])
 
-    spans = following.union(whole).union(whole_parts).union(single).union(met(few.union(some), units, keep_first))
-    return settle(spans.groupBy("key").agg(F.collect_set(F.struct("start", "stop")).alias("spans")))
+    spans = following.union(whole).union(whole_parts).union(single).union(met(few.union(some), units))
+    return settle(spans.groupBy("key", "ord").agg(F.collect_set(F.struct("start", "stop")).alias("spans")))
