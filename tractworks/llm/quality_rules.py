@@ -31,9 +31,14 @@ SPACES = b" \t\n\x0b\x0c\r"
 UPPER = bytes(range(65, 91))
 LOWER = bytes(range(97, 123))
 WINDOW = 8
+#: Stock phrases in English, German, French, Spanish and Portuguese; A-Z are lower-cased before they are looked for.
 BOILERPLATE = (
     "all rights reserved|licensed under|copyright \\(c\\)|cookie policy|use of cookies|privacy policy|terms of service|"
-    "terms of use|sign in|log in|subscribe to our|click here|read more|skip to content|enable javascript"
+    "terms of use|sign in|log in|subscribe to our|click here|read more|skip to content|enable javascript|"
+    "alle rechte vorbehalten|lizenziert unter|datenschutzerklärung|allgemeine geschäftsbedingungen|verwendet cookies|jetzt anmelden|hier klicken|weiterlesen|zum inhalt springen|javascript aktivieren|"
+    "tous droits réservés|sous licence|politique de confidentialité|conditions d'utilisation|utilise des cookies|se connecter|cliquez ici|lire la suite|aller au contenu|activer javascript|"
+    "todos los derechos reservados|bajo licencia|política de privacidad|condiciones de uso|términos de uso|utiliza cookies|iniciar sesión|haga clic aquí|leer más|saltar al contenido|"
+    "todos os direitos reservados|sob licença|política de privacidade|termos de uso|clique aqui|leia mais"
 )
 _BOILER = re.compile(BOILERPLATE.encode())
 _SEPARATORS = re.compile("[|»›•·]".encode().decode())
@@ -183,7 +188,7 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(read(spark, sf_dir, "documents"))
 
 
-_BOIL_SQL = BOILERPLATE
+_BOIL_SQL = BOILERPLATE.replace("'", "''")
 SQL = rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t, row_number() OVER () AS r FROM documents),
 w AS (SELECT doc_id, r, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM d),
@@ -197,7 +202,7 @@ f AS (SELECT r, p, line, k, length(regexp_replace(line, '[\x20\x09-\x0D]', '', '
   length(line) - length(regexp_replace(line, '[|»›•·]', '', 'g')) AS bars,
   length(line) - length(regexp_replace(line, '[A-Z]', '', 'g')) AS up,
   length(line) - length(regexp_replace(line, '[a-z]', '', 'g')) AS low,
-  regexp_matches(line, '(?i-s:{_BOIL_SQL})') AS boil,
+  regexp_matches(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_BOIL_SQL}') AS boil,
   regexp_matches(line, '[0-9A-Za-z]|[^\x00-\x7F]') AS body, regexp_matches(line, '[.!?:;,]') AS mark,
   row_number() OVER (PARTITION BY r, line ORDER BY p) AS nth FROM l WHERE k > 0),
 g AS (SELECT r, sum(CASE WHEN nth > 1 THEN 1 ELSE 0 END) AS dup, sum(CASE WHEN 10 * sym > 3 * k OR (bars >= 2 AND 4 * bars >= k)
