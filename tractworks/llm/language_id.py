@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tractworks.llm.common import fold_of, read
+from tractworks.llm.common import fold_of, lean, read
 
 BUCKET_BITS = 15
 BUCKETS = 1 << BUCKET_BITS
@@ -37,7 +37,7 @@ _M = (np.uint32(0x9E3779B1), np.uint32(0x85EBCA77), np.uint32(0xC2B2AE3D))
 def gram_counts(text: str | None) -> tuple[np.ndarray, np.ndarray] | None:
     """Buckets and counts of a text's n-grams, or None if it has no letter."""
     letters = _OTHER.sub(" ", (text or "").lower()).strip()
-    if not letters:
+    if not any(map(str.isalpha, letters)):  # fractions and Roman numerals are no letters
         return None
     c = np.frombuffer(f" {letters} ".encode("utf-32-le"), np.uint32)
     one = c * _M[0]
@@ -71,7 +71,7 @@ def document_frequencies(texts: DataFrame) -> tuple[int, np.ndarray]:
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(seen[at])], names=["bucket", "n"])
 
     out = np.zeros(BUCKETS + 1, np.int64)
-    for b, n in texts.mapInArrow(run, "bucket int, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).collect():  # BUCKETS + 1 rows at most
+    for b, n in texts.mapInArrow(lean(run), "bucket int, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).collect():  # BUCKETS + 1 rows at most
         out[b] = n
     return int(out[BUCKETS]), out[:BUCKETS]
 
@@ -158,7 +158,7 @@ def train(rows: DataFrame, per_language: int = PER_LANGUAGE, epochs: int = EPOCH
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([g[0] for g in grams], pa.list_(pa.int32())), pa.array([g[1] for g in grams], pa.list_(pa.int32()))], names=["key", "lang", "at", "n"])
 
     # at most per_language sparse rows of each language, of at most BUCKETS numbers
-    sample = some.select("key", "lang", "text").mapInArrow(run, "key bigint, lang string, at array<int>, n array<int>").toArrow().sort_by([("key", "ascending"), ("lang", "ascending")])
+    sample = some.select("key", "lang", "text").mapInArrow(lean(run), "key bigint, lang string, at array<int>, n array<int>").toArrow().sort_by([("key", "ascending"), ("lang", "ascending")])
     langs = sample.column("lang").to_pylist()
     names = sorted(set(langs))
     at, n = (sample.column(c).combine_chunks() for c in ("at", "n"))
@@ -189,7 +189,7 @@ def language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([o[0] for o in out], pa.string()), pa.array([o[1] for o in out], pa.float64())], names=[id_col, "held_out", "lang_pred", "score"])
 
     schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("held_out", T.BooleanType()), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    return docs.select(F.col(id_col), held.alias("held_out"), F.col(text_col)).mapInArrow(run, schema)
+    return docs.select(F.col(id_col), held.alias("held_out"), F.col(text_col)).mapInArrow(lean(run), schema)
 
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
