@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import random
 
+import duckdb
 import pytest
+from pyspark.sql import functions as F
 from tests.llm import brute
 from tests.oracle import assert_same, connect
 
@@ -70,6 +72,31 @@ def test_links_hold_components(spark, long_list):
     assert {s: roots.get(s, s) for s in signed} == want
 
 
+def test_crowded_lists_are_split(spark):
+    """All pairs of a dense region: lists of four and of six equal bytes overflow, those of the last split do not."""
+    r = random.Random(5)
+    base = r.getrandbits(64)
+    values = {base ^ sum(1 << b for b in r.sample(range(16), r.randrange(5))) for _ in range(500)} | {base ^ (1 << a) ^ (1 << b) for a in range(64) for b in range(a, 64, 5)}
+    signed = {v - (1 << 64) if v >> 63 else v: v for v in values}
+    got = {tuple(x) for x in simhash.near_links(spark.createDataFrame([(s,) for s in signed], "fp long"), long_list=8).collect()}
+    names = sorted(signed)
+    want = {(a, b) for i, a in enumerate(names) for b in names[i + 1 :] if (signed[a] ^ signed[b]).bit_count() <= 2}
+    assert got == want and len(want) > 3000
+
+
+def test_positions_guarantee_their_matches():
+    first, second, third = simhash.split_positions()
+    assert [len(first), len(second), len(third)] == [1, 6, 28]
+    free = {m: 64 - (m & (1 << 64) - 1).bit_count() for ms in third.values() for m in ms}
+    assert set(free.values()) == {8}
+    for a in range(64):
+        for b in range(a, 64):
+            x = 1 << a | 1 << b
+            for step in (first, second, third):  # whatever lists two fingerprints share, they share one of the next step
+                for m, ms in step.items():
+                    assert m & x or any(not y & x for y in ms)
+
+
 def test_chains_settle(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(200)], "u long, v long")
     assert {tuple(r) for r in simhash.connected(links).collect()} == {(i, 0) for i in range(1, 201)}
@@ -150,6 +177,26 @@ def test_repeated_words_of_odd_rows(spark):
     assert {r.doc_id: r.n_removed for r in recompression.substring_dedup(docs_of(spark, copies)).collect()} == {1: 0, 3: 30, None: 30}
 
 
+def test_repeated_rows_and_ids(spark, tmp_path):
+    a, b = (" ".join(f"{x}{i}" for i in range(25)) for x in "ab")
+    rows = [(1, a), (1, a), (1, b), (2, a), (2, b), (3, a)]
+    frame = docs_of(spark, rows)
+    frame.select("doc_id", "text").coalesce(1).write.parquet(str(tmp_path / "documents"))
+    got = sorted((r.doc_id, r.n_words, r.n_removed) for r in recompression.substring_dedup(frame).collect())
+    assert got == [(1, 25, 0), (1, 25, 0), (1, 25, 0), (2, 25, 25), (2, 25, 25), (3, 25, 25)]
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents/*.parquet'")
+    assert sorted(r[:3] for r in con.execute(SQL["op6_substring_dedup"]).fetchall()) == got
+    with pytest.raises(ValueError):
+        recompression.substring_dedup(frame.withColumn("doc_id", F.col("doc_id").cast("string")))
+    both = simhash.components(frame).collect()
+    assert len(both) == 6 and {r.component for r in both} == {1}
+    cut = suffix_dedup.suffix_dedup(frame, threshold=40, digit=12).collect()
+    assert all(r.n_removed == r.n_bytes for r in cut)
+    named = suffix_dedup.suffix_dedup(frame.withColumn("doc_id", F.concat(F.lit("x"), "doc_id")), threshold=40, digit=12).collect()
+    assert sorted((r.doc_id, r.n_removed) for r in named) == sorted((f"x{r.doc_id}", r.n_removed) for r in cut)
+
+
 @pytest.mark.parametrize(("seed", "alphabet"), [(1, "ab"), (2, "abcdefghijklmnop"), (3, "abé"), (4, "xyz中")])
 def test_repeated_byte_windows(spark, seed, alphabet):
     texts = [t.replace(" ", "") for t in random_texts(seed, 40, 200, alphabet)]
@@ -187,6 +234,15 @@ def test_benchmark_hits(spark, seed):
     assert kept.count() == sum(not w[4] for w in want) and kept.columns == ["doc_id", "text", "kept", "spans", "score"]
 
 
+def test_passage_of_many_items(spark):
+    """A passage that many items share is met once by a document and gives all of the items."""
+    passage = " ".join(f"w{i}" for i in range(30))
+    items = spark.createDataFrame([(i, f"{passage} own{i} end") for i in range(60)], "item_id long, text string")
+    rows = [(1, f"x {passage} y"), (2, "nothing of it"), (3, None)]
+    got = {r.doc_id: r for r in decontaminate.decontaminate(docs_of(spark, rows), items).collect()}
+    assert list(got[1]["items"]) == sorted(map(str, range(60))) and got[1].n_hit == 30 and not got[2].contaminated and not got[3].contaminated
+
+
 def test_no_items_or_no_documents(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.decontaminate(docs_of(spark, ODD), none).where("contaminated").count() == 0

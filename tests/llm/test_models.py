@@ -5,12 +5,14 @@ from __future__ import annotations
 import math
 import random
 import struct
+import time
 import zlib
 from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from tests.llm.pages import PAGES
 
 from tractworks.llm import brown_lm, html_extract, language_id, quality_classifier
 from tractworks.llm import sentencepiece_wfst as pieces
@@ -51,6 +53,39 @@ def test_quality_of_odd_rows(spark):
     assert quality_classifier.quality_classifier(odd(spark, []), labels).count() == 0
 
 
+def test_scores_by_plain_sums(spark):
+    """The whole classifier again in plain numpy, from the statistics on."""
+    docs = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    labels = {r.doc_id: r.quality for r in spark.read.parquet("/root/testdata/sf0.001/labels.parquet").collect()}
+    x = {i: np.array(quality_classifier.statistics((t or "").encode())) for i, t in docs.items()}
+    own = {k: np.array([x[i] for i in sorted(docs) if labels.get(i) == k and remainder(i, 5)]) for k in (0, 1)}
+    n = {k: len(v) for k, v in own.items()}
+    within = {k: np.cov(v.T, bias=True) for k, v in own.items()}
+    common = (n[0] * within[0] + n[1] * within[1]) / (n[0] + n[1])
+
+    def difference(z):
+        logs = []
+        for k in (0, 1):
+            cov = 0.98 * (0.9 * within[k] + 0.1 * common) + 0.02 * np.diag(np.maximum(np.diag(common), 1e-6))
+            d = z - own[k].mean(0)
+            logs.append(math.log(n[k] / (n[0] + n[1])) - 0.5 * (np.linalg.slogdet(cov)[1] + d @ np.linalg.solve(cov, d)))
+        return math.asinh(logs[1] - logs[0])
+
+    values = {i: difference(z) for i, z in x.items()}
+    step = 2 * quality_classifier.REACH / quality_classifier.BINS
+    ones, zeros = np.zeros(quality_classifier.BINS), np.zeros(quality_classifier.BINS)
+    for k, part in ((0, zeros), (1, ones)):
+        for z in own[k]:
+            part[int(np.clip((difference(z) + quality_classifier.REACH) / step, 0, quality_classifier.BINS - 1))] += 1
+    scale = quality_classifier.Discriminant({})
+    scale.fit_scale((np.arange(quality_classifier.BINS) + 0.5) * step - quality_classifier.REACH, ones, zeros)
+    got = QUERIES["op1_quality_classifier"](spark, "/root/testdata/sf0.001").collect()
+    assert len(got) == len(docs)
+    for r in got:
+        want = 1 / (1 + math.exp(-np.clip(scale.scale[0] + scale.scale[1] * values[r.doc_id], -500, 500)))
+        assert r.score == pytest.approx(want, abs=1e-6) and r.predicted == int(r.score >= 0.3)
+
+
 def test_density_difference():
     r = np.random.default_rng(1)
     d = len(quality_classifier.NAMES)
@@ -81,6 +116,8 @@ def test_language_of_odd_rows(spark):
     assert len(rows) == len(ODD)
     assert all((r.lang_pred, r.score) == ("und", 0.0) for r in rows if r.doc_id in (0, 1, 2))
     assert language_id.language_id(odd(spark, [(0, None, "en")])).first().lang_pred == "und"
+    letters = language_id.language_id(odd(spark, [(1, "one two", "en"), (2, "two one", "en"), (5, "½ ² Ⅷ ٣", None), (6, "中", None)])).collect()
+    assert {r.doc_id: r.lang_pred for r in letters} == {1: "en", 2: "en", 5: "und", 6: "en"}
     assert language_id.language_id(odd(spark, [])).count() == 0
 
 
@@ -288,11 +325,60 @@ PAGE = """<html><head><title>T x</title><style>p{}</style><script>var a="</p><p>
 
 def test_blocks():
     texts = [b.text for b in html_extract.blocks_of(PAGE)]
-    assert texts == ["T x", "Site", "Home", "We use cookies.", "The & head", "One two, three four.", "Buy this.", "More é text", "Related.", "I like it.", "Sign up", "© X"]
-    for broken in ("", None, "<", "<p", "a<b>c</i>d", "<!--", "<script>x", "&#99999999;", "<p><p><div></p>x"):
+    assert texts == ["Site", "Home", "We use cookies.", "The & head", "One two, three four.", "Buy this.", "More é text", "Related.", "I like it.", "Sign up", "© X"]
+    for broken in ("", None, "<", "<p", "a<b>c</i>d", "<!--", "<script>x", "&#99999999;", "<p><p><div></p>x", "</p>", "</", "<!", "<title>x<p>y"):
         html_extract.blocks_of(broken)
 
 
+@pytest.mark.parametrize(
+    ("page", "texts"),
+    [
+        ('<h1 title="x>Budget</h1><p>a</p>', ["Budget", "a"]),
+        ("<h1 title='x>Budget</h1><p title=\"y\">a</p>", ["Budget", "a"]),
+        ('<p title="a > b">x</p>', ["x"]),
+        ('<p title="it\'s <b>bold</b>">x</p>', ["x"]),
+        ('<h1 title="x>Budget</h1><p>He said "no" and left.</p>', ["Budget", 'He said "no" and left.']),
+        ("<p>a<!-- <p>b</p> -->c<!-- d", ["ac"]),
+        ("<p>a < b <= c<3</p>", ["a < b <= c<3"]),
+        ("<title>t</title><svg><text>s</text></svg><p>x<textarea>y</textarea></p>", ["x"]),
+        ("<title>t<p>x</p>", ["x"]),
+        ("<P>a<SCRIPT>b</script >c<style>d", ["ac"]),
+        ("<p>a<b", ["a"]),
+        ("<ul><li>a<li>b</ul>c", ["a", "b", "c"]),
+        ("<p>x&nbsp;&eacute;&#233;&unknown;</p>", ["x éé&unknown;"]),
+    ],
+)
+def test_markup_stays_out(page, texts):
+    assert [b.text for b in html_extract.blocks_of(page)] == texts
+
+
+def test_reading_takes_time_in_proportion(spark):
+    start = time.time()
+    for page in ('<p title="' * 100_000, "<div>x" * 30_000 + "</x>" * 30_000, "<" * 500_000, "<!--" * 200_000, "<script>" * 100_000, "<p a='b\"c>" * 80_000, "&amp" * 200_000, "<b" * 300_000 + ">", "<a x='" + '<b y="' * 100_000):
+        html_extract.vectors(html_extract.blocks_of(page))
+    assert time.time() - start < 30
+
+
+@pytest.fixture(scope="module")
+def labeller(spark):
+    return html_extract.train(html_extract.chosen_pages(spark.read.parquet(f"{DIR}/pages.parquet"), "html", html_extract.SAMPLE))
+
+
+@pytest.mark.parametrize("name", sorted(PAGES))
+def test_hand_made_pages(labeller, name):
+    page, text = PAGES[name]
+    blocks = html_extract.blocks_of(page)
+    marks = labeller.label([html_extract.vectors(blocks)])[0]
+    assert " ".join(b.text for b, m in zip(blocks, marks, strict=True) if m) == text
+
+
+def test_all_templates_are_in_the_sample(spark):
+    rows = [(f'<div class="a"><p>{i}</p></div>',) for i in range(300)] + [("<ul><li>x</li></ul>",)] * 5 + [(None,), ("",)]
+    got = html_extract.chosen_pages(spark.createDataFrame(rows, "html string"), "html", 20)
+    assert 16 <= len(got) <= 20  # equal pages are one
+    assert "<ul><li>x</li></ul>" in got and html_extract.chosen_pages(spark.createDataFrame([], "html string"), "html", 20) == []
+
+
 def test_gradients():
     r = np.random.default_rng(2)
     model = html_extract.Labeller()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import re
 import tempfile
 from collections.abc import Callable, Iterable, Iterator
 
@@ -23,10 +24,13 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def settle(df: DataFrame) -> DataFrame:
     """``df`` computed once and kept in the reliable checkpoint folder.
 
-    The folder is the session's ``spark.checkpoint.dir``; a local one is chosen only where that is unset.
+    The folder is the session's ``spark.checkpoint.dir``; a local one is chosen only where that is unset and Spark runs in one
+    process. On a cluster without the setting this fails, as executors would write to disks that others cannot read.
     """
     sc = df.sparkSession.sparkContext
     if not sc.getConf().get("spark.checkpoint.dir") and sc.getCheckpointDir() is None:
+        if not re.fullmatch(r"local(\[[^-]*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoints-"))
     # shuffle files go when the copy is complete; nothing reads them again
     conf, name = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"

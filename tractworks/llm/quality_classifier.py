@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tractworks.llm.common import fold_of, read, settle
+from tractworks.llm.common import fold_of, lean, read, settle
 
 NAMES = ("log_words", "log_word_length", "symbols", "marks", "stops", "commas", "bars", "capitals", "digits", "non_ascii", "distinct", "top_share", "stutter", "pair_repeats", "lines", "repeated_lines", "long_words", "brackets")
 SHRINK_POOLED, SHRINK_ROUND = 0.1, 0.02
@@ -78,7 +78,7 @@ def with_statistics(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), x], names=[id_col, "x"])
 
     schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("x", T.ArrayType(T.DoubleType()))])
-    return docs.select(F.col(id_col), F.col(text_col).cast("binary")).mapInArrow(run, schema)
+    return docs.select(F.col(id_col), F.col(text_col).cast("binary")).mapInArrow(lean(run), schema)
 
 
 def matrix(column: pa.ListArray) -> np.ndarray:
