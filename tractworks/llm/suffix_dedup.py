@@ -28,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,11 +43,24 @@ VALUES = np.random.default_rng(11).integers(0, 2**64, 256, dtype=np.uint64)
 RUNS = T.StructType([T.StructField("c", T.LongType()), T.StructField("u", T.LongType()), T.StructField("key", T.LongType()), T.StructField("tag", T.IntegerType()), T.StructField("at", T.LongType())])
 #: A run of pass 2 that is alone with its bytes in a bucket of several: its first suffix, its distance from the digit, the bytes.
 SPELLED = T.StructType([T.StructField("bucket", T.LongType()), T.StructField("key", T.LongType()), T.StructField("tag", T.IntegerType()), T.StructField("run", T.IntegerType()), T.StructField("lead", T.IntegerType()), T.StructField("content", T.BinaryType())])
-#: A part of such a run: the hash of what has split it so far, that of all its bytes, the run, and its first suffix and number of suffixes.
-PARTS = T.StructType([
-    T.StructField("bucket", T.LongType()), T.StructField("h", T.LongType()), T.StructField("key", T.LongType()), T.StructField("tag", T.IntegerType()),
-    T.StructField("run", T.IntegerType()), T.StructField("first", T.IntegerType()), T.StructField("n", T.IntegerType()),
-])
+#: A part of such a run: the hash of what has split it so far, that of all its bytes, and in ``at`` the run's first suffix, how many
+#: suffixes of the run stand before the part, and how many are in it.
+PARTS = T.StructType([T.StructField("bucket", T.LongType()), T.StructField("h", T.LongType()), T.StructField("key", T.LongType()), T.StructField("tag", T.IntegerType()), T.StructField("at", T.LongType())])
+
+
+def skip_of(at: str) -> Column:
+    return F.shiftright(at, 16).bitwiseAND(0xFFFF)
+
+
+def n_of(at: str) -> Column:
+    return F.col(at).bitwiseAND(0xFFFF)
+
+
+def buckets(members: DataFrame, bucket: str, group: str) -> tuple[DataFrame, DataFrame]:
+    """The groups with two members or more, and the buckets with two groups or more; kept, so that joins with them can be split where a key is hot."""
+    twice = members.groupBy(bucket, group).agg(F.count(F.lit(1)).alias("m")).where("m > 1").select(bucket, group)
+    several = members.groupBy(bucket).agg(F.min(group).alias("least"), F.max(group).alias("most")).where("least <> most").select(bucket)
+    return settle(twice), settle(several)
 
 
 def runs_of(texts: list[bytes], threshold: int, digit: int) -> tuple[np.ndarray, ...]:
@@ -124,7 +137,7 @@ def spelled(rows: DataFrame, chosen: DataFrame, threshold: int) -> DataFrame:
 
 
 def parted(level: DataFrame, size: int, threshold: int) -> DataFrame:
-    """PARTS of up to ``size`` suffixes of what is left of runs; level: key, tag, run, lead, content, some (bucket, first, n)."""
+    """PARTS of up to ``size`` suffixes of what is left of runs; level: key, tag, run, lead, content, some (bucket, skip, n)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name = xxhash.xxh64_intdigest
@@ -132,14 +145,14 @@ def parted(level: DataFrame, size: int, threshold: int) -> DataFrame:
             out = []
             for key, tag, start, all_lead, content, some in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 for x in some:
-                    bucket, skip = x["bucket"], x["first"] - start
-                    lead, n = all_lead - skip, x["n"]
+                    bucket, skip, n = x["bucket"], x["skip"], x["n"]
+                    lead = all_lead - skip
                     for part in range((lead - n + 1) // size, lead // size + 1):
                         a, b = max(0, lead - part * size - size + 1), min(n - 1, lead - part * size)
                         shared = skip + lead - part * size
                         own = name(b"%d %d " % (bucket, part) + content[shared : shared - size + 1 + threshold])
                         h = name(content[skip + a : skip + b + threshold], seed=1)
-                        out.append((own - (own >> 63 << 64), h - (h >> 63 << 64), key, tag, start, x["first"] + a, b - a + 1))
+                        out.append((own - (own >> 63 << 64), h - (h >> 63 << 64), key, tag, start << 32 | skip + a << 16 | b - a + 1))
                 if len(out) >= 8192:
                     yield batch_of(out, PARTS)
                     out = []
@@ -166,22 +179,22 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     often = settle(found.groupBy("c").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("c"))
     kept = settle(found.join(often, "c", "left_semi"))
     begin = F.shiftright("at", 32).cast("int")
-    one = [F.first(x).alias(x) for x in ("key", "tag", "at")]
-    groups = settle(kept.groupBy("c", "u").agg(F.count(F.lit(1)).alias("m"), *one))
-    spans = kept.join(groups.where("m > 1").select("c", "u"), ["c", "u"])
+    twice, several = buckets(kept, "c", "u")
+    spans = kept.join(twice, ["c", "u"])
     spans = spans.select("key", "tag", begin.alias("start"), (begin + F.col("at").bitwiseAND(0xFFFF).cast("int") - 1 + threshold).alias("stop"))
-    several = groups.groupBy("c").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("c")
-    left = settle(spelled(rows, groups.join(several, "c").select("c", "key", "tag", "at"), threshold))
-    whole = F.array(F.struct("bucket", F.col("run").alias("first"), (F.length("content") - threshold + 1).alias("n")))
+    one = [F.first(x).alias(x) for x in ("key", "tag", "at")]
+    left = settle(spelled(rows, kept.join(several, "c").groupBy("c", "u").agg(*one).select("c", "key", "tag", "at"), threshold))
+    whole = F.array(F.struct("bucket", F.lit(0).cast("bigint").alias("skip"), (F.length("content") - threshold + 1).cast("bigint").alias("n")))
     level = left.withColumn("some", whole)
     for size in passes_after(threshold, digit):
         parts = settle(parted(level, size, threshold))
-        one = [F.first(x).alias(x) for x in ("key", "tag", "run", "first", "n")]
-        groups = settle(parts.groupBy("bucket", "h").agg(F.count(F.lit(1)).alias("m"), *one))
-        equal = parts.join(groups.where("m > 1").select("bucket", "h"), ["bucket", "h"])
-        spans = spans.union(equal.select("key", "tag", F.col("first").alias("start"), (F.col("first") + F.col("n") - 1 + threshold).alias("stop")))
-        several = groups.groupBy("bucket").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("bucket")
-        some = groups.join(several, "bucket").groupBy("key", "tag", "run").agg(F.collect_list(F.struct("bucket", "first", "n")).alias("some"))  # of one run
+        twice, several = buckets(parts, "bucket", "h")
+        start = F.shiftright("at", 32) + skip_of("at")
+        spans = spans.union(parts.join(twice, ["bucket", "h"]).select("key", "tag", start.cast("int").alias("start"), (start + n_of("at") - 1 + threshold).cast("int").alias("stop")))
+        one = [F.first(x).alias(x) for x in ("key", "tag", "at")]
+        alone = parts.join(several, "bucket").groupBy("bucket", "h").agg(*one)
+        part = F.struct("bucket", skip_of("at").alias("skip"), n_of("at").alias("n"))
+        some = alone.groupBy("key", "tag", F.shiftright("at", 32).cast("int").alias("run")).agg(F.collect_list(part).alias("some"))  # of one run
         level = left.join(some, ["key", "tag", "run"])
     return settle(spans.groupBy("key", "tag").agg(F.collect_set(F.struct("start", "stop")).alias("spans")))
 
