@@ -182,9 +182,13 @@ def region_options(spark, d):
 # --- pyramids ----------------------------------------------------------------------------------------------------------
 
 
-@query(T + 'SELECT cd_setor AS "CD_SETOR", cd_mun AS "CD_MUN", sexo, band AS idade_grupo, valor FROM l')
+@query(
+    T + f'''SELECT cd_setor AS "CD_SETOR", cd_mun AS "CD_MUN", nm_mun AS "NM_MUN", uf AS "CD_UF", sit::VARCHAR AS "CD_SITUACAO", situacao AS "SITUACAO", {SITUATION} AS "SITUACAO_DET_TXT", tipo::DOUBLE AS "CD_TIPO", {TYPE} AS "TP_SETOR_TXT",
+rm AS "RM_NOME", au AS "AU_NOME", rgint AS "NM_RGINT", rgi AS "NM_RGI", reg AS "REGIAO_RM_AU", treg AS "TIPO_RM_AU", reg AS "NOME_RM_AU", area AS "AREA_KM2", v0001 AS "V0001", sexo, band AS idade_grupo, ord, valor FROM l'''
+)
 def wide_to_long(spark, d):
-    return pyramid.to_long(tracts(spark, d)).select("CD_SETOR", "CD_MUN", "sexo", "idade_grupo", "valor")
+    """All context columns of the tracts with their cells."""
+    return pyramid.to_long(tracts(spark, d))
 
 
 _LEVEL_SQL = {"state": "'state'", "region": "reg", "intermediate": "rgint", "immediate": "rgi", "municipality": "cd_mun", "tract": "cd_setor"}
@@ -220,10 +224,19 @@ def pyramid_series(spark, d):
     return pyramid.series(pyramid.pyramid(tracts(spark, d), ["CD_MUN"]), ["CD_MUN"])
 
 
-@query(P + "SELECT DISTINCT cd_mun AS \"CD_MUN\", (idade // 5 * 5) || ' a ' || (idade // 5 * 5 + 4) || ' anos' AS idade_grupo, idade // 5 AS ordem FROM people")
+@query(
+    P + "SELECT DISTINCT cd_mun AS \"CD_MUN\", CASE nk % 3 WHEN 0 THEN (idade // 5 * 5) || ' a ' || (idade // 5 * 5 + 4) || ' anos' WHEN 1 THEN CASE WHEN idade < 30 THEN (idade // 5 * 5) || ' a ' || (idade // 5 * 5 + 4) || ' anos' "
+    "WHEN idade < 70 THEN (idade // 10 * 10) || ' a ' || (idade // 10 * 10 + 9) || ' anos' ELSE '70 anos ou mais' END ELSE idade || ' anos' END AS idade_grupo, "
+    "CASE nk % 3 WHEN 0 THEN idade // 5 WHEN 1 THEN CASE WHEN idade < 30 THEN idade // 5 WHEN idade < 70 THEN idade // 10 + 3 ELSE 10 END ELSE idade END::INTEGER AS ordem FROM people"
+)
 def chart_band_order(spark, d):
-    low = F.floor(F.col("idade") / 5) * 5
-    return pyramid.chart_order(people(spark, d).select("CD_MUN", F.concat(low.cast("string"), F.lit(" a "), (low + 4).cast("string"), F.lit(" anos")).alias("idade_grupo")), ["CD_MUN"])
+    """Municipalities with five-year bands, with canonical bands and with single ages."""
+    five, ten, text_of = F.floor(F.col("idade") / 5) * 5, F.floor(F.col("idade") / 10) * 10, lambda x: x.cast("string")
+    five_year = F.concat(text_of(five), F.lit(" a "), text_of(five + 4), F.lit(" anos"))
+    canonical = F.when(F.col("idade") < 30, five_year).when(F.col("idade") < 70, F.concat(text_of(ten), F.lit(" a "), text_of(ten + 9), F.lit(" anos"))).otherwise("70 anos ou mais")
+    k = F.col("CD_MUN").cast("int") % 3
+    label = F.when(k == 0, five_year).when(k == 1, canonical).otherwise(F.concat(text_of(F.col("idade")), F.lit(" anos")))
+    return pyramid.chart_order(people(spark, d).select("CD_MUN", label.alias("idade_grupo")), ["CD_MUN"])
 
 
 _BAND = """, b AS (SELECT {k} AS place, band AS idade_grupo, ord AS ordem, sum(CASE sexo WHEN 'Masculino' THEN valor ELSE 0 END)::BIGINT AS masculino, sum(CASE sexo WHEN 'Feminino' THEN valor ELSE 0 END)::BIGINT AS feminino FROM l {w} GROUP BY ALL),
