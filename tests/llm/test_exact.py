@@ -5,12 +5,13 @@ from __future__ import annotations
 import random
 
 import duckdb
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tests.llm import brute
 from tests.oracle import assert_same, connect
 
-from tractworks.llm import decontaminate, quality_rules, recompression, simhash, suffix_dedup
+from tractworks.llm import common, decontaminate, quality_rules, recompression, simhash, suffix_dedup
 from tractworks.llm.registry import QUERIES, SQL
 
 DIR = "/root/testdata/sf0.001"
@@ -217,6 +218,26 @@ def test_repeated_bytes_of_odd_rows(spark):
     assert {r.doc_id: r.text for r in cut.collect()} == {1: "", 2: "b", 3: None}
 
 
+# --- shared helpers -----------------------------------------------------------------------------------------------------
+
+
+def test_batches_are_cut_by_bytes():
+    batch = pa.RecordBatch.from_pydict({"i": list(range(100)), "t": ["x" * (5000 if i == 7 else 10) for i in range(100)]})
+    parts = list(common.slices(batch, 600))
+    assert [i for p in parts for i in p.column(0).to_pylist()] == list(range(100))
+    assert all(p.num_rows == 1 or p.nbytes <= 600 for p in parts) and len(parts) > 4
+    seen = list(common.lean(lambda batches: (b.num_rows for b in batches))(iter([batch, batch.slice(0, 0)])))
+    assert seen == [100, 0]
+
+
+def test_row_keys(spark):
+    rows = spark.createDataFrame([(1, "a"), (1, "b"), (None, "a"), (None, "b"), (None, None), (1, "a")], "i long, t string")
+    keys = [tuple(r) for r in rows.select(*common.row_keys(rows, "i", "t")).collect()]
+    assert len(set(keys)) == 5 and keys[0] == keys[5] and keys[0][0] == 1
+    named = rows.withColumn("i", F.col("i").cast("string"))
+    assert len({tuple(r) for r in named.select(*common.row_keys(named, "i", "t")).collect()}) == 5
+
+
 # --- decontamination ------------------------------------------------------------------------------------------------------
 
 
