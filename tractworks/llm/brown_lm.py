@@ -126,17 +126,26 @@ def encode(texts: DataFrame, words: list[bytes]) -> DataFrame:
     return texts.mapInArrow(lean(run), "ids binary")
 
 
-def summed(keys: Iterator[np.ndarray], most: int = 3_000_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def summed(keys: Iterator[np.ndarray], most: int = 6_000_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Keys and their counts, about ``most`` at a time."""
+
+    def counted(held: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        every = np.concatenate(held)
+        held.clear()
+        every.sort()
+        at = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]]))
+        return every[at], np.diff(np.append(at, len(every)))
+
     held, size = [], 0
     for key in keys:
-        held.append(key)
-        size += len(key)
+        if len(key):
+            held.append(key)
+            size += len(key)
         if size >= most:
-            yield np.unique(np.concatenate(held), return_counts=True)
-            held, size = [], 0
-    if size:
-        yield np.unique(np.concatenate(held), return_counts=True)
+            yield counted(held)
+            size = 0
+    if held:
+        yield counted(held)
 
 
 def core_bigrams(coded: DataFrame, places: np.ndarray, size: int) -> np.ndarray:
@@ -256,8 +265,9 @@ def best_classes(sizes: np.ndarray, h: np.ndarray, n: np.ndarray, gains: np.ndar
     best = np.empty(len(sizes), np.int32)
     for i in range(0, len(sizes), 20_000):
         a, b = np.searchsorted(row, (i, i + 20_000))
-        seen = np.zeros((min(20_000, len(sizes) - i), len(gains)))
-        seen[row[a:b] - i, h[a:b]] = n[a:b]
+        some = min(20_000, len(sizes) - i)
+        cells = (row[a:b] - i) * len(gains) + h[a:b]
+        seen = np.bincount(cells, n[a:b], some * len(gains)).reshape(some, -1)  # a state may be listed twice
         value = np.zeros((len(seen), gains.shape[1]))
         for state in range(len(gains)):
             hit = seen[:, state] > 0
@@ -272,10 +282,11 @@ def entries(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.diff(lists.offsets.to_numpy()), flat.field("h").to_numpy(zero_copy_only=False), flat.field("n").to_numpy(zero_copy_only=False)
 
 
-def state_lists(seen: DataFrame, key: str) -> DataFrame:
-    """(key, states): summed counts by state; a frequent word's counts are added up state by state before they meet in one row."""
-    sums = seen.groupBy(key, "h").agg(F.sum("n").alias("n"))
-    return sums.groupBy(key).agg(F.collect_list(F.struct("h", "n")).alias("states"))
+def state_lists(seen: DataFrame, key: str, parts: int = 16) -> DataFrame:
+    """(key, states): summed counts by state; a frequent word's counts are added up in ``parts`` places before they meet in one row."""
+    dealt = seen.withColumn("part", F.pmod("h", F.lit(parts))).repartition(key, "part")
+    sums = dealt.groupBy(key, "part", "h").agg(F.sum("n").alias("n")).groupBy(key, "part").agg(F.collect_list(F.struct("h", "n")).alias("some"))
+    return sums.groupBy(key).agg(F.flatten(F.collect_list("some")).alias("states"))
 
 
 def exchange_round(coded: DataFrame, of: np.ndarray, history: np.ndarray, moving: np.ndarray, gains: np.ndarray) -> np.ndarray:
@@ -404,8 +415,7 @@ def rare_lexicon(texts: DataFrame, words: list[bytes], of: np.ndarray, history:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(total), pa.array(best_classes(sizes, h, n, gains)), left], names=["word", "n", "class", "states"])
 
     seen = texts.mapInArrow(lean(run), "word binary, h int, n bigint").repartition("word")
-    lists = seen.groupBy("word", "h").agg(F.sum("n").alias("n")).groupBy("word").agg(F.collect_list(F.struct("h", "n")).alias("states"))
-    return lists.mapInArrow(lean(choose), LEXICON)
+    return seen.groupBy("word").agg(F.collect_list(F.struct("h", "n")).alias("states")).mapInArrow(lean(choose), LEXICON)
 
 
 class Model:
