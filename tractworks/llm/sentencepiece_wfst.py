@@ -18,7 +18,7 @@ read most is continued. For merging models each prefix has one sequence of finit
 whatever the history is, as it is for unigram models.
 
 No piece crosses from a non-space into ``▁``, nor from a Latin letter into what is none (both checked when compiling), so paths of
-such segments can be found apart, and equal segments are solved once per task (``CACHE`` of them are kept).
+such segments can be found apart, and equal segments are solved once per task (twice ``CACHE`` of them are kept).
 
 Null texts encode to null; empty texts to an empty list; very long texts go segment by segment; repeated rows are encoded
 each on their own; an empty table gives an empty result; ``encode`` keeps all other columns, and replaces those of its own names.
@@ -359,15 +359,18 @@ class PieceTransducer:
         if not self.byte_id:
             self.cut = None  # unknown characters join across segments
         self.solved: dict[str, bytes] = {}
+        self.solved_before: dict[str, bytes] = {}
         #: what each id writes; the output side of the machines
         self.written = [bytes([int(p[3:5], 16)]) if k == BYTE else p.replace(SPACE, " ").encode() if k == NORMAL else " ⁇ ".encode() if k == UNKNOWN else b"" for p, k in zip(self.pieces, self.kinds, strict=True)]
 
     def segment(self, text: str) -> bytes:
         """The ids of a normalised segment as 32-bit numbers."""
-        found = np.array(shortest_path(text, self.machine, self.history), np.int32).tobytes()
+        found = self.solved_before.get(text)
+        if found is None:
+            found = np.array(shortest_path(text, self.machine, self.history), np.int32).tobytes()
         if len(text) <= 64:
-            if len(self.solved) >= CACHE:
-                self.solved.clear()
+            if len(self.solved) >= CACHE:  # what is met again comes over from the full cache
+                self.solved, self.solved_before = {}, self.solved
             self.solved[text] = found
         return found
 
@@ -388,6 +391,7 @@ class PieceTransducer:
     def forget(self) -> None:
         """Drops solved segments and neighbours: a worker lives on after its task, for other stages."""
         self.solved.clear()
+        self.solved_before.clear()
         self.history.known.clear()
         self.history.edges.clear()
 
