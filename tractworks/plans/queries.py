@@ -533,11 +533,13 @@ def external_column_map(spark, d):
     return customers.withColumnsRenamed(renames)
 
 
-@query(T + "SELECT uf AS \"CD_UF\", cd_mun AS \"CD_MUN\", count(*)::BIGINT AS setores FROM t WHERE uf = '33' GROUP BY 1, 2")
+@query(T + "SELECT uf AS \"CD_UF\", cd_mun AS \"CD_MUN\", count(*)::BIGINT AS setores FROM t WHERE uf = '35' GROUP BY 1, 2")
 def saved_table(spark, d):
-    """The tract table saved by state in the catalog; one state's partition read back."""
-    save_table(tracts(spark, d).select("CD_SETOR", "CD_MUN", "CD_UF", "V0001"), "tractworks_saved_tracts", path=scratch(spark))
-    rows = spark.table("tractworks_saved_tracts").where("CD_UF = '33'")
+    """The tract table saved by state in the catalog, each time under a new name; one state's partition read back."""
+    path = scratch(spark)
+    name = "tracts_" + path.rpartition("-")[2]
+    save_table(tracts(spark, d).select("CD_SETOR", "CD_MUN", "CD_UF", "V0001"), name, path=path)
+    rows = spark.table(name).where("CD_UF = '35'")
     return rows.groupBy(F.col("CD_UF").cast("string").alias("CD_UF"), "CD_MUN").agg(F.count(F.lit(1)).alias("setores"))
 
 
