@@ -2,7 +2,7 @@
 
 A page is cut into leaf blocks: the text between block-level tags, with the tags, classes and ids above it. Each block becomes a
 vector of hashed path tokens, hashed words and a few numbers (length, links, punctuation, place, how much of the page's text has
-the same path); a bidirectional LSTM (numpy) reads all blocks of a page in both directions and labels each with the whole page as
+the same path, a copyright mark); a bidirectional LSTM (numpy) reads all blocks of a page in both directions and labels each with the whole page as
 context. Blocks labelled as article are joined in page order.
 
 The labeller is trained here, on at most ``SAMPLE`` pages: of each template (set of tags and classes, found over all pages) those
@@ -34,11 +34,11 @@ from pyspark.sql import types as T
 
 from tractworks.llm.common import lean, read
 
-PATH_DIM, WORD_DIM, NUMBERS = 256, 64, 9
+PATH_DIM, WORD_DIM, NUMBERS = 256, 64, 10
 DIM = PATH_DIM + WORD_DIM + NUMBERS
 HIDDEN = 20
 #: Bounds of the fit: pages in the sample, pages laid out from it, and training.
-SAMPLE, PAGES, STEPS, BATCH = 160, 1200, 480, 16
+SAMPLE, PAGES, STEPS, BATCH = 160, 1200, 320, 16
 CELLS = 4096
 
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img input ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
@@ -62,6 +62,7 @@ _NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'
 _AFTER = frozenset(["", " ", "\t", "\n", "\r", "\f", "/", ">"])
 _MARKUP = re.compile(r"<[/!a-zA-Z]")
 _PART = re.compile(r"[a-z]+")
+_RIGHTS = re.compile(r"©|\(c\)|copyright", re.I)
 
 
 class Block:
@@ -238,7 +239,7 @@ def vectors(blocks: list[Block]) -> np.ndarray:
     for i, (b, k) in enumerate(zip(blocks, counts, strict=True)):
         size = len(b.text)
         ends = b.text.count(".") + b.text.count("!") + b.text.count("?")
-        x[i, last:] = (np.log1p(k) / 5, min(b.linked / size, 1), 10 * (ends + b.text.count(",")) / size, b.tag in HEADINGS, i / n, 1 / n, mass[b.mask] / total, min(ends, 4) / 4, k > 12)
+        x[i, last:] = (np.log1p(k) / 5, min(b.linked / size, 1), 10 * (ends + b.text.count(",")) / size, b.tag in HEADINGS, i / n, 1 / n, mass[b.mask] / total, min(ends, 4) / 4, k > 12, _RIGHTS.search(b.text) is not None)
     return x
 
 
@@ -373,7 +374,7 @@ def padded(xs: list[np.ndarray], ys: list[np.ndarray]) -> tuple[np.ndarray, np.n
 STOCK = {
     "nav": "Home|About|Contact|News|Sport|Login|Products|Services|Blog|Help|FAQ|Shop|Start|Kontakt|Über uns|Accueil|Contacto|Inicio|Início|Notícias|Impressum|Archive|Sitemap|Privacy|Terms",
     "header": "Site|My site|Daily news|The weekly|Welcome|Willkommen|Bienvenue|Bienvenidos|Latest news for you|Your guide to the city",
-    "footer": "Copyright {y} Site|© {y} Example|© {y} Example Ltd. All rights reserved.|All rights reserved|Imprint|Impressum und Datenschutz|Tous droits réservés|Todos los derechos reservados|Todos os direitos reservados|Terms of use|Privacy policy|Powered by software|Follow us|Published by Example Media, {y}.",
+    "footer": "Copyright {y} Site|© {y} Example|© {y} Example GmbH|Copyright (c) {y} by the author|© {y} Example Ltd. All rights reserved.|All rights reserved|Imprint|Impressum und Datenschutz|Tous droits réservés|Todos los derechos reservados|Todos os direitos reservados|Terms of use|Privacy policy|Powered by software|Follow us|Published by Example Media, {y}.",
     "notice": "We use cookies.|We use cookies to improve your experience. By continuing you agree.|Accept all|Wir verwenden Cookies.|Nous utilisons des cookies.|Usamos cookies.|This site uses cookies, see our privacy policy.|Please enable JavaScript.",
     "ad": "Buy now|Buy this.|Advertisement|Sponsored|Special offer, only today!|Anzeige|Publicité|Publicidad|Sale 50 % off|Free shipping on all orders|Try it free for 30 days.",
     "sidebar": "Related|Related articles|Most read|Popular posts|Read more|Mehr zum Thema|À lire aussi|Relacionados|Tags|Categories|Recent posts|Share this|Archive",
