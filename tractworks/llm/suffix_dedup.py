@@ -182,8 +182,8 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     twice, several = buckets(kept, "c", "u")
     spans = kept.join(twice, ["c", "u"])
     spans = spans.select("key", "tag", begin.alias("start"), (begin + F.col("at").bitwiseAND(0xFFFF).cast("int") - 1 + threshold).alias("stop"))
-    one = [F.first(x).alias(x) for x in ("key", "tag", "at")]
-    left = settle(spelled(rows, kept.join(several, "c").groupBy("c", "u").agg(*one).select("c", "key", "tag", "at"), threshold))
+    one = [F.first(x).alias(x) for x in ("key", "tag", "at")]  # copies are one before they meet in a bucket
+    left = settle(spelled(rows, kept.groupBy("c", "u").agg(*one).join(several, "c").select("c", "key", "tag", "at"), threshold))
     whole = F.array(F.struct("bucket", F.lit(0).cast("bigint").alias("skip"), (F.length("content") - threshold + 1).cast("bigint").alias("n")))
     level = left.withColumn("some", whole)
     for size in passes_after(threshold, digit):
@@ -192,7 +192,7 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         start = F.shiftright("at", 32) + skip_of("at")
         spans = spans.union(parts.join(twice, ["bucket", "h"]).select("key", "tag", start.cast("int").alias("start"), (start + n_of("at") - 1 + threshold).cast("int").alias("stop")))
         one = [F.first(x).alias(x) for x in ("key", "tag", "at")]
-        alone = parts.join(several, "bucket").groupBy("bucket", "h").agg(*one)
+        alone = parts.groupBy("bucket", "h").agg(*one).join(several, "bucket")
         part = F.struct("bucket", skip_of("at").alias("skip"), n_of("at").alias("n"))
         some = alone.groupBy("key", "tag", F.shiftright("at", 32).cast("int").alias("run")).agg(F.collect_list(part).alias("some"))  # of one run
         level = left.join(some, ["key", "tag", "run"])
