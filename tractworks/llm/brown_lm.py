@@ -113,7 +113,7 @@ def cut_off(counts: DataFrame, *most: int) -> list[int]:
 
 
 def encode(texts: DataFrame, words: list[bytes]) -> DataFrame:
-    """(ids): blocks of texts as 32-bit places in ``words``, -1 for other words."""
+    """(ids, rare): blocks of texts as 32-bit places in ``words``, -1 for other words, and these other words in order."""
     shared = texts.sparkSession.sparkContext.broadcast(words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,9 +121,10 @@ def encode(texts: DataFrame, words: list[bytes]) -> DataFrame:
         for batch in batches:
             for words, _ in blocks(batch.column(0).to_pylist()):
                 ids = np.fromiter((get(w, -1) for w in words), np.int32, len(words))
-                yield pa.RecordBatch.from_arrays([pa.array([ids.tobytes()], pa.binary())], names=["ids"])
+                rare = b" ".join(map(words.__getitem__, np.flatnonzero(ids < 0).tolist()))
+                yield pa.RecordBatch.from_arrays([pa.array([ids.tobytes()], pa.binary()), pa.array([rare], pa.binary())], names=["ids", "rare"])
 
-    return texts.mapInArrow(lean(run), "ids binary")
+    return texts.mapInArrow(lean(run), "ids binary, rare binary")
 
 
 def summed(keys: Iterator[np.ndarray], most: int = 6_000_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -372,17 +373,15 @@ def held_lexicon(coded: DataFrame, words: list[bytes], of: np.ndarray, history:
     return state_lists(coded.mapInArrow(lean(run), "id int, h int, n bigint"), "id").mapInArrow(lean(name), LEXICON)
 
 
-def rare_lexicon(texts: DataFrame, words: list[bytes], of: np.ndarray, history: np.ndarray, gains: np.ndarray) -> DataFrame:
+def rare_lexicon(coded: DataFrame, of: np.ndarray, history: np.ndarray, gains: np.ndarray) -> DataFrame:
     """(word, n, class, states) of the words that are not in the table; each takes the class that its neighbours explain best.
 
     All of these words are rarer than those of the table, so none is a hot key.
     """
     k = gains.shape[1]
-    shared = texts.sparkSession.sparkContext.broadcast(words)
     past, start = np.append(history, -1), int(of[-1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        get = {w: i for i, w in enumerate(shared.value)}.get
         counts: Counter = Counter()
 
         def flush():
@@ -390,11 +389,11 @@ def rare_lexicon(texts: DataFrame, words: list[bytes], of: np.ndarray, history:
             return pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), pa.array(hs, pa.int32()), pa.array(list(counts.values()), pa.int64())], names=["word", "h", "n"])
 
         for batch in batches:
-            for found, _ in blocks(batch.column(0).to_pylist()):
-                ids = np.fromiter((get(w, -1) for w in found), np.int32, len(found))
+            for block, other in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                ids = np.frombuffer(block, np.int32)
                 left, right = around(ids, past, start)
                 rare = np.flatnonzero(ids < 0)
-                some = [found[i] for i in rare.tolist()]
+                some = other.split()
                 counts.update(zip(some, left[rare].tolist(), strict=True))
                 counts.update(zip(some, (right[rare] + k).tolist(), strict=True))
                 if len(counts) >= FLUSH:
@@ -414,7 +413,7 @@ def rare_lexicon(texts: DataFrame, words: list[bytes], of: np.ndarray, history:
             left = pa.ListArray.from_arrays(pa.array(ends), lists.flatten().filter(pa.array(before)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(total), pa.array(best_classes(sizes, h, n, gains)), left], names=["word", "n", "class", "states"])
 
-    seen = texts.mapInArrow(lean(run), "word binary, h int, n bigint").repartition("word")
+    seen = coded.mapInArrow(lean(run), "word binary, h int, n bigint").repartition("word")
     return seen.groupBy("word").agg(F.collect_list(F.struct("h", "n")).alias("states")).mapInArrow(lean(choose), LEXICON)
 
 
@@ -551,7 +550,7 @@ def train(texts: DataFrame, core: int = CORE, classes: int = CLASSES, held: int
     of = cluster(coded, np.where(places >= 0, core_of[places], -1), past, k, rounds)
     history = np.where(past, of, -1)
     gains = gains_of(class_pairs(coded, of, history, k), int(of[-1]))
-    lex = settle(held_lexicon(coded, words, of, history).union(rare_lexicon(texts, words, of, history, gains)))
+    lex = settle(held_lexicon(coded, words, of, history).union(rare_lexicon(coded, of, history, gains)))
     return lex, Model(lex, found[:kept], counts[:kept], of[[index[w] for w in found[:kept]]] if kept else np.zeros(0, np.int64), k, int(of[-1]))
 
 
