@@ -12,7 +12,7 @@ from tractworks import api
 from tractworks.functions import codes, text
 from tractworks.household_groups import HOUSEHOLD_GROUPS
 from tractworks.operators import catalog, compare, filters, household, indicators, normalize, pyramid, quality, regions, search
-from tractworks.plans.views import GROUPS, HOUSEHOLD_COLUMNS, PRIORITIES, SQL_PEOPLE, SQL_TRACTS, STATUSES, households, people, raw_tracts, scratch, table, tracts, wide_households
+from tractworks.plans.views import GROUPS, HOUSEHOLD_COLUMNS, SQL_PEOPLE, SQL_TRACTS, households, people, raw_tracts, scratch, table, tracts, wide_households
 from tractworks.sources.readers import column_map, of_state, pyramid_columns, region_composition, reshape_statistics
 from tractworks.sources.writers import export_profile, save_table
 from tractworks.streaming import live
