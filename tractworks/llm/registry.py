@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tractworks.llm import brown_lm, decontaminate, html_extract, language_id, quality_classifier, quality_rules, recompression, sentencepiece_wfst, simhash, suffix_dedup
+from tractworks.llm import brown_lm, decontaminate, html_extract, language_id, quality_classifier, quality_rules, recompression, sentencepiece_wfst, simhash, suffix_dedup, tree_bpe
 
 QUERIES = {
     "op1_quality_classifier": quality_classifier.op1_quality_classifier,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_sentencepiece": sentencepiece_wfst.op8_sentencepiece,
     "op9_html_extract": html_extract.op9_html_extract,
     "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
+    "op11_tree_bpe": tree_bpe.op11_tree_bpe,
 }
 
 SQL = {
