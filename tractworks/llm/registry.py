@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tractworks.llm import brown_lm, decontaminate, html_extract, language_id, quality_classifier, quality_rules, recompression, sentencepiece_wfst, simhash, suffix_dedup, tree_bpe
+from tractworks.llm import brown_lm, decontaminate, html_extract, language_id, merkle, quality_classifier, quality_rules, recompression, sentencepiece_wfst, simhash, suffix_dedup, tree_bpe
 
 QUERIES = {
     "op1_quality_classifier": quality_classifier.op1_quality_classifier,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_html_extract": html_extract.op9_html_extract,
     "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
     "op11_tree_bpe": tree_bpe.op11_tree_bpe,
+    "op12_merkle_manifest": merkle.op12_merkle_manifest,
 }
 
 SQL = {
@@ -23,4 +24,5 @@ SQL = {
     "op6_substring_dedup": recompression.SQL,
     "op7_decontaminate": decontaminate.SQL,
     "op10_suffix_dedup": suffix_dedup.SQL,
+    "op12_merkle_manifest": merkle.SQL,
 }
