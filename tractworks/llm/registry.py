@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tractworks.llm import brown_lm, decontaminate, html_extract, language_id, merkle, quality_classifier, quality_rules, recompression, sentencepiece_wfst, simhash, suffix_dedup, tree_bpe
+from tractworks.llm import brown_lm, decontaminate, html_extract, language_id, merkle, quality_classifier, quality_rules, recompression, sentencepiece_wfst, simhash, suffix_dedup, token_alignment, tree_bpe
 
 QUERIES = {
     "op1_quality_classifier": quality_classifier.op1_quality_classifier,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
     "op11_tree_bpe": tree_bpe.op11_tree_bpe,
     "op12_merkle_manifest": merkle.op12_merkle_manifest,
+    "op13_token_alignment": token_alignment.op13_token_alignment,
 }
 
 SQL = {
