@@ -63,6 +63,16 @@ def test_both_ways_of_merging_agree():
         assert merges._few(list(ids)) == merges._many(list(ids))
 
 
+def test_merging_many_pieces_at_once():
+    r = random.Random(8)
+    pieces = {"".join(r.choice(r.choice(["ab", "etaoin shrdlu", "é日a", "= -"])) for _ in range(r.randrange(1, 80))) for _ in range(3000)}
+    merges = tree_bpe.Merges(open(tree_bpe.TOKENIZER, "rb").read(), False)
+    merges.learn(pieces)
+    assert set(merges) == {p for p in pieces if len(p.encode()) <= tree_bpe.SHORT}
+    alone = tree_bpe.Merges(open(tree_bpe.TOKENIZER, "rb").read(), False)
+    assert all(merges[p] == alone[p] for p in pieces)
+
+
 def test_frames(spark, library):
     """Every kind of row, cut into parts of eight characters; names of the operator's own are taken by the input."""
     texts = [None, "", " ", "one", *random_texts(6, 40), *LONG]

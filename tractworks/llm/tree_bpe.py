@@ -19,7 +19,8 @@ import heapq
 import json
 import os
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +39,7 @@ LEAF_CHARS = 16384
 #: Parts that one task joins at a time, a power of two: a tree of 16**k parts takes k shuffles.
 FAN = 16
 #: Pieces of up to this many characters are remembered, so many of them at a time.
-SHORT, REMEMBERED = 64, 400_000
+SHORT, REMEMBERED = 64, 300_000
 #: Bits of an id, and what no rank reaches.
 BITS, NONE = 24, 1 << 60
 
@@ -70,6 +71,9 @@ class Merges(dict):
         vocab = model["vocab"]
         # a pair of ids -> its rank and the id of both together, in one number
         self.pairs = {vocab[a] << BITS | vocab[b]: rank << BITS | vocab[a + b] for rank, (a, b) in enumerate(pairs)}
+        self.keys = np.array(sorted(self.pairs), np.int64)
+        self.values = np.array([self.pairs[k] for k in self.keys.tolist()], np.int64)
+        self.letters = np.array(self.of_byte, np.int64)
         self.special: dict[str, bytes] = {}
         for t in spec["added_tokens"]:
             self.written[t["id"]] = t["content"].encode()
@@ -90,10 +94,6 @@ class Merges(dict):
             self[piece] = out
         return out
 
-    def forget(self) -> None:
-        if len(self) > REMEMBERED:
-            self.clear()
-
     def merged(self, ids: list[int]) -> list[int]:
         """Neighbours merged by rank, the leftmost of equal ranks first, until no pair has a rank."""
         return self._few(ids) if len(ids) <= SHORT else self._many(ids)
@@ -143,9 +143,68 @@ class Merges(dict):
 
     def encoded(self, text: str) -> bytes:
         """The tokens of a text that is encoded in one go."""
-        if self.cut is not None and self.cut.search(text):
-            return b"".join(map(self.of_piece, self.pieces(text)))
-        return b"".join(map(self.__getitem__, self.split(text)))
+        return b"".join(map(self.of_piece, self.pieces(text)))
+
+    def all_encoded(self, texts: list[str]) -> list[bytes]:
+        """:meth:`encoded` of many texts; pieces not seen before are merged together."""
+        if self.cut is not None and any(map(self.cut.search, texts)):
+            split, of = list(map(self.pieces, texts)), self.of_piece
+        else:
+            split, of = list(map(self.split, texts)), self.__getitem__
+        self.learn(set(chain.from_iterable(split)).difference(self))
+        out = [b"".join(map(of, pieces)) for pieces in split]
+        if len(self) > REMEMBERED:
+            self.clear()
+        return out
+
+    def learn(self, pieces: Iterable[str]) -> None:
+        """Remembers the tokens of short pieces, merged a step at a time in all pieces of about one length."""
+        by_size: dict[int, list[tuple[str, bytes]]] = {}
+        for piece in pieces:
+            raw = piece.encode()
+            if len(raw) <= SHORT:
+                by_size.setdefault(-(-len(raw) // 4), []).append((piece, raw))
+        for size, group in by_size.items():
+            for lo in range(0, len(group), 8192):
+                part = group[lo : lo + 8192]
+                ids = np.full((len(part), 4 * size + 1), -1, np.int64)
+                lengths = np.array([len(raw) for _, raw in part])
+                ids[np.arange(4 * size + 1) < lengths[:, None]] = self.letters[np.frombuffer(b"".join(raw for _, raw in part), np.uint8)]
+                ids = self.merged_rows(ids)
+                n = (ids >= 0).sum(1)
+                ids *= 2
+                ids[:, 0] += 1
+                raw, ends = ids[ids >= 0].astype(np.int32).tobytes(), (np.cumsum(n) * 4).tolist()
+                self.update({piece: raw[i:j] for (piece, _), i, j in zip(part, [0, *ends], ends)})
+
+    def ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """What merging pairs of ids ranks and gives, ``NONE`` for pairs that do not merge or have no second id."""
+        key = a << BITS | b
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where((self.keys[at] == key) & (b >= 0), self.values[at], NONE)
+
+    def merged_rows(self, ids: np.ndarray) -> np.ndarray:
+        """:meth:`merged` of each row of a matrix that ends with -1."""
+        out, rows, places = ids.copy(), np.arange(len(ids)), np.arange(ids.shape[1])
+        rank = self.ranks(ids[:, :-1], ids[:, 1:])
+        while True:
+            at = rank.argmin(1)
+            best = rank[np.arange(len(rank)), at]
+            go = best != NONE
+            if not go.all():
+                out[rows[~go]] = ids[~go]
+                rows, ids, rank, at, best = rows[go], ids[go], rank[go], at[go], best[go]
+            if not len(rows):
+                return out
+            line = np.arange(len(rows))
+            ids[line, at] = best & (1 << BITS) - 1
+            # what stands behind the merged pair moves up
+            ids = np.take_along_axis(ids, np.minimum(places + (places > at[:, None]), places[-1]), 1)
+            rank = np.take_along_axis(rank, np.minimum(places[:-1] + (places[:-1] > at[:, None]), places[-2]), 1)
+            ids[:, -1], rank[:, -1] = -1, NONE
+            rank[line, at] = self.ranks(ids[line, at], ids[line, at + 1])
+            before = np.maximum(at - 1, 0)
+            rank[line, before] = self.ranks(ids[line, before], ids[line, before + 1])
 
     def bytes_of(self, marked: np.ndarray) -> bytes:
         return b"".join(map(self.written.__getitem__, (marked >> 1).tolist()))
@@ -243,8 +302,7 @@ def _whole(docs: DataFrame, text_col: str, path: str, special: bool) -> DataFram
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         merges = loaded(path, special)
         for batch in batches:
-            parts = [merges.encoded(t or "") for t in batch.column(at).to_pylist()]
-            merges.forget()
+            parts = merges.all_encoded([t or "" for t in batch.column(at).to_pylist()])
             yield pa.RecordBatch.from_arrays([*batch.columns, id_lists(parts)], names=[*names, "token_ids"])
 
     return docs.mapInArrow(lean(run), T.StructType([*docs.schema.fields, T.StructField("token_ids", T.ArrayType(T.IntegerType()))]))
@@ -283,8 +341,7 @@ def _tree(docs: DataFrame, text_col: str, path: str, special: bool, leaf_chars:
     def leaf(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         merges = loaded(path, special)
         for batch in batches:
-            coded = pa.array([merges.encoded(t) for t in batch.column(4).to_pylist()], pa.binary())
-            merges.forget()
+            coded = pa.array(merges.all_encoded(batch.column(4).to_pylist()), pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns[:4], coded], names=["key", "tag", "node", "depth", "coded"])
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -296,7 +353,6 @@ def _tree(docs: DataFrame, text_col: str, path: str, special: bool, leaf_chars:
                 while len(nodes) > 1:
                     nodes = [merges.joined(*nodes[i : i + 2]) for i in range(0, len(nodes), 2)]
                 joined.append(nodes[0])
-            merges.forget()
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(joined, pa.binary())], names=["key", "tag", "node", "coded"])
 
     nodes = parts.mapInArrow(lean(leaf), "key long, tag int, node long, depth int, coded binary").drop("depth")
