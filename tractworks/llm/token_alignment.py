@@ -74,8 +74,7 @@ class Both:
 
     def ids(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """The ids of each text with a space before it: byte-level ones and pieces (whose model adds the space itself)."""
-        a = [np.frombuffer(self.bpe.encoded(" " + t), np.int32) >> 1 for t in texts]
-        self.bpe.forget()
+        a = [np.frombuffer(x, np.int32) >> 1 for x in self.bpe.all_encoded([" " + t for t in texts])]
         return a, [np.array(x, np.int32) for x in self.pieces.encode(texts, out_type=int, num_threads=1)]
 
     def writes(self, side: int, ids: np.ndarray) -> bytes:
@@ -121,20 +120,29 @@ def cut_up(a: np.ndarray, b: np.ndarray, a0: np.ndarray, a1: np.ndarray, b0: np.
         done_b.append(b1[leaf])
         a0, a1, b0, b1 = a0[~leaf], a1[~leaf], b0[~leaf], b1[~leaf]
         cut = np.full(len(a0), -1)  # the place in a of a shared end before the last
-        open_, i = np.arange(len(a0)), (a0 + a1 - 1) // 2
-        i = np.minimum(i, a1 - 2)
-        for _ in range(STEPS):
+        middle = np.minimum((a0 + a1 - 1) // 2, a1 - 2)
+        open_, i = np.arange(len(a0)), middle
+        for _ in range(STEPS):  # from the middle on
             j = np.searchsorted(b, a[i])
             same = b[j] == a[i]
             cut[open_[same]] = i[same]
-            open_, j = open_[~same], j[~same]
-            i = np.searchsorted(a, b[j])
+            open_, i = open_[~same], np.searchsorted(a, b[j[~same]])
             inside = i < a1[open_] - 1
             cut[open_[~inside]] = -2
             open_, i = open_[inside], i[inside]
-            if not len(open_):
-                break
-        for k in np.flatnonzero(cut < 0):  # nothing from the middle on, or nothing yet
+        far = [open_]
+        open_ = np.flatnonzero(cut == -2)
+        i = middle[open_] - 1
+        open_, i = open_[i >= a0[open_]], i[i >= a0[open_]]
+        for _ in range(STEPS):  # and back from it
+            j = np.searchsorted(b, a[i], "right") - 1
+            same = (j >= 0) & (b[j] == a[i])
+            cut[open_[same]] = i[same]
+            open_, j = open_[~same], j[~same]
+            i = np.where(j < 0, -1, np.searchsorted(a, b[j], "right") - 1)
+            inside = i >= a0[open_]
+            open_, i = open_[inside], i[inside]
+        for k in np.concatenate([*far, open_]):
             cut[k] = _alone(a, b, int(a0[k]), int(a1[k]))
         whole = cut < 0
         done_a.append(a1[whole])
