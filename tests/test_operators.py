@@ -230,7 +230,7 @@ def test_state_filter_and_sinks(spark, tmp_path):
     assert readers.of_state(df).count() == 1 and readers.of_state(df.drop("uf_codigo")).count() == 2 and readers.of_state(df, "33", 1).count() == 1
     writers.save_table(df.withColumnRenamed("uf_codigo", "CD_UF"), "tracts_saved")
     assert writers.state_count(spark, "tracts_saved", "35").first()[0] == 1
-    spark.sql("DROP TABLE tracts_saved")
+    writers.drop_table(spark, "tracts_saved")
     writers.export_csv(df.coalesce(1), str(tmp_path / "out"))
     assert next((tmp_path / "out").glob("*.csv")).read_bytes().startswith(b"\xef\xbb\xbfuf_codigo,x")
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
@@ -266,7 +266,7 @@ def test_listing_and_titles(spark):
 def test_running_pyramid(spark, tmp_path):
     def run():
         stream = live.tract_stream(spark, str(tmp_path / "in"), schema)
-        live.start(live.running_pyramid(stream, ["CD_MUN"]), str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination(60)
+        live.start(live.running_pyramid(stream, ["CD_MUN"]), str(tmp_path / "out"), str(tmp_path / "state"), ["CD_MUN"]).awaitTermination(60)
         return {(r.CD_MUN, r.m_0) for r in live.current(spark, str(tmp_path / "out"), ["CD_MUN"]).collect()}
 
     wide(spark, [("a", "m", {}), ("b", "n", {}), ("d", None, {})]).write.parquet(str(tmp_path / "in"))

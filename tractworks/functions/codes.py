@@ -21,10 +21,19 @@ def normal_name(name: str) -> str:
     return re.sub(r"[^A-Za-z0-9]+", "_", plain).strip("_").upper()
 
 
+#: How a text that may be a number begins; only these are parsed.
+NUMERIC = r"(?i)^[\x00-\x20]*[+-]?(\d|\.\d|inf|nan)"
+
+
 def number(c: str | Column) -> Column:
-    """A double; what is no number, and NaN, is null."""
-    d = col(c).try_cast("double")
-    return F.when(~F.isnan(d), d)
+    """A double; what is no number, and NaN, is null.
+
+    A failing parse costs an exception a cell, so texts that do not begin like a number are not parsed; the guard falls away for
+    columns that hold numbers, as their type is known when the plan is made.
+    """
+    x = col(c)
+    d = F.when((F.typeof(x) != "string") | x.cast("string").rlike(NUMERIC), x.try_cast("double"))
+    return F.nanvl(d, F.lit(None).cast("double"))
 
 
 def whole(c: str | Column) -> Column:

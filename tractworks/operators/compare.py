@@ -1,8 +1,8 @@
 """Places compared with the region they belong to.
 
 A municipality's comparator is its metropolitan region, else its urban agglomeration, else its immediate region, else the whole
-state; it holds all municipalities of that region, whatever their own comparators are. Everything comes from one row of sums
-per municipality, so the tracts are read once.
+state; it holds all tracts of that region, whatever the comparators of their municipalities are. Everything comes from one row of
+sums per municipality, with a part for each set of regions its tracts name, so the tracts are read once.
 """
 
 from __future__ import annotations
@@ -24,17 +24,21 @@ def regions(rm: Column, au: Column, immediate: Column) -> list[Column]:
 
 
 def municipal(wide: DataFrame) -> DataFrame:
-    """CD_MUN, comparador, regioes, masculino, feminino: per municipality its regions and its people by band, in band order.
+    """CD_MUN, comparador, masculino, feminino, partes: per municipality its people by band, in band order, and its parts.
 
-    Names are the smallest of the municipality's rows.
+    A part is (regioes, masculino, feminino): the tracts of the municipality that name the same regions. Mostly there is one; where tracts
+    of a municipality name different regions, each region gets the people of its own tracts. The comparator is by the smallest names.
     """
     columns = {(sex, k): name for name, sex, _, k in age_columns(wide.columns)}
     sums = {(s, k): F.sum(cell(columns[s, k])).alias(f"__{s[0]}{k}") for s in SEXES for k in range(len(BANDS)) if (s, k) in columns}
-    pick = lambda c: F.min(c) if c in wide.columns else F.lit(None).cast("string")
-    one = wide.groupBy("CD_MUN").agg(*sums.values(), pick("RM_NOME").alias("__rm"), pick("AU_NOME").alias("__au"), pick("NM_RGI").alias("__rgi"))
-    names = (F.col("__rm"), F.col("__au"), F.col("__rgi"))
+    label = lambda c, name: (F.col(c).cast("string") if c in wide.columns else F.lit(None).cast("string")).alias(name)
+    labels = ("__rm", "__au", "__rgi")
+    one = wide.groupBy("CD_MUN", *map(label, ("RM_NOME", "AU_NOME", "NM_RGI"), labels)).agg(*sums.values())
     bands = lambda s: F.array(*(F.col(f"__{s[0]}{k}") if (s, k) in sums else F.lit(0).cast("bigint") for k in range(len(BANDS)))).alias(s.lower())
-    return one.select("CD_MUN", comparator(*names).alias("comparador"), F.array_compact(F.array(*regions(*names))).alias("regioes"), *map(bands, SEXES))
+    parts = one.select("CD_MUN", *labels, F.array_compact(F.array(*regions(*map(F.col, labels)))).alias("regioes"), *map(bands, SEXES))
+    total = lambda s: F.array(*(F.sum(F.col(s.lower())[k]) for k in range(len(BANDS)))).alias(s.lower())
+    whole = parts.groupBy("CD_MUN").agg(*map(total, SEXES), *(F.min(c).alias(c) for c in labels), F.collect_list(F.struct("regioes", *(s.lower() for s in SEXES))).alias("partes"))
+    return whole.select("CD_MUN", comparator(*map(F.col, labels)).alias("comparador"), *(s.lower() for s in SEXES), "partes")
 
 
 def comparator_keys(wide: DataFrame) -> DataFrame:
@@ -42,9 +46,9 @@ def comparator_keys(wide: DataFrame) -> DataFrame:
 
 
 def region_sums(places: DataFrame) -> DataFrame:
-    """comparador, totals: people by band of every region that a row of :func:`municipal` names."""
-    total = F.zip_with("masculino", "feminino", lambda m, f: m + f)
-    rows = places.select(F.explode("regioes").alias("comparador"), total.alias("t"))
+    """comparador, totals: people by band of every region that a part of :func:`municipal` names."""
+    total = F.zip_with("p.masculino", "p.feminino", lambda m, f: m + f)
+    rows = places.select(F.explode("partes").alias("p")).select(F.explode("p.regioes").alias("comparador"), total.alias("t"))
     sums = rows.groupBy("comparador").agg(*(F.sum(F.col("t")[k]).alias(f"__{k}") for k in range(len(BANDS))))
     return sums.select("comparador", F.array(*(F.col(f"__{k}") for k in range(len(BANDS)))).alias("totals"))
 

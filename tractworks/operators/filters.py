@@ -98,11 +98,18 @@ def widened(df: DataFrame, scope: DataFrame) -> DataFrame:
     return rows.join(places, "__key", "left_semi").select(*(F.col(f"`{c}`") for c in df.columns))
 
 
-def included_excluded(scope: DataFrame, chosen: DataFrame, value: str, place: str = "CD_MUN") -> DataFrame:
-    """Per place the values that a selection keeps and leaves out, and whether it is a true subset."""
-    have = scope.groupBy(place).agg(F.collect_set(value).alias("all"))
-    kept = chosen.groupBy(place).agg(F.collect_set(value).alias("kept"))
-    both = have.join(kept, place, "left").withColumn("kept", F.coalesce("kept", F.expr("cast(array() as array<string>)")))
-    included = F.array_sort(F.array_intersect("all", "kept"))
-    excluded = F.array_sort(F.array_except("all", "kept"))
-    return both.select(place, included.alias("included"), excluded.alias("excluded"), (F.size(excluded) > 0).alias("is_subset"))
+def included_excluded(rows: DataFrame, kept: Column, code: str, labels: dict[int, str], place: str = "CD_MUN") -> DataFrame:
+    """Per place the labels of a code that a selection keeps and leaves out, and whether it is a true subset.
+
+    ``kept`` says whether the selection keeps a row (null: no). Codes become bits of one number (``labels`` has at most 63 of them, other
+    codes do not count), so one pass over the rows ors two numbers a place. Places without a known code have no row.
+    """
+    codes = sorted(labels)
+    if len(codes) > 63:
+        raise ValueError("more codes than bits")
+    bit = F.coalesce(*(F.when(whole(code) == c, F.lit(1 << k)) for k, c in enumerate(codes)))
+    both = rows.groupBy(place).agg(F.bit_or(bit).alias("__all"), F.bit_or(F.when(kept, bit)).alias("__kept")).where("__all is not null")
+    has = lambda bits: F.array_sort(F.array_compact(F.array(*(F.when(bits.bitwiseAND(F.lit(1 << k)) != 0, F.lit(labels[c])) for k, c in enumerate(codes)))))
+    held = F.coalesce(F.col("__kept"), F.lit(0))
+    left = F.col("__all").bitwiseAND(F.bitwise_not(held))
+    return both.select(place, has(held).alias("included"), has(left).alias("excluded"), (left != 0).alias("is_subset"))

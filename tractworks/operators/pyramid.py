@@ -61,6 +61,19 @@ def pyramid(wide: DataFrame, keys: Sequence[str | Column]) -> DataFrame:
     return sums.select(*_rows([F.col(f"`{c}`") for c in names], [(F.col(f"__{i}"), s, b, k) for i, (_, s, b, k) in enumerate(cells)]))
 
 
+def by_levels(wide: DataFrame, places: dict[str, Column]) -> DataFrame:
+    """level, place, idade_grupo, ord, sexo, valor: the pyramids of all levels from one pass over the tracts.
+
+    A tract's row stands for its place on each level; tasks sum these before the one shuffle, so that what moves is a row per place,
+    level and task. ``places`` names each level's place; null places are a place, as in :func:`pyramid`.
+    """
+    cells = age_columns(wide.columns)
+    at = F.array(*(F.struct(F.lit(level).alias("level"), place.cast("string").alias("place")) for level, place in places.items()))
+    rows = wide.select(*(cell(n).alias(f"__{i}") for i, (n, _, _, _) in enumerate(cells)), F.inline(at))
+    sums = rows.groupBy("level", "place").agg(*(F.sum(f"__{i}").alias(f"__{i}") for i in range(len(cells))))
+    return sums.select(*_rows([F.col("level"), F.col("place")], [(F.col(f"__{i}"), s, b, k) for i, (_, s, b, k) in enumerate(cells)]))
+
+
 def sum_by_sex_and_band(long: DataFrame, keys: Sequence[str], drop_null: bool = True) -> DataFrame:
     """Long tables: sums by keys, band and sex; rows with a null key go, or are a place of their own."""
     by = [*keys, "idade_grupo", "sexo"]

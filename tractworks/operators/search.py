@@ -31,6 +31,12 @@ def packed(rows: DataFrame, id_col: str, vector_col: str, size: int) -> DataFram
     return rows.select(id_col, vector_col).mapInArrow(run, schema)
 
 
+def matrix(lists: pa.Array) -> np.ndarray:
+    """Vectors of one length as rows of doubles."""
+    flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    return flat.reshape(len(lists), -1) if len(lists) else np.empty((0, 0))
+
+
 def distances(v: np.ndarray, q: np.ndarray, metric: str) -> np.ndarray:
     """Distances of all pairs by one matrix product; good to rounding errors."""
     if metric == "cosine":
@@ -50,17 +56,11 @@ def at_length_one(x: np.ndarray) -> np.ndarray:
     return np.where(size > 0, x / np.where(size > 0, size, 1), x)
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, metric: str = "l2", normalise: bool = False, id_col: str = "vec_id", vector_col: str = "embedding", query_id: str = "qid", query_vector: str = "qvec") -> DataFrame:
-    """Per query the ``k`` nearest vectors, ties by id: query id, id, distance, rank.
+def best_of_blocks(pairs: DataFrame, k: int, metric: str, unit: bool, query_kind: T.DataType, id_kind: T.DataType, query_id: str, id_col: str) -> DataFrame:
+    """(query, id, distance): the ``k`` nearest of each query in each pair of blocks (ids, n, data, qids, qn, qdata).
 
-    Both sides are packed into blocks, and each block of vectors meets each block of queries: that is the whole search, a matrix
-    product per pair, of which a task keeps the ``k`` best of each query (found with a margin for rounding, within which distances
-    are computed again exactly). Spark broadcasts a side only if it has measured it as small.
+    A matrix product finds them with a margin for rounding; distances within it are computed again exactly.
     """
-    if metric not in ("l2", "cosine"):
-        raise ValueError("metric is l2 or cosine")
-    unit = normalise or metric == "cosine"
-    pairs = packed(vectors, id_col, vector_col, VECTORS).toDF("ids", "n", "data").join(packed(queries, query_id, query_vector, QUERIES).toDF("qids", "qn", "qdata"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -86,7 +86,21 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, metric: str = "l
                 row, at, out = row[nth < k], at[nth < k], out[nth < k]
                 yield pa.RecordBatch.from_arrays([qids.take(pa.array(row)), ids.take(pa.array(at)), pa.array(out)], names=[query_id, id_col, "distance"])
 
-    schema = T.StructType([T.StructField(query_id, queries.schema[query_id].dataType), T.StructField(id_col, vectors.schema[id_col].dataType), T.StructField("distance", T.DoubleType())])
-    best = pairs.mapInArrow(run, schema)
+    schema = T.StructType([T.StructField(query_id, query_kind), T.StructField(id_col, id_kind), T.StructField("distance", T.DoubleType())])
+    return pairs.mapInArrow(run, schema)
+
+
+def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, metric: str = "l2", normalise: bool = False, id_col: str = "vec_id", vector_col: str = "embedding", query_id: str = "qid", query_vector: str = "qvec") -> DataFrame:
+    """Per query the ``k`` nearest vectors, ties by id: query id, id, distance, rank.
+
+    Both sides are packed into blocks, and each block of vectors meets each block of queries: that is the whole search, a matrix
+    product per pair, of which a task keeps the ``k`` best of each query (found with a margin for rounding, within which distances
+    are computed again exactly). Spark broadcasts a side only if it has measured it as small.
+    """
+    if metric not in ("l2", "cosine"):
+        raise ValueError("metric is l2 or cosine")
+    unit = normalise or metric == "cosine"
+    pairs = packed(vectors, id_col, vector_col, VECTORS).toDF("ids", "n", "data").join(packed(queries, query_id, query_vector, QUERIES).toDF("qids", "qn", "qdata"))
+    best = best_of_blocks(pairs, k, metric, unit, queries.schema[query_id].dataType, vectors.schema[id_col].dataType, query_id, id_col)
     rank = F.row_number().over(Window.partitionBy(query_id).orderBy("distance", id_col))
     return best.withColumn("rank", rank).where(F.col("rank") <= k).select(query_id, id_col, "distance", "rank")

@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 from tractworks import api
 from tractworks.functions import codes, text
 from tractworks.household_groups import HOUSEHOLD_GROUPS
-from tractworks.operators import catalog, compare, filters, household, indicators, normalize, pyramid, quality, regions, search
-from tractworks.plans.views import GROUPS, HOUSEHOLD_COLUMNS, SQL_PEOPLE, SQL_TRACTS, households, people, raw_tracts, scratch, table, tracts, wide_households
-from tractworks.sources.readers import column_map, of_state, pyramid_columns, region_composition, reshape_statistics
-from tractworks.sources.writers import export_profile, save_table
+from tractworks.operators import catalog, compare, filters, household, indicators, normalize, pyramid, quality, regions, search, vector_index
+from tractworks.plans.views import GROUPS, HOUSEHOLD_COLUMNS, SQL_PEOPLE, SQL_TRACTS, households, people, raw_tracts, table, tracts, wide_households
+from tractworks.sources import storage
+from tractworks.sources.readers import column_map, of_state, pyramid_columns, read_statistics, region_composition, reshape_statistics
+from tractworks.sources.storage import scratch
+from tractworks.sources.writers import drop_table, export_profile, reload_partitions, save_table
 from tractworks.streaming import live
 from tractworks.vocabulary import BANDS, SITUATIONS, TRACT_TYPES, VARIABLES, WHOLE_STATE
 
@@ -51,6 +53,14 @@ def scan_state_filter(spark, d):
     return wide.groupBy("CD_MUN").agg(F.count(F.lit(1)).alias("setores"), F.sum("V0001").alias("pessoas"))
 
 
+@query(T + "SELECT s AS \"CD_UF\", least(count(uf), n)::BIGINT AS setores FROM (VALUES ('35', 40), ('33', 3), ('99', 5)) x(s, n) LEFT JOIN t ON uf = s GROUP BY s, n")
+def scan_state_limit(spark, d):
+    """Rows of each state, limited as asked; which rows is open, how many is not."""
+    raw = raw_tracts(spark, d)
+    counts = [of_state(raw, state, n).agg(F.lit(state).alias("CD_UF"), F.count(F.lit(1)).alias("setores")) for state, n in (("35", 40), ("33", 3), ("99", 5))]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+
+
 @query(T + "SELECT uf AS \"CD_UF\", count(*)::BIGINT AS n FROM t GROUP BY 1")
 def state_counts(spark, d):
     return tracts(spark, d).groupBy("CD_UF").agg(F.count(F.lit(1)).alias("n"))
@@ -124,16 +134,30 @@ def pyramid_csv_columns(spark, d):
     return pyramid.sum_by_sex_and_band(pyramid_columns(raw), [])
 
 
-@query(
-    "SELECT CASE WHEN c_custkey % 2 = 0 THEN 'Homens' ELSE 'Total' END AS sexo, CASE WHEN c_custkey % 2 = 0 THEN '0 a 4 anos' ELSE 'Homens' END AS idade_grupo, CASE WHEN c_custkey % 3 <> 0 THEN c_custkey::DOUBLE END AS valor, c_custkey::VARCHAR AS cod, c_name AS nome FROM customer"
-)
-def statistics_reshape(spark, d):
+_STATISTICS = "SELECT CASE WHEN c_custkey % 2 = 0 THEN 'Homens' ELSE 'Total' END AS sexo, CASE WHEN c_custkey % 2 = 0 THEN '0 a 4 anos' ELSE 'Homens' END AS idade_grupo, CASE WHEN c_custkey % 3 <> 0 THEN c_custkey::DOUBLE END AS valor, c_custkey::VARCHAR AS cod, {nome} AS nome FROM customer"
+
+
+def _responses(spark, d, name):
     """Responses of up to a thousand customers, each a header and an item a customer."""
     key = F.col("c_custkey")
-    item = F.struct(key.cast("string").alias("D1C"), F.col("c_name").alias("D1N"), F.lit("Homens").alias("D2N"), F.when(key % 2 == 0, "0 a 4 anos").alias("D3N"), F.when(key % 3 == 0, "...").otherwise(key.cast("string")).alias("V"))
+    item = F.struct(key.cast("string").alias("D1C"), name.alias("D1N"), F.lit("Homens").alias("D2N"), F.when(key % 2 == 0, "0 a 4 anos").alias("D3N"), F.when(key % 3 == 0, "...").otherwise(key.cast("string")).alias("V"))
     header = F.struct(F.lit("Cod").alias("D1C"), F.lit("Nome").alias("D1N"), F.lit("Sexo").alias("D2N"), F.lit("Idade").alias("D3N"), F.lit("Valor").alias("V"))
     responses = table(spark, d, "customer").groupBy(F.floor(key / 1000).alias("response")).agg(F.collect_list(item).alias("items"))
-    return reshape_statistics(responses.select(F.to_json(F.concat(F.array(header), "items")).alias("value")))
+    return responses.select(F.to_json(F.concat(F.array(header), "items")).alias("value"))
+
+
+@query(_STATISTICS.format(nome="c_name"))
+def statistics_reshape(spark, d):
+    return reshape_statistics(_responses(spark, d, F.col("c_name")))
+
+
+@query(_STATISTICS.format(nome="CASE WHEN c_custkey % 50 = 7 THEN c_name || '}, {\"' ELSE c_name END"))
+def statistics_elements(spark, d):
+    """Responses in files, read element by element; some names hold what stands between elements."""
+    path = scratch(spark)
+    name = F.when(F.col("c_custkey") % 50 == 7, F.concat("c_name", F.lit('}, {"'))).otherwise(F.col("c_name"))
+    _responses(spark, d, name).write.text(path)
+    return read_statistics(spark, path)
 
 
 # --- regions -----------------------------------------------------------------------------------------------------------
@@ -206,6 +230,12 @@ for _level, _key in _LEVEL_SQL.items():
     query(T + f"SELECT {_key} AS place, sexo, band AS idade_grupo, ord, sum(valor)::BIGINT AS valor FROM l GROUP BY ALL")(_pyramid_of(_level))
 
 
+@query(T + " UNION ALL ".join(f"SELECT '{level}' AS level, {key} AS place, sexo, band AS idade_grupo, ord, sum(valor)::BIGINT AS valor FROM l GROUP BY ALL" for level, key in _LEVEL_SQL.items()))
+def pyramid_all_levels(spark, d):
+    """The pyramids of all levels in one job with one scan."""
+    return pyramid.by_levels(tracts(spark, d), {level: filters.place_key(level) for level in _LEVEL_SQL})
+
+
 @query(P + "SELECT cd_mun AS \"CD_MUN\", sexo, CASE WHEN idade < 30 THEN (idade // 5 * 5) || ' a ' || (idade // 5 * 5 + 4) || ' anos' WHEN idade < 70 THEN (idade // 10 * 10) || ' a ' || (idade // 10 * 10 + 9) || ' anos' ELSE '70 anos ou mais' END AS idade_grupo, sum(pop)::BIGINT AS valor FROM people GROUP BY ALL")
 def band_rollup_5y(spark, d):
     low = F.floor(F.col("idade") / 5) * 5
@@ -306,6 +336,18 @@ def band_table_delta_urban(spark, d):
     return compare.band_table_with_delta(_by_municipality(spark, d, ["Urbana"]))
 
 
+_SPLIT = "CASE n_regionkey WHEN 2 THEN 'RM Asia' WHEN 3 THEN 'RM Europa' END AS rm"
+
+
+@query((_BAND_MUN + _COMP + _DELTA).replace(_SPLIT, f"CASE WHEN s_suppkey % 5 = 0 THEN 'RM Dividida' ELSE {_SPLIT[:-6]} END AS rm"))
+def band_table_delta_split(spark, d):
+    """Every fifth tract names a region of its own, so municipalities are divided between regions."""
+    raw = raw_tracts(spark, d)
+    tract = F.substring("GEOCODIGO_SETOR_CENSITARIO", 2, 20).cast("bigint")
+    raw = raw.withColumn("RM_NOME", F.when(tract % 5 == 0, "RM Dividida").otherwise(F.col("RM_NOME")))
+    return compare.band_table_with_delta(compare.municipal(regions.unified(normalize.normalized(raw))))
+
+
 # --- filters -----------------------------------------------------------------------------------------------------------
 
 
@@ -361,8 +403,7 @@ def canonical_bands_only(spark, d):
 @query(T + f"""SELECT cd_mun AS "CD_MUN", coalesce(list_sort(list(DISTINCT x) FILTER (k)), []::VARCHAR[]) AS included, coalesce(list_sort(list(DISTINCT x) FILTER (NOT k)), []::VARCHAR[]) AS excluded, bool_or(NOT k) AS is_subset
 FROM (SELECT cd_mun, x, bool_or(tipo < 5) OVER (PARTITION BY cd_mun, x) AS k FROM (SELECT cd_mun, {TYPE} AS x, tipo FROM t) WHERE x IS NOT NULL) GROUP BY 1""")
 def included_excluded(spark, d):
-    wide = tracts(spark, d)
-    return filters.included_excluded(wide.where("TP_SETOR_TXT is not null"), filters.by_tract_type(wide, [0, 1, 2, 3, 4]), "TP_SETOR_TXT")
+    return filters.included_excluded(tracts(spark, d), codes.whole("CD_TIPO").isin(0, 1, 2, 3, 4), "CD_TIPO", TRACT_TYPES)
 
 
 @query(T + "SELECT level, n_places::BIGINT AS n_places FROM (SELECT 'state' AS level, 1 AS n_places UNION ALL SELECT 'region', count(DISTINCT reg) FROM t UNION ALL SELECT 'intermediate', count(DISTINCT rgint) FROM t UNION ALL SELECT 'immediate', count(DISTINCT rgi) FROM t UNION ALL SELECT 'municipality', count(DISTINCT cd_mun) FROM t UNION ALL SELECT 'tract', count(DISTINCT cd_setor) FROM t) WHERE n_places > 0")
@@ -434,9 +475,9 @@ def reconcile_tract(spark, d):
     return quality.reconcile(tracts(spark, d), ["CD_SETOR"])
 
 
-@query(T + 'SELECT cd_mun AS "CD_MUN", CASE WHEN count(DISTINCT v0001) = 1 THEN max(v0001) ELSE sum(v0001) END::DOUBLE AS declarado FROM l GROUP BY 1')
+@query(T + 'SELECT cd_mun AS "CD_MUN", CASE WHEN count(DISTINCT v0001) = 1 THEN max(v0001) ELSE sum(v0001) END::DOUBLE AS declarado FROM t GROUP BY 1')
 def declared_totals(spark, d):
-    return quality.declared_total(pyramid.to_long(tracts(spark, d)), ["CD_MUN"])
+    return quality.declared_total(tracts(spark, d), ["CD_MUN"])
 
 
 @query(T + "SELECT cd_mun AS \"CD_MUN\", sum((sup % 7 = 3)::BIGINT)::BIGINT AS com_faltantes, count(*)::BIGINT AS setores, sum((sup % 7 = 3)::BIGINT)::DOUBLE / count(*) * 100 AS pct FROM t GROUP BY 1")
@@ -533,14 +574,35 @@ def external_column_map(spark, d):
     return customers.withColumnsRenamed(renames)
 
 
+def _read_back(spark, name, rows):
+    """``rows`` (read from a saved table) written to a folder of their own, so that the table can be dropped."""
+    path = scratch(spark)
+    rows.write.parquet(path)
+    drop_table(spark, name)
+    return spark.read.parquet(path)
+
+
 @query(T + "SELECT uf AS \"CD_UF\", cd_mun AS \"CD_MUN\", count(*)::BIGINT AS setores FROM t WHERE uf = '35' GROUP BY 1, 2")
 def saved_table(spark, d):
-    """The tract table saved by state in the catalog, each time under a new name; one state's partition read back."""
+    """The tract table saved by state in the catalog, each time under a new name; one state's partition read back, the table dropped."""
     path = scratch(spark)
     name = "tracts_" + path.rpartition("-")[2]
     save_table(tracts(spark, d).select("CD_SETOR", "CD_MUN", "CD_UF", "V0001"), name, path=path)
     rows = spark.table(name).where("CD_UF = '35'")
-    return rows.groupBy(F.col("CD_UF").cast("string").alias("CD_UF"), "CD_MUN").agg(F.count(F.lit(1)).alias("setores"))
+    return _read_back(spark, name, rows.groupBy(F.col("CD_UF").cast("string").alias("CD_UF"), "CD_MUN").agg(F.count(F.lit(1)).alias("setores")))
+
+
+@query(T + "SELECT uf AS \"CD_UF\", cd_mun AS \"CD_MUN\", count(*)::BIGINT AS setores, sum(CASE WHEN uf = '33' THEN v0001 + 1000 ELSE v0001 END)::BIGINT AS pessoas FROM t WHERE uf = '35' OR sup % 2 = 0 GROUP BY 1, 2")
+def reloaded_state(spark, d):
+    """A saved tract table of which one state is loaded again, with fewer tracts and other counts; the others stay as they are."""
+    path = scratch(spark)
+    name = "tracts_" + path.rpartition("-")[2]
+    wide = tracts(spark, d).select("CD_SETOR", "CD_MUN", "CD_UF", "V0001")
+    save_table(wide, name, path=path)
+    again = wide.where("CD_UF = '33' and cast(CD_SETOR as bigint) % 2 = 0").withColumn("V0001", F.col("V0001") + 1000)
+    reload_partitions(again, name)
+    rows = spark.table(name).groupBy(F.col("CD_UF").cast("string").alias("CD_UF"), "CD_MUN").agg(F.count(F.lit(1)).alias("setores"), F.sum("V0001").alias("pessoas"))
+    return _read_back(spark, name, rows)
 
 
 @query(_BAND_MUN + 'SELECT place AS "CD_MUN", idade_grupo, masculino, feminino, total, pct_masculino, pct_feminino, ordem FROM s')
@@ -566,11 +628,13 @@ def municipality_lookup_export(spark, d):
 
 @query(T + 'SELECT cd_mun AS "CD_MUN", ' + ", ".join(f"sum(CASE WHEN sexo = '{s}' AND ord = {k} THEN valor ELSE 0 END)::BIGINT AS {s[0].lower()}_{k}" for s in ("Masculino", "Feminino") for k in range(len(BANDS))) + " FROM l GROUP BY 1")
 def streamed_pyramid(spark, d):
-    """Tract files read as a stream; the sums after the last file are those of the whole table."""
+    """Tract files read as a stream, a file a batch, compacted on the way; the sums after the last file are those of the whole table."""
     top = scratch(spark)
-    tracts(spark, d).write.parquet(f"{top}/tracts")
-    stream = live.tract_stream(spark, f"{top}/tracts", spark.read.parquet(f"{top}/tracts").schema)
-    live.start(live.running_pyramid(stream, ["CD_MUN"]), f"{top}/pyramid", f"{top}/state").awaitTermination()
+    tracts(spark, d).repartition(5).write.parquet(f"{top}/tracts")
+    stream = live.tract_stream(spark, f"{top}/tracts", spark.read.parquet(f"{top}/tracts").schema, files_per_trigger=1)
+    live.start(live.running_pyramid(stream, ["CD_MUN"]), f"{top}/pyramid", f"{top}/state", ["CD_MUN"], compact_every=2).awaitTermination()
+    for done in ("tracts", "state"):
+        storage.remove(spark, f"{top}/{done}")
     return live.current(spark, f"{top}/pyramid", ["CD_MUN"])
 
 
@@ -644,6 +708,20 @@ def place_options(spark, d):
     return catalog.place_options(tracts(spark, d), "NM_RGI")
 
 
+@query(
+    T + ", o AS (SELECT DISTINCT * FROM (" + " UNION ALL ".join(
+        f"SELECT '{level}' AS level, {inside} AS dentro, {place} AS place, {label} AS rotulo, {order} AS ordem FROM t"
+        for level, inside, place, label, order in (
+            ("state", "NULL", "'state'", f"'{WHOLE_STATE}'", "['']"), ("region", "NULL", "reg", "treg || ' — ' || reg", "[treg, reg]"), ("intermediate", "NULL", "rgint", "rgint", "[rgint]"),
+            ("immediate", "NULL", "rgi", "rgi", "[rgi]"), ("municipality", "NULL", "cd_mun", "cd_mun || ' — ' || nm_mun", "[nm_mun, cd_mun]"), ("tract", "cd_mun", "cd_setor", "'Setor ' || cd_setor", "[cd_setor]"),
+        )
+    ) + ") WHERE place IS NOT NULL) SELECT level, dentro, place, rotulo, row_number() OVER (PARTITION BY level, dentro ORDER BY ordem)::INTEGER AS posicao FROM o"
+)
+def level_options(spark, d):
+    """What can be chosen on each level, with its position in the list."""
+    return catalog.level_options(tracts(spark, d))
+
+
 @query(T + f"SELECT DISTINCT cd_setor AS \"CD_SETOR\", 'Setor ' || concat_ws(' — ', cd_setor, {SITUATION}, {TYPE}) AS setor, concat_ws(' — ', cd_mun, nm_mun) AS municipio, concat_ws(' — ', treg, reg) AS regiao, 'Região Imediata — ' || rgi AS imediata FROM t")
 def scope_title(spark, d):
     return catalog.scope_titles(tracts(spark, d))
@@ -680,3 +758,32 @@ def vector_topk_l2(spark, d):
 @query(_nearest_sql("list_cosine_distance(q.embedding::DOUBLE[], v.embedding::DOUBLE[])"))
 def vector_topk_cosine(spark, d):
     return search.nearest(*_queries(spark, d), metric="cosine")
+
+
+def _index_of(spark, d, metric):
+    v, q = _queries(spark, d)
+    unit = metric == "cosine"
+    centroids = vector_index.fit_cells(v, unit=unit)
+    return vector_index.build(v, centroids, unit), centroids, q
+
+
+@query(_nearest_sql("list_distance(q.embedding::DOUBLE[], v.embedding::DOUBLE[])"))
+def vector_index_l2(spark, d):
+    """The nearest of all vectors for certain, by way of the index: cells that cannot hold any are left out."""
+    index, centroids, q = _index_of(spark, d, "l2")
+    return vector_index.search(index, centroids, q, metric="l2", certain=True)
+
+
+@query(_nearest_sql("list_cosine_distance(q.embedding::DOUBLE[], v.embedding::DOUBLE[])"))
+def vector_index_cosine(spark, d):
+    index, centroids, q = _index_of(spark, d, "cosine")
+    return vector_index.search(index, centroids, q, metric="cosine", certain=True)
+
+
+@query("SELECT sum(least(5, n))::BIGINT AS wanted, true AS recall_ok FROM (SELECT q.vec_id, (SELECT count(*) FROM embeddings) AS n FROM embeddings q WHERE q.vec_id % 100 = 0)")
+def vector_index_recall(spark, d):
+    """Whether the probed cells of each query hold nine tenths of the true neighbours, found by the search without an index."""
+    index, centroids, q = _index_of(spark, d, "l2")
+    n = vector_index.probes_for(table(spark, d, "embeddings"), index, centroids)
+    found = vector_index.search(index, centroids, q, metric="l2", n_probes=n)
+    return vector_index.recall(found, vector_topk_l2(spark, d)).select("wanted", (F.col("recall") >= 0.9).alias("recall_ok"))

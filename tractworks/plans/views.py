@@ -6,9 +6,6 @@ part's size the age and its quantity the number of people.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,12 +19,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch(spark: SparkSession) -> str:
-    """A new folder for what a query writes and reads again: under ``spark.checkpoint.dir``, in a local one only where that is unset."""
-    top = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tractworks-")
-    return f"{top.rstrip('/')}/written-{uuid.uuid4().hex}"
-
-
 def people(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CD_SETOR, CD_MUN, NM_MUN, region, sexo, idade, pop, ano: one row per cell."""
     items = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey", "l_linestatus", "l_quantity", "l_shipdate")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,16 +48,17 @@ def read_pyramid(spark: SparkSession, path: str) -> DataFrame:
     return table.withColumn("valor", F.col("valor").try_cast("bigint"))
 
 
-def reshape_statistics(raw: DataFrame, json_col: str = "value") -> DataFrame:
-    """Saved API responses (one JSON array of objects a row, the first one a header) as rows sexo, idade_grupo, valor, cod, nome.
+_ITEM = T.MapType(T.StringType(), T.StringType())
+
+
+def _reshaped(items: DataFrame) -> DataFrame:
+    """Objects in a map column ``r`` as rows sexo, idade_grupo, valor, cod, nome.
 
     Without an age dimension (no D3N and no D4N) sex is ``Total`` and D2N is the age band.
     """
-    items = F.from_json(json_col, T.ArrayType(T.MapType(T.StringType(), T.StringType())))
-    rows = raw.select(F.explode(F.slice(items, 2, 1_000_000_000)).alias("r"))
     r = lambda k: F.col("r")[k]
     age = F.coalesce(r("D3N"), r("D4N"))
-    return rows.select(
+    return items.select(
         F.when(age.isNull(), F.lit("Total")).otherwise(r("D2N")).alias("sexo"),
         F.coalesce(age, r("D2N")).alias("idade_grupo"),
         number(r("V")).alias("valor"),
@@ -66,8 +67,47 @@ def reshape_statistics(raw: DataFrame, json_col: str = "value") -> DataFrame:
     )
 
 
+def reshape_statistics(raw: DataFrame, json_col: str = "value") -> DataFrame:
+    """Saved API responses (one JSON array of objects a row, the first one a header) as rows sexo, idade_grupo, valor, cod, nome."""
+    items = F.from_json(json_col, T.ArrayType(_ITEM))
+    return _reshaped(raw.select(F.explode(F.slice(items, 2, 1_000_000_000)).alias("r")))
+
+
+def array_elements(spark: SparkSession, path: str, skip_first: bool = True) -> DataFrame:
+    """(value): the objects of JSON arrays in files, a row each, without the first of each array (its header).
+
+    Files are cut at closing braces by Spark's text source, so many tasks read one file and no row holds a whole array. A brace
+    inside a text leaves an odd number of quotes before it; where a file has such braces, the running parity of quotes (per part of a
+    file, then over its parts) tells which pieces belong together. Objects are flat, with values of any simple kind; an array may span
+    lines, and a file may hold several.
+    """
+    raw = spark.read.option("lineSep", "}").text(path).select("value", F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"))
+    bare = F.regexp_replace("value", r"\\.", "")
+    rows = raw.withColumn("odd", (F.length(bare) - F.length(F.replace(bare, F.lit('"')))) % 2)
+    if rows.agg(F.max("odd")).first()[0]:  # one number
+        before = Window.partitionBy("f").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+        here = Window.partitionBy("f", "b").orderBy("seq")
+        rows = rows.withColumn("seq", F.monotonically_increasing_id())
+
+        def ahead(counts: DataFrame, c: str) -> DataFrame:
+            """Each part of a file with the sum of ``c`` over the parts before it."""
+            return counts.groupBy("f", "b").agg(F.sum(c).alias("n")).select("f", "b", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("ahead"))
+
+        parity = F.col("ahead") + F.sum("odd").over(here.rowsBetween(Window.unboundedPreceding, 0))
+        ended = rows.join(ahead(rows, "odd"), ["f", "b"]).withColumn("end", (parity + 1) % 2).drop("ahead")
+        nth = F.col("ahead") + F.coalesce(F.sum("end").over(here.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        placed = ended.join(ahead(ended, "end"), ["f", "b"]).withColumn("nth", nth)
+        pieces = F.array_sort(F.collect_list(F.struct("b", "seq", "value")))
+        rows = placed.groupBy("f", "nth").agg(F.array_join(F.transform(pieces, lambda p: p["value"]), "}").alias("value"))
+    lead = F.regexp_extract("value", r"^[\s\ufeff,\[\]]*", 0)
+    kept = rows.where(~lead.contains("[")) if skip_first else rows
+    text = F.substring(F.col("value"), F.length(lead) + 1, F.length("value"))
+    return kept.where(text.startswith("{")).select(F.concat(text, F.lit("}")).alias("value"))
+
+
 def read_statistics(spark: SparkSession, path: str) -> DataFrame:
-    return reshape_statistics(spark.read.text(path, wholetext=True))
+    """Saved API responses in files of any length, element by element, reshaped."""
+    return _reshaped(array_elements(spark, path).select(F.from_json("value", _ITEM).alias("r")))
 
 
 def region_composition(table: DataFrame, kind: str, state: str | None = "SP") -> DataFrame:
