@@ -63,6 +63,8 @@ def around(ids: np.ndarray, at: int, span: int, gram: int) -> tuple[int, bytes]:
 
 CANDIDATE = T.StructType().add("fp", T.LongType()).add("len", T.IntegerType()).add("at", T.IntegerType()).add("before", T.IntegerType()).add("words", T.BinaryType())
 _ARROW = pa.struct([("fp", pa.int64()), ("len", pa.int32()), ("at", pa.int32()), ("before", pa.int32()), ("words", pa.binary())])
+#: An entry that is no candidate.
+ROW = {"fp": 0, "len": 0, "at": 0, "before": 0, "words": b""}
 
 
 def item_fingerprints(items: DataFrame, id_col: str, text_col: str, span: int, gram: int) -> DataFrame:
@@ -99,7 +101,11 @@ def bitmap(found: DataFrame, bits: int) -> np.ndarray:
 
 
 def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", span: int = SPAN, gram: int = GRAM, bitmap_bits: int = BITMAP_BITS) -> DataFrame:
-    """Per row of ``docs``: row (a key within this result), id, n_words, spans of hit words (start, stop), items found."""
+    """Per row of ``docs``: id, n_words, spans of hit words (start, stop), items found.
+
+    A row is known by a hash of its id and text, which a task that runs again gives it again; so rows of one id and text are worked on
+    as one and counted, and each of them is in the result.
+    """
     marks = settle(item_fingerprints(items, item_id, item_text, span, gram))
     bits = docs.sparkSession.sparkContext.broadcast(bitmap(marks, bitmap_bits))
     short = sorted(r[0] for r in marks.where(F.col("len") < span).select("len").distinct().collect())  # under ``span`` values
@@ -112,10 +118,10 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
         hashes = WordHashes()
         for batch in batches:
             counts, lists = [], []
-            for text in batch.column(2).to_pylist():
+            for text in batch.column(3).to_pylist():
                 ids = hashes.of(words_of(text))
                 counts.append(len(ids))
-                out = []
+                out = [ROW]  # stands for the row itself
                 if len(ids) >= span:
                     at, fp = fingerprint_places(ids, span, gram)
                     good = passes(fp)
@@ -127,25 +133,26 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
                     for a in np.flatnonzero(passes(h)).tolist():
                         out.append({"fp": int(h[a].view(np.int64)), "len": n, "at": a, "before": 0, "words": ids[a : a + n].tobytes()})
                 lists.append(out)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(counts, pa.int64()), pa.array(lists, pa.list_(_ARROW))], names=["row", "id", "n_words", "found"])
-
-    schema = T.StructType([T.StructField("row", T.LongType()), T.StructField("id", docs.schema[id_col].dataType), T.StructField("n_words", T.LongType()), T.StructField("found", T.ArrayType(CANDIDATE))])
-    seen = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text")).mapInArrow(lean(run), schema)
-    hits = seen.select("row", "id", "n_words", F.explode_outer("found").alias("c"))
-    # rows without a candidate get keys of their own, so that they don't meet in one task
-    hits = hits.select("row", "id", "n_words", F.coalesce("c.len", F.lit(0)).alias("len"), F.coalesce("c.fp", F.xxhash64("row")).alias("fp"), F.col("c.at").alias("at"), F.col("c.before").alias("before"), F.col("c.words").alias("words"))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(counts, pa.int64()), pa.array(lists, pa.list_(_ARROW))], names=["key", "tag", "id", "n_words", "found"])
+
+    schema = T.StructType([T.StructField("key", T.LongType()), T.StructField("tag", T.IntegerType()), T.StructField("id", docs.schema[id_col].dataType), T.StructField("n_words", T.LongType()), T.StructField("found", T.ArrayType(CANDIDATE))])
+    row = ["key", "tag"]
+    seen = docs.select(*(c.alias(n) for c, n in zip(row_keys(docs, id_col, text_col), row, strict=True)), F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text")).mapInArrow(lean(run), schema)
+    hits = seen.select(*row, "id", "n_words", F.explode("found").alias("c"))
+    # what stands for a row has a key of its own, so that these don't meet in one task
+    hits = hits.select(*row, "id", "n_words", "c.len", F.when(F.col("c.len") > 0, F.col("c.fp")).otherwise(F.xxhash64(*row)).alias("fp"), "c.at", "c.before", "c.words")
     # a passage that many items share is one context: documents meet it once, its items come in after the hits are verified
     context = F.xxhash64("fp", "len", "before", "words")
     theirs = marks.select("fp", "len", context.alias("context"), F.col("before").alias("item_before"), F.col("words").alias("item_words")).distinct()
-    joined = hits.join(theirs, ["fp", "len"], "left").select("row", "id", "n_words", "len", "at", "before", "words", "context", "item_before", "item_words")
+    joined = hits.join(theirs, ["fp", "len"], "left").select(*row, "id", "n_words", "len", "at", "before", "words", "context", "item_before", "item_words")
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             cols = [c.to_pylist() for c in batch.columns]
             starts, stops, item = [], [], []
-            for n, at, before, words, key, their_before, theirs in zip(*cols[3:], strict=True):
+            for n, at, before, words, key, their_before, theirs in zip(*cols[4:], strict=True):
                 start = stop = who = None
-                if words is not None and theirs is not None:
+                if n > 0 and theirs is not None:
                     if n < span:
                         if words == theirs:
                             start, stop, who = at, at + n, key
@@ -164,20 +171,24 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
                 starts.append(start)
                 stops.append(stop)
                 item.append(who)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(starts, pa.int32()), pa.array(stops, pa.int32()), pa.array(item, pa.int64())], names=["row", "id", "n_words", "start", "stop", "context"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(starts, pa.int32()), pa.array(stops, pa.int32()), pa.array(item, pa.int64())], names=["key", "tag", "id", "n_words", "len", "start", "stop", "context"])
 
-    out = T.StructType([*schema.fields[:3], T.StructField("start", T.IntegerType()), T.StructField("stop", T.IntegerType()), T.StructField("context", T.LongType())])
+    out = T.StructType([*schema.fields[:4], T.StructField("len", T.IntegerType()), T.StructField("start", T.IntegerType()), T.StructField("stop", T.IntegerType()), T.StructField("context", T.LongType())])
     hit = F.when(F.col("start").isNotNull(), F.struct("start", "stop"))
-    found = joined.mapInArrow(lean(extend), out).withColumn("context", F.coalesce("context", F.xxhash64(F.lit("none"), F.col("row"))))
+    found = joined.mapInArrow(lean(extend), out).groupBy(*row).agg(F.first("id").alias("id"), F.first("n_words").alias("n_words"), F.collect_set(hit).alias("spans"), F.collect_set("context").alias("contexts"), F.count(F.when(F.col("len") == 0, 1)).alias("copies"))
+    # each context of a row meets its items once
     whose = marks.select(context.alias("context"), "item").distinct()
-    return found.join(whose, "context", "left").groupBy("row").agg(F.first("id").alias("id"), F.first("n_words").alias("n_words"), F.collect_set(hit).alias("spans"), F.collect_set("item").alias("items"))
+    named = found.where("size(contexts) > 0").select(*row, F.explode("contexts").alias("context")).join(whose, "context").groupBy(*row).agg(F.collect_set("item").alias("items"))
+    none = F.array().cast(T.ArrayType(items.schema[item_id].dataType))
+    rows = found.join(named, row, "left").withColumn("items", F.coalesce("items", none))
+    return rows.select("id", "n_words", "spans", "items", F.explode(F.sequence(F.lit(1), "copies")).alias("copy")).drop("copy")
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_percent: int = 5, **options) -> DataFrame:
-    """Per row: row, id, n_words, n_hit, items (sorted as text), contaminated (hit words are ``least_percent`` or more)."""
+    """Per row: id, n_words, n_hit, items (sorted as text), contaminated (hit words are ``least_percent`` or more)."""
     found = matches(docs, items, id_col, text_col, **options)
     n_hit = F.size(F.array_distinct(F.flatten(F.transform("spans", lambda s: F.sequence(s["start"], s["stop"] - 1))))).cast("long")
-    out = found.select("row", F.col("id").alias(id_col), "n_words", n_hit.alias("n_hit"), F.array_sort(F.transform("items", lambda x: x.cast("string"))).alias("items"))
+    out = found.select(F.col("id").alias(id_col), "n_words", n_hit.alias("n_hit"), F.array_sort(F.transform("items", lambda x: x.cast("string"))).alias("items"))
     return out.withColumn("contaminated", (F.col("n_hit") > 0) & (100 * F.col("n_hit") >= least_percent * F.col("n_words")))
 
 
