@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import corpus_pipeline
 import pytest
+from pyspark.sql import functions as F
 from tests.llm import brute
 
 from tractworks.llm import quality_rules
+from tractworks.llm.common import settle
 
 DIR = "/root/testdata/sf0.001"
 
@@ -52,3 +54,18 @@ def test_stages_take_odd_rows(spark):
     for frame in (spark.createDataFrame(rows, schema), spark.createDataFrame([], schema)):
         for _, stage in corpus_pipeline.STAGES:
             assert stage(spark, frame, DIR).count() <= frame.count()
+
+
+def test_stages_leave_names_of_their_own_alone(spark):
+    """Extra columns come through all stages as they went in, whatever they are called; the other columns do not depend on them."""
+    names = ["__key", "__tag", "__spans", "__root", "__KEY_", "__text", "row", "key", "tag", "spans", "found", "kept", "piece_id"]
+    plain = spark.read.parquet(f"{DIR}/documents.parquet").limit(120)
+    plain = spark.createDataFrame(plain.collect(), plain.schema)
+    extra = plain.select("*", *(F.concat(F.lit(f"{n} "), F.col("doc_id").cast("string")).alias(n) for n in names))
+    for name, stage in corpus_pipeline.STAGES:
+        a, b = settle(stage(spark, plain, DIR)), settle(stage(spark, extra, DIR))
+        assert b.columns == [*plain.columns, *names, *a.columns[len(plain.columns) :]], name
+        rows = b.collect()
+        assert all(r[n] == f"{n} {r.doc_id}" for r in rows for n in names)
+        assert sorted(map(str, b.select(*a.columns).collect())) == sorted(map(str, a.collect()))
+        plain, extra = a, b

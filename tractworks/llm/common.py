@@ -58,6 +58,14 @@ def row_keys(docs: DataFrame, id_col: str, text_col: str) -> tuple[Column, Colum
     return F.coalesce(own, F.xxhash64(F.lit("none"), F.col(text_col))), F.hash(F.col(text_col), F.col(id_col))
 
 
+def free_name(name: str, *frames: DataFrame) -> str:
+    """``name``, lengthened until no frame has a column of that name in any case."""
+    taken = {c.lower() for f in frames for c in f.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 #: Bytes of a batch that are worked on at a time, and bytes after which freed memory goes back to the system.
 SLICE_BYTES, TRIM_BYTES = 4 << 20, 64 << 20
 

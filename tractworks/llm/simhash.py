@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tractworks.llm.common import lean, read, row_keys, settle
+from tractworks.llm.common import free_name, lean, read, row_keys, settle
 
 #: The bits of an XXH64 with this seed.
 _hash = partial(xxhash.xxh64_intdigest, seed=42)
@@ -154,11 +154,13 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """One row of each component: the one of the smallest id (rows without one come last) and, of rows of that id, the smallest key."""
-    keyed = docs.withColumn("__key", F.struct(*(c.alias(n) for c, n in zip(row_keys(docs, id_col, text_col), ("key", "tag"), strict=True))))
-    rank = F.struct(F.col(id_col).isNull().alias("last"), F.col(id_col).alias("id"), F.col("__key").alias("key"))
+    own = free_name("__key", docs)
+    keyed = docs.withColumn(own, F.struct(*(c.alias(n) for c, n in zip(row_keys(docs, id_col, text_col), ("key", "tag"), strict=True))))
+    rank = F.struct(F.col(id_col).isNull().alias("last"), F.col(id_col).alias("id"), F.col(own).alias("key"))
     found = components(keyed.select(rank.alias("__rank"), F.col(text_col).alias("__text")), "__rank", "__text", **options)
-    roots = found.select(F.col("component.key").alias("__root")).distinct()
-    return keyed.join(roots, keyed["__key"] == roots["__root"], "left_semi").dropDuplicates(["__key"]).drop("__key")
+    root = free_name("__root", keyed)
+    roots = found.select(F.col("component.key").alias(root)).distinct()
+    return keyed.join(roots, F.col(own) == F.col(root), "left_semi").dropDuplicates([own]).drop(own)
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tractworks.llm.common import PrefixSums, in_blocks, lean, mixed, read, row_keys, settle, union_length
+from tractworks.llm.common import PrefixSums, free_name, in_blocks, lean, mixed, read, row_keys, settle, union_length
 
 THRESHOLD = 200
 DIGIT = 64
@@ -211,15 +211,17 @@ def cut(text: bytes, spans: list) -> tuple[bytes, list[tuple[int, int]]]:
 
 
 def with_spans(docs: DataFrame, id_col: str, text_col: str, **options) -> DataFrame:
-    """``docs`` with a column ``__spans``."""
+    """``docs`` with one column more, the last: its spans."""
     key, tag = row_keys(docs, id_col, text_col)
-    spans = repeated_bytes(docs, id_col, text_col, **options).select(F.col("key").alias("__key"), F.col("tag").alias("__tag"), F.col("spans").alias("__spans"))
-    return docs.join(spans, (key == spans["__key"]) & (tag == spans["__tag"]), "left").drop("__key", "__tag")
+    own = [free_name(n, docs) for n in ("__key", "__tag", "__spans")]
+    spans = repeated_bytes(docs, id_col, text_col, **options).select("key", "tag", "spans").toDF(*own)
+    return docs.join(spans, (key == F.col(own[0])) & (tag == F.col(own[1])), "left").drop(*own[:2])
 
 
 def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """Per row: id, n_bytes, n_removed, n_spans, kept (the remaining bytes)."""
-    rows = with_spans(docs.select(id_col, text_col), id_col, text_col, **options).select(F.col(id_col), F.col(text_col).cast("binary"), "__spans")
+    rows = with_spans(docs.select(id_col, text_col), id_col, text_col, **options)
+    rows = rows.select(F.col(id_col), F.col(text_col).cast("binary"), rows.columns[-1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -240,7 +242,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     rows = with_spans(docs, id_col, text_col, **options)
     names = docs.columns
-    at, spans = names.index(text_col), rows.columns.index("__spans")
+    at, spans = names.index(text_col), len(names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
