@@ -176,12 +176,12 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
     out = T.StructType([*schema.fields[:4], T.StructField("len", T.IntegerType()), T.StructField("start", T.IntegerType()), T.StructField("stop", T.IntegerType()), T.StructField("context", T.LongType())])
     hit = F.when(F.col("start").isNotNull(), F.struct("start", "stop"))
     found = joined.mapInArrow(lean(extend), out).groupBy(*row).agg(F.first("id").alias("id"), F.first("n_words").alias("n_words"), F.collect_set(hit).alias("spans"), F.collect_set("context").alias("contexts"), F.count(F.when(F.col("len") == 0, 1)).alias("copies"))
-    # each context of a row meets its items once
+    # each context of a row meets its items once; rows without one have a key of their own
     whose = marks.select(context.alias("context"), "item").distinct()
-    named = found.where("size(contexts) > 0").select(*row, F.explode("contexts").alias("context")).join(whose, "context").groupBy(*row).agg(F.collect_set("item").alias("items"))
-    none = F.array().cast(T.ArrayType(items.schema[item_id].dataType))
-    rows = found.join(named, row, "left").withColumn("items", F.coalesce("items", none))
-    return rows.select("id", "n_words", "spans", "items", F.explode(F.sequence(F.lit(1), "copies")).alias("copy")).drop("copy")
+    held = [c for c in found.columns if c not in (*row, "contexts")]
+    each = found.select(*row, *held, F.explode_outer("contexts").alias("context")).withColumn("context", F.coalesce("context", F.xxhash64(F.lit("none"), *row)))
+    rows = each.join(whose, "context", "left").groupBy(*row).agg(*(F.first(c).alias(c) for c in held), F.collect_set("item").alias("items"))
+    return rows.select("id", "n_words", "spans", "items", F.explode(F.sequence(F.lit(1).cast("bigint"), "copies")).alias("copy")).drop("copy")
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_percent: int = 5, **options) -> DataFrame:
