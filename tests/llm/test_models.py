@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+import re
 import struct
 import time
 import zlib
@@ -12,6 +13,7 @@ from collections import Counter
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from tests.llm.held_out_pages import NINE, generated
 from tests.llm.pages import PAGES
 
 from tractworks.llm import brown_lm, html_extract, language_id, quality_classifier
@@ -372,6 +374,31 @@ def test_hand_made_pages(labeller, name):
     assert " ".join(b.text for b, m in zip(blocks, marks, strict=True) if m) == text
 
 
+def extracted(labeller, page):
+    blocks = html_extract.blocks_of(page)
+    return " ".join(b.text for b, m in zip(blocks, labeller.label([html_extract.vectors(blocks)])[0], strict=True) if m)
+
+
+@pytest.mark.parametrize("name", sorted(NINE))
+def test_held_out_pages(labeller, name):
+    page, text = NINE[name]
+    assert extracted(labeller, page) == text
+
+
+def test_held_out_layouts(labeller):
+    pages = generated(7) + generated(8)
+    assert sum(extracted(labeller, page) == text for page, text in pages) >= 0.9 * len(pages)
+
+
+def test_training_phrases_are_no_test_phrases():
+    plain = lambda t: re.sub(r"\d+", "#", t).strip().lower()
+    stock = {plain(x.replace("{y}", "2000")) for xs in html_extract.STOCK.values() for x in xs.split("|")}
+    for page, text in [*PAGES.values(), *NINE.values(), *generated(7), *generated(8)]:
+        assert not stock & {plain(b.text) for b in html_extract.blocks_of(page)}, page
+        assert not stock & {plain(t) for t in text.split(". ")}
+
+
+
 def test_all_templates_are_in_the_sample(spark):
     rows = [(f'<div class="a"><p>{i}</p></div>',) for i in range(300)] + [("<ul><li>x</li></ul>",)] * 5 + [(None,), ("",)]
     got = html_extract.chosen_pages(spark.createDataFrame(rows, "html string"), "html", 20)

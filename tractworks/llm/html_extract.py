@@ -38,7 +38,7 @@ PATH_DIM, WORD_DIM, NUMBERS = 256, 64, 10
 DIM = PATH_DIM + WORD_DIM + NUMBERS
 HIDDEN = 20
 #: Bounds of the fit: pages in the sample, pages laid out from it, and training.
-SAMPLE, PAGES, STEPS, BATCH = 160, 1200, 320, 16
+SAMPLE, PAGES, STEPS, BATCH = 160, 1600, 520, 16
 CELLS = 4096
 
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img input ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
@@ -370,22 +370,25 @@ def padded(xs: list[np.ndarray], ys: list[np.ndarray]) -> tuple[np.ndarray, np.n
     return x, mask, y
 
 
-#: What menus, notices, adverts, forms, comments and footers commonly say (training text).
+#: What menus, notices, adverts, forms, comments and footers commonly say (training text; no string of a test page is among it).
 STOCK = {
-    "nav": "Home|About|Contact|News|Sport|Login|Products|Services|Blog|Help|FAQ|Shop|Start|Kontakt|Über uns|Accueil|Contacto|Inicio|Início|Notícias|Impressum|Archive|Sitemap|Privacy|Terms",
-    "header": "Site|My site|Daily news|The weekly|Welcome|Willkommen|Bienvenue|Bienvenidos|Latest news for you|Your guide to the city",
-    "footer": "Copyright {y} Site|© {y} Example|© {y} Example GmbH|Copyright (c) {y} by the author|© {y} Example Ltd. All rights reserved.|All rights reserved|Imprint|Impressum und Datenschutz|Tous droits réservés|Todos los derechos reservados|Todos os direitos reservados|Terms of use|Privacy policy|Powered by software|Follow us|Published by Example Media, {y}.",
-    "notice": "We use cookies.|We use cookies to improve your experience. By continuing you agree.|Accept all|Wir verwenden Cookies.|Nous utilisons des cookies.|Usamos cookies.|This site uses cookies, see our privacy policy.|Please enable JavaScript.",
-    "ad": "Buy now|Buy this.|Advertisement|Sponsored|Special offer, only today!|Anzeige|Publicité|Publicidad|Sale 50 % off|Free shipping on all orders|Try it free for 30 days.",
-    "sidebar": "Related|Related articles|Most read|Popular posts|Read more|Mehr zum Thema|À lire aussi|Relacionados|Tags|Categories|Recent posts|Share this|Archive",
-    "form": "Email|Your name|Subscribe to our newsletter|Sign up|Search|Send|Password|Log in|Anmelden|S'inscrire|Suscribirse|Enter your email address",
-    "comments": "Comments|Leave a comment|Reply|I like it.|Great article, thanks!|Kommentare|Commentaires|Comentarios|I do not agree with this at all.|Thanks for sharing.|First!|posted 3 days ago",
+    "nav": "Overview|Topics|Team|Events|Careers|Support|Pricing|Magazine|Regions|Culture|Economy|Themen|Stellen|Boutique|Rubriques|Secciones|Tienda|Sobre nós|Legal|Site map|Feeds|Back to top",
+    "header": "The morning post|City review|Notes from the coast|Guten Tag|Bonjour à tous|Hola|Your daily reading|Stories and reports",
+    "footer": "(c) {y} The authors|© {y} Somebody & Sons|© {y} Verlag Muster|Copyright {y} by the publisher.|Copyright © {y} Press House. No part may be copied.|All material is protected by copyright.|Reproduction only with permission|Datenschutz|Droits réservés|Reservados todos los derechos|Conditions|Made with care|Find us on social networks|A publication of the Press House, {y}.",
+    "notice": "Cookies help us deliver this page.|Your choices about cookies: accept or decline.|OK, understood|Diese Seite verwendet Cookies.|Ce site dépose des cookies.|Este sitio utiliza cookies.|Read our policy on data.|Your browser is out of date.|You have reached this month's limit.|Only subscribers can read on.|Choose a plan to see the rest.|This text is for supporters.",
+    "ad": "Order today|Get yours.|Promoted|Partner content|Only this week: two for one!|Werbung|Annonce|Anuncio|30 % less on everything|Delivery at no cost|Start your trial.",
+    "sidebar": "See also|More stories|Top ten|Trending|Further reading|Lesen Sie auch|Sur le même sujet|Más noticias|Labels|New on this site|Tell a friend|By month|Poll of the week|Calendar|Forecast|21 degrees|Index +0.4 %|Exchange 1.08|4 8 15 16",
+    "form": "E-mail address|Full name|Get our letter every week|Register|Find|Submit|Your password|Sign me up|Registrieren|Je m'abonne|Darse de alta|Stay informed",
+    "comments": "Responses|Join the discussion|Antworten|I could not agree more.|Well written.|Stimmen|Réactions|Opiniones|This is plainly wrong.|Good to know.|Me too|two hours ago",
 }
+#: What stands beside the prose of an article.
+BYLINES = ("By", "Von", "Par", "Por", "Text:", "Photo:", "Published", "Updated")
+UNITS = ("", "", "", " %", " m", " km", " kg", " €", " $", " h")
 #: Elements and names under which they stand.
 HOLDERS = {
     "nav": (("nav", "menu", "header"), ("nav", "navigation", "menu", "breadcrumb", "header")), "header": (("header",), ("header", "banner", "nav")), "footer": (("footer",), ("footer",)),
-    "notice": (("aside", "dialog"), ("cookie", "notice", "consent", "alert", "popup", "modal")), "ad": (("aside",), ("ad", "ads", "advert", "advertisement", "sponsored", "promo", "banner")),
-    "sidebar": (("aside", "nav"), ("sidebar", "related", "widget", "share", "social")), "form": (("form",), ("form", "newsletter", "subscribe", "signup", "login", "search")), "comments": (("section", "aside"), ("comment", "comments", "reply", "replies")),
+    "notice": (("aside", "dialog"), ("cookie", "notice", "consent", "alert", "popup", "modal", "wall", "paywall", "member")), "ad": (("aside",), ("ad", "ads", "advert", "advertisement", "sponsored", "promo", "banner")),
+    "sidebar": (("aside", "nav"), ("sidebar", "related", "widget", "share", "social", "rail", "teaser", "module")), "form": (("form",), ("form", "newsletter", "subscribe", "signup", "login", "search")), "comments": (("section", "aside"), ("comment", "comments", "reply", "replies")),
 }
 NEUTRAL = ("page", "wrap", "container", "row", "col", "inner", "box", "site", "layout", "block", "group", "outer", "grid", "view", "left", "right", "top", "area", "panel", "cell")
 
@@ -429,7 +432,7 @@ def laid_out(pool: Pool, r: np.random.Generator) -> tuple[list[Block], list[int]
     def prose(most: int) -> str:
         return " ".join(pick(pool.sentences) for _ in range(int(r.integers(1, most + 1))))
 
-    table = r.random() < 0.12
+    table = r.random() < 0.16
     body = ["t:html", "t:body"] if r.random() < 0.9 else []
     for _ in range(int(r.integers(0, 3))):
         body = [*body, *neutral()]
@@ -445,21 +448,21 @@ def laid_out(pool: Pool, r: np.random.Generator) -> tuple[list[Block], list[int]
             path = [*base, f"t:{pick(tags)}"]
             if tags[0] == "section" or r.random() < 0.3:
                 path.append(f"c:{pick(names)}")
-        elif style < 0.75 or kind in ("comments", "sidebar"):
+        elif style < (0.6 if kind == "nav" else 0.75) or kind in ("comments", "sidebar"):
             path = [*base, f"t:{pick(('div', 'div', 'section', 'ul', 'p'))}", f"c:{pick(names)}"]
         else:  # nothing tells but what it says and where it stands
             path = [*base, *neutral()] if r.random() < 0.6 else list(base)
         leaf = "div"
         if kind == "nav":
             leaf = pick(("li", "li", "div", "td", "p"))
-            if r.random() < 0.25:
-                put(path, leaf, pick((" | ", " · ", " ", " » ")).join(pick(pool.links) for _ in range(int(r.integers(2, 9)))), pick((0.9, 0.7, 0.0)), 0)
+            if r.random() < 0.35:
+                put(path, pick(("div", "div", "p", "td")), pick((" | ", " · ", " ", " » ", "")).join(pick(pool.links) for _ in range(int(r.integers(2, 9)))), pick((1.0, 1.0, 0.9, 0.7, 0.0)), 0)
                 return
             path = [*path, "t:ul"] if leaf == "li" else path
             for _ in range(int(r.integers(2, 9))):
                 put(path, leaf, pick(pool.links), float(r.random() < 0.9), 0)
         elif kind == "header":
-            put(path, pick(("h1", "div", "p")), stock(kind) if r.random() < 0.5 else pick(pool.links), float(r.random() < 0.4), 0)
+            put(path, "td" if table and r.random() < 0.5 else pick(("h1", "div", "p")), stock(kind) if r.random() < 0.5 else pick(pool.links), float(r.random() < 0.4), 0)
         elif kind == "footer":
             for _ in range(int(r.integers(1, 4))):
                 put(path, pick(("div", "p", "li")), stock(kind) if r.random() < 0.8 else pick(pool.links), float(r.random() < 0.3), 0)
@@ -480,6 +483,37 @@ def laid_out(pool: Pool, r: np.random.Generator) -> tuple[list[Block], list[int]
             for _ in range(int(r.integers(1, 4))):
                 put(path, pick(("p", "div", "label", "td")), stock(kind), float(r.random() < 0.2), 0)
 
+    def short(most: int) -> str:
+        return " ".join(pick(pool.sentences).split()[: int(r.integers(1, most + 1))]).rstrip(".,;:")
+
+    def cell() -> str:
+        return short(3) if r.random() < 0.4 else str(int(r.integers(1950, 2030))) if r.random() < 0.3 else f"{r.integers(0, 1000) / pick((1, 1, 10)):g}{pick(UNITS)}"
+
+    def of_article(home: list[str]) -> None:
+        """A data table, a list, a definition list or short lines that belong to an article."""
+        style = r.random()
+        if style < 0.4:
+            where = [*home, *(["t:figure"] if r.random() < 0.2 else []), "t:table", *([f"t:{pick(('tbody', 'thead'))}"] if r.random() < 0.5 else []), "t:tr"]
+            columns, head = int(r.integers(1, 5)), r.random() < 0.7
+            for row in range(int(r.integers(2, 7))):
+                for k in range(columns):
+                    put(where, "th" if head and (row == 0 or k == 0 and r.random() < 0.1) else "td", short(2) if head and row == 0 else cell(), 0, 1)
+        elif style < 0.6:
+            for _ in range(int(r.integers(1, 6))):
+                put([*home, "t:dl"], "dt", short(3), 0, 1)
+                put([*home, "t:dl"], "dd", short(14), 0, 1)
+        elif style < 0.85:
+            for _ in range(int(r.integers(2, 6))):
+                put([*home, f"t:{pick(('ul', 'ol'))}"], "li", short(12), 0.3 * (r.random() < 0.1), 1)
+        else:
+            put(home, pick(("p", "p", "div", "figcaption", "h4")), short(5) + pick(("", ".", "!", "?")), 0, 1)
+
+    def byline(home: list[str]) -> None:
+        name = " ".join("".join(pick("abcdefghijklmnopqrstuvwxyz") for _ in range(int(r.integers(2, 8)))).capitalize() for _ in range(2))
+        date = f"{r.integers(1, 29)}.{r.integers(1, 13)}.{r.integers(1998, 2030)}"
+        holder = [f"t:{pick(('div', 'p', 'address'))}", *([f"c:{pick(('byline', 'author', 'meta', 'date', 'info'))}"] if r.random() < 0.4 else [])] if r.random() < 0.5 else []
+        put([*home, *holder], pick(("p", "div", "span", "address")), pick((f"{pick(BYLINES)} {name}", f"{pick(BYLINES)} {name}, {date}", f"{pick(BYLINES)} {date}", date)), 0.9 * (r.random() < 0.2), 1)
+
     style = r.random()
     if style < 0.22:
         home = [*body, "t:article"]
@@ -497,22 +531,23 @@ def laid_out(pool: Pool, r: np.random.Generator) -> tuple[list[Block], list[int]
         if r.random() < (0.7 if kind == "nav" else 0.5 if kind == "header" else 0.2):
             other(kind, body)
     article = pick(pool.articles)
-    n = int(r.integers(1, 25))
+    n = int(r.integers(1, 4)) if r.random() < 0.25 else int(r.integers(1, 25))
     start = 0 if r.random() < 0.6 else int(r.integers(0, len(article)))
     plain = r.random() < 0.15
     for i, (tag, text) in enumerate(article[start : start + n]):
         if r.random() < (0.1 if i else 0.4) and tag not in HEADINGS:  # headings of the article's own
             put(home, pick(("h1", "h2", "h2", "h3")), " ".join(pick(pool.sentences).split()[: int(r.integers(1, 9))]), 0, 1)
-        if i and r.random() < 0.07:
-            other(pick(("ad", "ad", "form", "sidebar", "notice")), home)
+        if not i and r.random() < 0.2:
+            byline(home)
+        if i and r.random() < 0.12 or i == n - 1 and r.random() < 0.15:
+            other(pick(("ad", "ad", "form", "sidebar", "notice", "notice")), home)
         words = text.split()
         if r.random() < 0.15 and len(words) > 6:
             text = " ".join(words[: int(r.integers(1, len(words)))])
         leaf = "div" if plain and tag == "p" else tag if r.random() < 0.85 else pick(("p", "p", "li", "blockquote", "pre", "h2", "h3", "td", "dd", "figcaption"))
         put([*home, *(["t:ul"] if leaf == "li" else [])], leaf, text, 0.1 * (r.random() < 0.1), 1)
-        if r.random() < 0.08:  # a list of the article's own
-            for _ in range(int(r.integers(2, 6))):
-                put([*home, f"t:{pick(('ul', 'ol'))}"], "li", " ".join(pick(pool.sentences).split()[: int(r.integers(1, 12))]), 0.3 * (r.random() < 0.1), 1)
+        if r.random() < (0.1 if n > 3 else 0.25):
+            of_article(home)
     for kind in ("ad", "comments", "sidebar", "form", "footer"):
         if r.random() < (0.75 if kind == "footer" else 0.3):
             other(kind, home if kind in ("ad", "comments") and r.random() < 0.25 else body)
