@@ -325,13 +325,15 @@ class Labeller:
         return loss, grad
 
     def fit(self, pages: list[tuple[np.ndarray, np.ndarray]], steps: int = STEPS, rate: float = 0.02, seed: int = 9) -> float:
-        """Adam on batches of pages; returns the last losses' mean."""
+        """Adam on batches of pages of about one length; returns the last losses' mean."""
+        pages = sorted(pages, key=lambda page: len(page[1]))
         r = np.random.default_rng(seed)
         first = {k: np.zeros_like(v) for k, v in self.p.items()}
         second = {k: np.zeros_like(v) for k, v in self.p.items()}
         losses = []
         for step in range(1, steps + 1):
-            some = [pages[i] for i in r.integers(0, len(pages), BATCH)]
+            at = int(r.integers(0, max(len(pages) - 2 * BATCH, 0) + 1))
+            some = [pages[i] for i in r.permutation(np.arange(at, min(at + 2 * BATCH, len(pages))))[:BATCH]]
             x, mask, y = padded([a for a, _ in some], [b for _, b in some])
             loss, grad = self.gradients(x, mask, y)
             losses.append(loss)
