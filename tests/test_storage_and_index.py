@@ -259,12 +259,22 @@ def test_index_finds_what_the_search_of_all_finds(spark, metric, monkeypatch):
     assert cost.computed < 0.4 * cost.pairs
 
 
-def test_index_is_a_table(spark, tmp_path):
+def test_index_is_saved_and_grows(spark, tmp_path):
     v, q = vectors(spark, 2)
-    centroids = vector_index.fit_cells(v)
-    vector_index.build(v, centroids).write.parquet(str(tmp_path / "index"))
-    index = spark.read.parquet(str(tmp_path / "index"))
-    assert results(vector_index.search(index, centroids, q, 3, certain=True)) == results(search.nearest(v, q.where("qvec is not null"), 3))
+    path = str(tmp_path / "index")
+    some = v.where("vec_id % 3 <> 1")
+    centroids = vector_index.fit_cells(some)
+    vector_index.save(vector_index.build(some, centroids), centroids, path)
+    files = set((tmp_path / "index" / "blocks").glob("*.parquet"))
+    vector_index.append(spark, path, v.where("vec_id % 3 = 1"))
+    assert files < set((tmp_path / "index" / "blocks").glob("*.parquet"))
+    index, again = vector_index.load(spark, path)
+    assert (again == centroids).all()
+    assert results(vector_index.search(index, again, q, 3, certain=True)) == results(search.nearest(v, q.where("qvec is not null"), 3))
+    none = vector_index.fit_cells(v.where("false"))
+    vector_index.save(vector_index.build(v.where("false"), none), none, str(tmp_path / "none"))
+    with pytest.raises(ValueError):
+        vector_index.append(spark, str(tmp_path / "none"), v)
 
 
 def test_index_of_few_or_no_vectors(spark):

@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -118,6 +118,30 @@ def build(vectors: DataFrame, centroids: np.ndarray, unit: bool = False, id_col:
     return dealt.select("id", "v", "cell", "far").mapInArrow(pack, schema)
 
 
+def save(index: DataFrame, centroids: np.ndarray, path: str) -> None:
+    """Writes an index to a new folder: its blocks in the order of cells, so that a search of few cells skips files, and its centroids."""
+    index.write.parquet(f"{path}/blocks")
+    rows = [(i, c.tolist()) for i, c in enumerate(centroids)]
+    index.sparkSession.createDataFrame(rows, "cell long, centroid array<double>").coalesce(1).write.parquet(f"{path}/centroids")
+
+
+def load(spark: SparkSession, path: str) -> tuple[DataFrame, np.ndarray]:
+    """The blocks and centroids of a saved index."""
+    rows = spark.read.parquet(f"{path}/centroids").orderBy("cell").toArrow()["centroid"].to_pylist()  # a row a cell
+    return spark.read.parquet(f"{path}/blocks"), np.array(rows) if rows else np.empty((0, 0))
+
+
+def append(spark: SparkSession, path: str, vectors: DataFrame, unit: bool = False, id_col: str = "vec_id", vector_col: str = "embedding") -> None:
+    """Adds vectors to a saved index, in the cells that it has; nothing that is there is read or written again.
+
+    Searches stay exact to their promise, as radii are taken over all blocks; only the spread of cells ages, until they are fitted anew.
+    """
+    centroids = load(spark, path)[1]
+    if not len(centroids):
+        raise ValueError("an index without cells cannot grow")
+    build(vectors, centroids, unit, id_col, vector_col).write.mode("append").parquet(f"{path}/blocks")
+
+
 def probes(queries: DataFrame, centroids: np.ndarray, n: int | None, unit: bool = False, query_id: str = "qid", query_vector: str = "qvec") -> DataFrame:
     """(qid, qvec, cell, far): the ``n`` nearest cells of each query (all with ``None``), nearest first."""
     held = queries.sparkSession.sparkContext.broadcast(centroids)

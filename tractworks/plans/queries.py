@@ -787,3 +787,16 @@ def vector_index_recall(spark, d):
     n = vector_index.probes_for(table(spark, d, "embeddings"), index, centroids)
     found = vector_index.search(index, centroids, q, metric="l2", n_probes=n)
     return vector_index.recall(found, vector_topk_l2(spark, d)).select("wanted", (F.col("recall") >= 0.9).alias("recall_ok"))
+
+
+@query(_nearest_sql("list_distance(q.embedding::DOUBLE[], v.embedding::DOUBLE[])"))
+def vector_index_appended(spark, d):
+    """An index of every second vector, saved, the others added to it; searched for certain after it is read back."""
+    v, q = _queries(spark, d)
+    half = v.where("vec_id % 2 = 0")
+    centroids = vector_index.fit_cells(half)
+    path = scratch(spark)
+    vector_index.save(vector_index.build(half, centroids), centroids, path)
+    vector_index.append(spark, path, v.where("vec_id % 2 = 1"))
+    index, centroids = vector_index.load(spark, path)
+    return vector_index.search(index, centroids, q, metric="l2", certain=True)

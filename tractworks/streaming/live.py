@@ -44,7 +44,7 @@ class LatestRows:
         names = [n for n in storage.folders(self.spark, self.path) if n.startswith(f"{kind}=")]
         return sorted(int(n.partition("=")[2]) for n in names if storage.exists(self.spark, f"{self.path}/{n}/_SUCCESS"))
 
-    def _rows(self, until: int | None = None, bases: bool = True) -> DataFrame | None:
+    def _rows(self, until: int | None = None) -> DataFrame | None:
         """The latest row of each key, as of batch ``until``."""
         base = max((b for b in self._numbers("base") if until is None or b < until), default=-1)
         paths = [f"{self.path}/part={b}" for b in self._numbers("part") if b > base and (until is None or b <= until)]
