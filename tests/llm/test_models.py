@@ -11,6 +11,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tests.llm.held_out_pages import NINE, generated
@@ -200,6 +201,33 @@ def test_scores_do_not_depend_on_the_order_of_rows(spark):
     assert plain == shuffled and len(plain) == docs.count()
 
 
+def test_texts_are_split_as_plain_python_splits_them():
+    rng = random.Random(3)
+    for trial in range(120):
+        letters = bytes(range(256)) if trial % 2 else b" \t\n\r\x0b\x0cab\x1c\x85\xa0AZ"
+        texts = [None, b"", b" "] + [bytes(rng.choices(letters, k=rng.choice([0, 1, 5, 60]))) for _ in range(rng.randint(0, 9))]
+        kind = pa.binary() if trial % 3 else pa.large_binary()
+        names, codes, sizes = brown_lm.split_texts(pa.array([b"of another slice", *texts], kind).slice(1))
+        want = [(t or b"").lower().split() + [b""] for t in texts]
+        found = names.to_pylist()
+        assert [found[c] for c in codes.tolist()] == [w for words in want for w in words]
+        assert sizes.tolist() == [len(words) for words in want] and len(set(found)) == len(found)
+
+
+def test_words_are_looked_up_once_a_block_in_one_table_of_several_blocks(monkeypatch):
+    looked, index_in = [], brown_lm.pc.index_in
+    monkeypatch.setattr(brown_lm.pc, "index_in", lambda names, **k: looked.append(len(names)) or index_in(names, **k))
+    batch = pa.RecordBatch.from_arrays([pa.array([b"a b " * 5000, b"c a", None])], names=["text"])
+    words, ids = pa.array([b"b", b"", b"a"]), []
+    for held in brown_lm.split_batches(iter([batch] * 4), most=25_000):
+        for (_, _, codes, _), at in zip(held, brown_lm.places_of([names for _, names, _, _ in held], words), strict=True):
+            ids.append(at[codes].tolist())
+    assert ids == [[2, 0] * 5000 + [1, -1, 2, 1, 1]] * 4
+    assert looked == [12, 4]  # a, b, c and the end of three blocks, then of the last
+    counts = [pa.RecordBatch.from_arrays([pa.array([b"a", b"b"]), pa.array([1, n])], names=["word", "n"]) for n in (2, 3)]
+    assert sorted((r["word"], r["n"]) for b in brown_lm.merged(counts) for r in b.to_pylist()) == [(b"a", 2), (b"b", 5)]
+
+
 def test_cut_off(spark):
     counts = spark.createDataFrame([("a", 5000), ("b", 300), ("c", 301), ("d", 7), ("e", 7), ("f", 1)], "word string, n long")
     assert brown_lm.cut_off(counts, 1, 3, 4, 5, 6, 0) == [4992, 300, 300, 7, 1, 2**62]

@@ -24,11 +24,11 @@ an empty table gives an empty result; without training texts every token is unse
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,29 +37,51 @@ from tractworks.llm.common import fold_of, lean, read, row_keys, settle
 
 CORE, CLASSES, HELD = 2000, 64, 300_000
 SWEEPS, ROUNDS = 8, 3
-FLUSH = 400_000
+#: Tokens that a task looks up together, and rows after which it sends what it has counted.
+TOGETHER, FLUSH = 3_000_000, 400_000
 END = b""
 
 
-def tokens(text: bytes | None) -> list[bytes]:
-    out = (text or b"").lower().split()
-    out.append(END)
-    return out
+def split_texts(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The distinct tokens of an array of binary texts, the place of each token in them, text after text, and the number of each text's tokens."""
+    text = pc.fill_null(texts.view(pa.large_string() if pa.types.is_large_binary(texts.type) else pa.string()), "")
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(text))
+    coded = lists.flatten().dictionary_encode()
+    names, codes = coded.dictionary.cast(pa.binary()), coded.indices.to_numpy()
+    end = pc.index(names, pa.scalar(END)).as_py()  # white space at either side of a text leaves empty words
+    if end < 0:
+        end = len(names)
+        names = pa.concat_arrays([names, pa.array([END])])
+    word = codes != end
+    stops = np.concatenate([[0], np.cumsum(word)])[lists.offsets.to_numpy()]
+    return names, np.insert(codes[word], stops[1:], end), np.diff(stops) + 1
+
+
+def split_batches(batches: Iterator[pa.RecordBatch], column: int = 0, most: int = TOGETHER) -> Iterator[list[tuple[pa.RecordBatch, pa.Array, np.ndarray, np.ndarray]]]:
+    """Batches and their split texts, about ``most`` tokens at a time."""
+    held, size = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append((batch, *split_texts(batch.column(column))))
+            size += len(held[-1][2])
+        if size >= most:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
+def places_of(names: list[pa.Array], words: pa.Array) -> list[np.ndarray]:
+    """For each array the places of its words in ``words``, -1 for others; one table of ``words`` serves all arrays."""
+    at = pc.fill_null(pc.index_in(pa.chunked_array(names), value_set=words), -1).to_numpy()
+    return np.split(at, np.cumsum([len(n) for n in names])[:-1])
 
 
-def blocks(texts: Iterator[bytes | None], most: int = 400_000) -> Iterator[tuple[list[bytes], list[int]]]:
-    """Tokens of several texts in a row, and the number of each one's tokens."""
-    words: list[bytes] = []
-    sizes: list[int] = []
-    for t in texts:
-        one = tokens(t)
-        words += one
-        sizes.append(len(one))
-        if len(words) >= most:
-            yield words, sizes
-            words, sizes = [], []
-    if sizes:
-        yield words, sizes
+def merged(counts: list[pa.RecordBatch]) -> list[pa.RecordBatch]:
+    """Batches of keys and their counts ``n``, equal keys added up."""
+    keys = counts[0].schema.names[:-1]
+    sums = pa.Table.from_batches(counts).group_by(keys, use_threads=False).aggregate([("n", "sum")])
+    return sums.select([*keys, "n_sum"]).rename_columns([*keys, "n"]).to_batches(FLUSH)
 
 
 def states(core: np.ndarray, start: int) -> np.ndarray:
@@ -75,19 +97,8 @@ def count_words(texts: DataFrame) -> DataFrame:
     """(word, n) over all tokens of a frame with one binary column."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
-
-        def flush():
-            return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
-
-        for batch in batches:
-            for words, _ in blocks(batch.column(0).to_pylist()):
-                counts.update(words)
-                if len(counts) >= FLUSH:
-                    yield flush()
-                    counts.clear()
-        if counts:
-            yield flush()
+        for held in split_batches(batches):
+            yield from merged([pa.RecordBatch.from_arrays([names, pa.array(np.bincount(codes, minlength=len(names)))], names=["word", "n"]) for _, names, codes, _ in held])
 
     return texts.mapInArrow(lean(run), "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -117,12 +128,13 @@ def encode(texts: DataFrame, words: list[bytes]) -> DataFrame:
     shared = texts.sparkSession.sparkContext.broadcast(words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        get = {w: i for i, w in enumerate(shared.value)}.get
-        for batch in batches:
-            for words, _ in blocks(batch.column(0).to_pylist()):
-                ids = np.fromiter((get(w, -1) for w in words), np.int32, len(words))
-                rare = b" ".join(map(words.__getitem__, np.flatnonzero(ids < 0).tolist()))
-                yield pa.RecordBatch.from_arrays([pa.array([ids.tobytes()], pa.binary()), pa.array([rare], pa.binary())], names=["ids", "rare"])
+        table = pa.array(shared.value, pa.binary())
+        for held in split_batches(batches):
+            for (_, names, codes, _), at in zip(held, places_of([names for _, names, _, _ in held], table), strict=True):
+                ids = at[codes].astype(np.int32)
+                rare = names.take(pa.array(codes[ids < 0]))
+                joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(rare)], pa.int32()), rare), b" ")
+                yield pa.RecordBatch.from_arrays([pa.array([ids.tobytes()], pa.binary()), joined], names=["ids", "rare"])
 
     return texts.mapInArrow(lean(run), "ids binary, rare binary")
 
@@ -382,25 +394,21 @@ def rare_lexicon(coded: DataFrame, of: np.ndarray, history: np.ndarray, gains: n
     past, start = np.append(history, -1), int(of[-1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
-
-        def flush():
-            found, hs = zip(*counts, strict=True)
-            return pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), pa.array(hs, pa.int32()), pa.array(list(counts.values()), pa.int64())], names=["word", "h", "n"])
-
+        held, size = [], 0
         for batch in batches:
-            for block, other in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for i, block in enumerate(batch.column(0).to_pylist()):
                 ids = np.frombuffer(block, np.int32)
                 left, right = around(ids, past, start)
-                rare = np.flatnonzero(ids < 0)
-                some = other.split()
-                counts.update(zip(some, left[rare].tolist(), strict=True))
-                counts.update(zip(some, (right[rare] + k).tolist(), strict=True))
-                if len(counts) >= FLUSH:
-                    yield flush()
-                    counts.clear()
-        if counts:
-            yield flush()
+                names, codes, _ = split_texts(batch.column(1).slice(i, 1))
+                base, rare = codes[:-1].astype(np.int64) * (2 * k), np.flatnonzero(ids < 0)  # without the end
+                for key, n in summed([np.concatenate([base + left[rare], base + k + right[rare]])]):
+                    held.append(pa.RecordBatch.from_arrays([names.take(pa.array(key // (2 * k))), pa.array((key % (2 * k)).astype(np.int32)), pa.array(n.astype(np.int64))], names=["word", "h", "n"]))
+                    size += len(n)
+                if size >= FLUSH:
+                    yield from merged(held)
+                    held, size = [], 0
+        if held:
+            yield from merged(held)
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -454,14 +462,11 @@ def score(docs: DataFrame, lex: DataFrame, model: Model, keys: list[str], text_c
     or on a second reading of them. Repeated rows meet, and each gets the sums of one.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    index: dict[bytes, int] = {}
     carried = [T.StructField(f"__{i}", docs.schema[k].dataType) for i, k in enumerate(keys)]
     sent_schema = T.StructType([*SENT.fields, *carried])
 
     def ready() -> tuple:
         m = shared.value
-        if not index:
-            index.update({w: i for i, w in enumerate(m.words)})
         past = np.append(m.of, -1).astype(np.int64)
         with np.errstate(divide="ignore"):
             emit = np.append(np.log10(m.counts - m.discount) - m.log_size[m.of], 0.0)
@@ -470,32 +475,27 @@ def score(docs: DataFrame, lex: DataFrame, model: Model, keys: list[str], text_c
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, past, of, emit, base = ready()
-        get = index.get
-        last = len(m.words)
-        for batch in batches:
-            key, tag = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            done = 0
-            for words, sizes in blocks(batch.column(2).to_pylist()):
-                here = slice(done, done + len(sizes))
-                ids = np.fromiter((get(w, last) for w in words), np.int64, len(words))
+        table, last = pa.array(m.words, pa.binary()), len(m.words)
+        for held in split_batches(batches, 2):
+            for (batch, names, codes, sizes), at in zip(held, places_of([names for _, names, _, _ in held], table), strict=True):
+                key, tag = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+                ids = np.where(at < 0, last, at)[codes]
                 h = states(past[ids], m.start)
                 known = ids < last
                 value = np.where(known, m.move[h, of[ids]] + emit[ids], 0.0)
                 starts = np.cumsum(sizes) - sizes
-                out = [np.array(sizes, np.int64), np.add.reduceat(known.astype(np.int64), starts), np.add.reduceat(base[ids], starts), np.add.reduceat(value, starts)]
+                out = [sizes.astype(np.int64), np.add.reduceat(known.astype(np.int64), starts), np.add.reduceat(base[ids], starts), np.add.reduceat(value, starts)]
                 own = pa.StructArray.from_arrays([pa.array(x) for x in out], names=["n_tokens", "n_known", "base", "score"])
                 # a text's own row has a word of its own, which no text can hold, so that these rows don't meet in one task
-                names = [b" %d %d" % x for x in zip(key[here].tolist(), tag[here].tolist(), strict=True)]
-                given = [c.slice(done, len(sizes)) for c in batch.columns[3:]]
-                yield pa.RecordBatch.from_arrays([pa.array(key[here]), pa.array(tag[here]), pa.array(names, pa.binary()), pa.nulls(len(sizes), pa.int32()), pa.nulls(len(sizes), pa.int32()), own, *given], names=sent_schema.names)
+                called = [b" %d %d" % x for x in zip(key.tolist(), tag.tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(tag), pa.array(called, pa.binary()), pa.nulls(len(sizes), pa.int32()), pa.nulls(len(sizes), pa.int32()), own, *batch.columns[3:]], names=sent_schema.names)
                 rare = np.flatnonzero(~known)
                 doc = np.searchsorted(starts, rare, "right") - 1
-                for i in range(0, len(rare), 200_000):
-                    some = Counter(zip((doc[i : i + 200_000] + done).tolist(), map(words.__getitem__, rare[i : i + 200_000].tolist()), h[rare[i : i + 200_000]].tolist(), strict=True))
-                    r, w, s = zip(*some, strict=True)
-                    row = np.array(r, np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(key[row]), pa.array(tag[row]), pa.array(w, pa.binary()), pa.array(s, pa.int32()), pa.array(list(some.values()), pa.int32()), pa.nulls(len(r), own.type), *(pa.nulls(len(r), c.type) for c in given)], names=sent_schema.names)
-                done += len(sizes)
+                for cell, n in summed([(doc * len(names) + codes[rare]) * m.k + h[rare]]):
+                    for i in range(0, len(cell), 200_000):
+                        row, which = np.divmod(cell[i : i + 200_000] // m.k, len(names))
+                        state, times = cell[i : i + 200_000] % m.k, n[i : i + 200_000]
+                        yield pa.RecordBatch.from_arrays([pa.array(key[row]), pa.array(tag[row]), names.take(pa.array(which)), pa.array(state.astype(np.int32)), pa.array(times.astype(np.int32)), pa.nulls(len(row), own.type), *(pa.nulls(len(row), c.type) for c in batch.columns[3:])], names=sent_schema.names)
 
     key, tag = row_keys(docs, keys[0], text_col)
     sent = docs.select(key.alias("key"), tag.alias("tag"), F.col(text_col).cast("binary").alias("text"), *(F.col(k).alias(f"__{i}") for i, k in enumerate(keys))).mapInArrow(lean(run), sent_schema)
