@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import json
+import math
+import tracemalloc
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -257,6 +260,33 @@ def test_nearest(spark, monkeypatch):
     assert [r.vec_id for r in search.nearest(same, q, 4).orderBy("rank").collect()] == [1, 2, 4, 5]
 
 
+def test_distances_of_many_equal_vectors_are_held_a_few_at_a_time():
+    v, q = np.ones((1, 64)), np.full((1, 64), 2.0)
+    at = np.zeros(300_000, np.int64)
+    tracemalloc.start()
+    try:
+        found = [search.exact(v, q, at, at, metric) for metric in ("l2", "cosine")]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert [set(x.tolist()) for x in found] == [{8.0}, {-127.0}]
+    assert peak < 60e6  # all pairs at once take 150 MB for each of three arrays
+
+
+def test_nearest_of_blocks_in_parts(spark):
+    """More queries than are taken at once, vectors that are mostly equal; blocks are packed before the stage that searches."""
+    points = [(i, [1.0, 0.0] if i % 5 else [float(i % 7), 1.0]) for i in range(600)]
+    v = spark.createDataFrame(points, "vec_id long, embedding array<float>")
+    asked = [(i, [float(i % 4), float(i % 3)]) for i in range(search.ROWS * 2 + 7)]
+    q = spark.createDataFrame(asked, "qid long, qvec array<float>")
+    found = search.nearest(v, q, 3)
+    want = {(i, *pair) for i, x in asked for pair in enumerate([w for _, w in sorted((math.dist(x, y), w) for w, y in points)[:3]], 1)}
+    assert {(r.qid, r["rank"], r.vec_id) for r in found.collect()} == want
+    plan = found._jdf.queryExecution().sparkPlan().toString().split("\n")
+    join = next(i for i, line in enumerate(plan) if "CartesianProduct" in line or "BroadcastNestedLoopJoin" in line)
+    assert sum("Exchange" in line or "RepartitionByExpression" in line or "hashpartitioning(xxhash64" in line for line in plan[join:]) == 2
+
+
 def test_listing_and_titles(spark):
     df = spark.createDataFrame([("1", "7", "undefined", "t")] * 2, "CD_SETOR string, CD_MUN string, NM_MUN string, SITUACAO string")
     assert catalog.tract_listing(df).count() == 1
